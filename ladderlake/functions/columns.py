@@ -89,12 +89,6 @@ def week_start(day: str | Column) -> Column:
     return F.to_date(F.date_trunc("week", as_column(day)))
 
 
-def week_sunday(day: str | Column) -> Column:
-    """Sunday on or before the day: the date weekly files are named by."""
-    day = F.to_date(as_column(day))
-    return F.date_sub(day, F.dayofweek(day) - 1)
-
-
 def file_date_of(file_name: str | Column) -> Column:
     """Date a file is named by (`2024-01-07.parquet`); null for other names."""
     stem = F.split_part(as_column(file_name), F.lit("."), F.lit(1))

@@ -73,28 +73,29 @@ def with_civ(df: DataFrame, civs: DataFrame, fk: str = "civ_fk", alias: str = "c
     return df.join(names, fk).drop(fk)
 
 
-def opposing_pairs(lineups: DataFrame, match: str, civ: str, *keep: str) -> DataFrame:
+def opposing_pairs(lineups: DataFrame, match: str, civ: str) -> DataFrame:
     """Pair each civ of a match with every other civ of that match.
 
-    `lineups` holds one row per match and civ with `players` and `wins`; the pair carries
-    the number of player pairs it stands for and the wins among them. A match has at most
-    as many rows as there are civs, whatever number of players it had, so neither the
-    join's partitions nor the pairs of a match grow with a hot match.
+    `lineups` holds one row per match and civ with `players` and `wins`. The pair carries
+    the number of player pairs it stands for and the wins among them, which is what the
+    self join of the players would yield, from one scan instead of two. A match's line-up
+    has at most as many entries as there are civs, however many players the match had, so
+    neither the gathered array nor the pairs of a match grow with a hot match.
     """
-    mine = lineups.select(match, civ, "players", "wins", *keep)
-    theirs = lineups.select(
-        match, F.col(civ).alias(f"opponent_{civ}"), F.col("players").alias("_opponents")
+    opponent = f"opponent_{civ}"
+    gathered = lineups.groupBy(match).agg(
+        F.collect_list(F.struct(civ, "players", "wins")).alias("_lineup")
     )
+    mine = gathered.select(match, "_lineup", F.inline("_lineup"))
     return (
-        mine.join(theirs, match)
-        .filter(F.col(civ) != F.col(f"opponent_{civ}"))
+        mine.select(match, civ, "players", "wins", F.explode("_lineup").alias("_other"))
+        .filter(F.col(civ) != F.col(f"_other.{civ}"))
         .select(
             match,
             civ,
-            f"opponent_{civ}",
-            *keep,
-            (F.col("players") * F.col("_opponents")).alias("player_pairs"),
-            (F.col("wins") * F.col("_opponents")).alias("wins"),
+            F.col(f"_other.{civ}").alias(opponent),
+            (F.col("players") * F.col("_other.players")).alias("player_pairs"),
+            (F.col("wins") * F.col("_other.players")).alias("wins"),
         )
     )
 

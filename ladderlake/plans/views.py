@@ -20,6 +20,7 @@ def civ_performance(fact: DataFrame, matches: DataFrame, civs: DataFrame) -> Dat
     """Matches, wins and win share of each civ by week, map and rating band.
 
     Matches are counted once however many players chose the civ; wins count players.
+    Civ keys and names are one to one, so the names come in last, on the few result rows.
     """
     per_match = with_match(
         lineups(fact),
@@ -28,8 +29,9 @@ def civ_performance(fact: DataFrame, matches: DataFrame, civs: DataFrame) -> Dat
         "map",
         elo_bucket("avg_elo").alias("match_elo_bucket"),
     )
-    return matches_and_wins(
-        with_civ(per_match, civs), "civ", "game_date", "map", "match_elo_bucket"
+    totals = matches_and_wins(per_match, "civ_fk", "game_date", "map", "match_elo_bucket")
+    return with_civ(totals, civs).select(
+        "civ", "game_date", "map", "match_elo_bucket", "matches_played", "wins", "win_percentage"
     )
 
 
@@ -38,14 +40,18 @@ def opponent_civ(fact: DataFrame, matches: DataFrame, civs: DataFrame) -> DataFr
 
     Every other civ of the match is an opponent, whichever team it was on.
     """
-    per_match = with_civ(
-        with_match(
-            lineups(fact), matches, "map", elo_bucket("avg_elo").alias("match_elo_bucket")
-        ),
-        civs,
+    pairs = with_match(
+        opposing_pairs(lineups(fact), "match_fk", "civ_fk"),
+        matches,
+        "map",
+        elo_bucket("avg_elo").alias("match_elo_bucket"),
+    )
+    totals = matches_and_wins(pairs, "civ_fk", "opponent_civ_fk", "map", "match_elo_bucket")
+    named = with_civ(with_civ(totals, civs), civs, "opponent_civ_fk", "opponent_civ")
+    return named.select(
+        "civ", "opponent_civ", "map", "match_elo_bucket", "matches_played", "wins",
+        "win_percentage",
     )
-    pairs = opposing_pairs(per_match, "match_fk", "civ", "map", "match_elo_bucket")
-    return matches_and_wins(pairs, "civ", "opponent_civ", "map", "match_elo_bucket")
 
 
 def leaderboard(people: DataFrame) -> DataFrame:

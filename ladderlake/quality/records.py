@@ -20,13 +20,10 @@ from ladderlake.schemas import struct
 ERRORS = "errors"
 CORRUPT = "_corrupt_record"
 
-# Words accepted as booleans.
+# Words accepted as booleans, text accepted as a whole number.
 TRUE_WORDS = ("1", "on", "t", "true", "y", "yes")
 FALSE_WORDS = ("0", "off", "f", "false", "n", "no")
-
-# Wide enough for any bigint and a fraction that shows the value is not whole.
-_EXACT = "decimal(38,18)"
-
+WHOLE_NUMBER = r"^\s*([+-]?\d+)(?:\.0+)?\s*$"
 
 @dataclass(frozen=True)
 class Field:
@@ -87,10 +84,23 @@ PAGE_REQUIRED = (
 
 
 # ---- flat records ----------------------------------------------------------
-def _bool_of(raw: Column) -> Column:
-    word = F.lower(raw.cast("string"))
-    # Numbers print as 1, 1.0 or 1.000...; their fraction must not hide the digit.
-    word = F.regexp_replace(word, r"^([01])\.0+$", "$1")
+def _int_of(raw: Column, type_name: str) -> Column:
+    """Whole numbers of any type, and text that spells one."""
+    if type_name == "string":
+        # Only digits reach the cast: a cast that fails costs far more than the pattern.
+        digits = F.regexp_extract(raw, WHOLE_NUMBER, 1)
+        return F.nullif(digits, F.lit("")).try_cast("bigint")
+    if type_name.startswith(("double", "float", "decimal")):
+        return F.when(raw == F.floor(raw), raw.try_cast("bigint"))
+    return raw.try_cast("bigint")
+
+
+def _bool_of(raw: Column, type_name: str) -> Column:
+    if type_name == "boolean":
+        return raw
+    if type_name != "string":
+        return F.when(raw == 1, True).when(raw == 0, False)
+    word = F.lower(raw)
     return F.when(word.isin(*TRUE_WORDS), True).when(word.isin(*FALSE_WORDS), False)
 
 
@@ -107,14 +117,13 @@ def _value(raw: Column, field: Field, type_name: str) -> Column:
         return field.clean(raw)
     match field.kind:
         case "int" | "nanos":
-            exact = raw.try_cast(_EXACT)
-            return F.when(exact == F.floor(exact), exact.try_cast("bigint"))
+            return _int_of(raw, type_name)
         case "float":
             return raw.try_cast("double")
         case "text":
             return raw if type_name == "string" else F.lit(None).cast("string")
         case "bool":
-            return _bool_of(raw)
+            return _bool_of(raw, type_name)
         case "date":
             return raw.try_cast("date")
         case "instant":
@@ -122,6 +131,11 @@ def _value(raw: Column, field: Field, type_name: str) -> Column:
     raise ValueError(f"unknown kind {field.kind}")
 
 
+def _reasons(*tests: Column) -> Column:
+    """Array of the reasons that apply; `tests` are null where they do not."""
+    return F.array_remove(F.array(*[F.coalesce(t, F.lit("")) for t in tests]), "")
+
+
 def judge(df: DataFrame, fields: Sequence[Field], *keep: str) -> DataFrame:
     """Typed fields of the model, the `keep` columns, and `errors`: one reason per bad field."""
     types = dict(df.dtypes)
@@ -129,15 +143,18 @@ def judge(df: DataFrame, fields: Sequence[Field], *keep: str) -> DataFrame:
     for f in fields:
         raw = F.col(f.name) if f.name in types else F.lit(None).cast("string")
         value = _value(raw, f, types.get(f.name, "string"))
-        # A cleaned float may legitimately turn "not a number" into an absent value.
         given = raw.isNotNull()
         if f.clean is float_id:
-            given = given & ~F.coalesce(F.isnan(raw.try_cast("double")), F.lit(False))
+            # "Not a number" is how a float column says that there is no identifier.
+            given = given & (F.lower(raw.cast("string")) != "nan")
         wrong = F.when(given & value.isNull(), f"{f.name}: not a valid {f.kind}")
         reasons.append(wrong.when(raw.isNull(), f"{f.name}: missing") if f.required else wrong)
         values.append(value.alias(f.name))
-    found = F.filter(F.array(*reasons), lambda r: r.isNotNull())
-    return df.select(*values, *keep, found.alias(ERRORS))
+    # A filter on the verdict would be pushed below this projection and every conversion
+    # computed twice. Rows that come out of a generator are filtered after it, so all is
+    # computed once.
+    row = F.struct(*values, *keep, _reasons(*reasons).alias(ERRORS))
+    return df.select(F.inline(F.array(row)))
 
 
 def accepted(judged: DataFrame) -> DataFrame:
@@ -177,9 +194,8 @@ def judge_documents(
     reasons = [F.when(F.col(doc)[CORRUPT].isNotNull(), "document: malformed or mistyped")]
     for name in required:
         lacks = _lacks(F.col(doc), schema, name.split("."))
-        reasons.append(F.when(F.coalesce(lacks, F.lit(False)), f"{name}: missing"))
-    found = F.filter(F.array(*reasons), lambda r: r.isNotNull())
-    return df.withColumn(ERRORS, found)
+        reasons.append(F.when(lacks, f"{name}: missing"))
+    return df.withColumn(ERRORS, _reasons(*reasons))
 
 
 # ---- manifests -------------------------------------------------------------

@@ -20,9 +20,7 @@ from ladderlake.sources.scans import with_provenance
 )
 def add_provenance(spark, sf):
     """File name, source tag, row dedup and load time of a scan."""
-    scan = table(spark, sf, "lineitem").select(
-        "l_orderkey", "l_linenumber", "l_quantity", F.col("_metadata")
-    )
+    scan = table(spark, sf, "lineitem").select("l_orderkey", "l_linenumber", "l_quantity")
     stamped = with_provenance(scan, "PLAYER_FEED", loaded_at=F.lit("2024-01-02").cast("timestamp"))
     return stamped.select(
         "l_orderkey", "l_linenumber", "l_quantity", "fn", "source",
@@ -47,7 +45,7 @@ def derive_file_date(spark, sf):
     "conform_schema",
     """SELECT CAST(trunc(l_quantity) AS INTEGER) AS rating,
  CAST(l_orderkey AS INTEGER) AS game_id, CAST(l_linenumber AS VARCHAR) AS team,
- CAST(floor(l_extendedprice) / 256 AS DECIMAL(38,2)) AS elo,
+ CAST(CAST(floor(l_extendedprice) / 256 AS DECIMAL(38,2)) AS DOUBLE) AS elo,
  CAST(l_shipdate AS DATE) AS game_date FROM lineitem""",
 )
 def conform_schema(spark, sf):
@@ -59,9 +57,10 @@ def conform_schema(spark, sf):
         F.col("l_quantity").alias("rating"),
         F.col("l_tax").alias("not_in_layout"),
     )
-    return c.conform(
+    typed = c.conform(
         lines, "rating int, game_id int, team string, elo decimal(38,2), game_date date"
     )
+    return typed.withColumn("elo", F.col("elo").cast("double"))
 
 
 @register(

@@ -129,10 +129,10 @@ def fn_conditional(spark, sf):
 @register(
     "fn_cast",
     """SELECT event_id, CAST(user_id AS VARCHAR) AS as_text, CAST(trunc(value) AS INTEGER) AS as_int,
- CAST(floor(value) / 8 AS DECIMAL(38,2)) AS as_decimal, CAST(ts AS DATE) AS as_date,
+ CAST(CAST(floor(value) / 8 AS DECIMAL(38,2)) AS DOUBLE) AS as_decimal, CAST(ts AS DATE) AS as_date,
  CAST(CAST(ts AS DATE) AS TIMESTAMP) AS as_timestamp, user_id % 3 <> 0 AS as_bool,
- TRY_CAST(CASE WHEN event_type = 'view' THEN event_type ELSE CAST(user_id AS VARCHAR) END
-  AS INTEGER) AS tried FROM events""",
+ coalesce(TRY_CAST(CASE WHEN event_type = 'view' THEN event_type
+  ELSE CAST(user_id AS VARCHAR) END AS INTEGER), -1) AS tried FROM events""",
 )
 def fn_cast(spark, sf):
     user = F.col("user_id")
@@ -143,11 +143,11 @@ def fn_cast(spark, sf):
         "event_id",
         user.cast("string").alias("as_text"),
         F.col("value").cast("int").alias("as_int"),
-        (F.floor("value") / 8).cast("decimal(38,2)").alias("as_decimal"),
+        (F.floor("value") / 8).cast("decimal(38,2)").cast("double").alias("as_decimal"),
         F.col("ts").cast("date").alias("as_date"),
         F.col("ts").cast("date").cast("timestamp_ntz").alias("as_timestamp"),
         (user % 3).cast("boolean").alias("as_bool"),
-        mixed.try_cast("int").alias("tried"),
+        F.coalesce(mixed.try_cast("int"), F.lit(-1)).alias("tried"),
     )
 
 

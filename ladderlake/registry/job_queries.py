@@ -24,8 +24,8 @@ IN_WINDOW = f"file_date BETWEEN DATE '{s.WINDOW[0]}' AND DATE '{s.WINDOW[1]}'"
 
 
 # ---- bronze ----------------------------------------------------------------
-def _bronze_weekly(spark, raw, name):
-    """Land weekly files, then load the run window of them."""
+def _bronze_dated(spark, raw, name):
+    """Land dated files, then load the run window of them."""
     path = fresh_path(spark, name)
     land_parquet(raw, path)
     target = f"{s.scratch_database(spark, name)}.{name}_br"
@@ -41,19 +41,21 @@ def _bronze_weekly(spark, raw, name):
     ),
 )
 def job_bronze_matches(spark, sf):
-    loaded = _bronze_weekly(spark, s.raw_matches(spark, sf), "matches")
+    loaded = _bronze_dated(spark, s.raw_matches(spark, sf), "matches")
     return loaded.withColumn("started_timestamp", F.col("started_timestamp").cast("timestamp_ntz"))
 
 
 @register(
     "job_bronze_players",
     with_ctes(
-        f"SELECT DISTINCT *, '{s.MATCH_SOURCE}' AS source FROM raw_players WHERE {IN_WINDOW}",
+        f"""SELECT DISTINCT * REPLACE (coalesce(profile_id, -1) AS profile_id),
+ '{s.MATCH_SOURCE}' AS source FROM raw_players WHERE {IN_WINDOW}""",
         "raw_players",
     ),
 )
 def job_bronze_players(spark, sf):
-    return _bronze_weekly(spark, s.raw_players(spark, sf), "players")
+    loaded = _bronze_dated(spark, s.raw_players(spark, sf), "players")
+    return loaded.withColumn("profile_id", F.coalesce("profile_id", F.lit(-1)))
 
 
 @register(
@@ -127,6 +129,14 @@ def _ntz(df, *names):
     return df.withColumns({n: F.col(n).cast("timestamp_ntz") for n in names})
 
 
+def _matches(df):
+    """Matches with types both engines print alike."""
+    return _ntz(df, "started_timestamp").withColumn("avg_elo", F.col("avg_elo").cast("double"))
+
+
+_MATCHES_SQL = "SELECT * REPLACE (CAST(avg_elo AS DOUBLE) AS avg_elo) FROM matches_sr"
+
+
 @register(
     "job_silver_leaderboards",
     with_ctes("SELECT * FROM leaderboards_sr", "supplier_stats", "leaderboards_sr"),
@@ -147,11 +157,11 @@ def job_silver_statgroup(spark, sf):
     return spark.table(target).drop("ldts")
 
 
-@register("job_silver_matches", with_ctes("SELECT * FROM matches_sr", *s.MATCHES))
+@register("job_silver_matches", with_ctes(_MATCHES_SQL, *s.MATCHES))
 def job_silver_matches(spark, sf):
     target = _target(spark, "matches_sr")
     silver.load_matches(spark, as_view(s.bronze_matches(spark, sf), "matches_br"), target)
-    return _ntz(spark.table(target).drop("ldts"), "started_timestamp")
+    return _matches(spark.table(target).drop("ldts"))
 
 
 @register("job_silver_players", with_ctes("SELECT * FROM players_sr", *s.PLAYERS))
@@ -162,13 +172,13 @@ def job_silver_players(spark, sf):
 
 
 @register(
-    "job_silver2_matches", with_ctes(f"SELECT * FROM matches_sr WHERE {IN_WINDOW}", *s.MATCHES)
+    "job_silver2_matches", with_ctes(f"{_MATCHES_SQL} WHERE {IN_WINDOW}", *s.MATCHES)
 )
 def job_silver2_matches(spark, sf):
     target = _target(spark, "matches_s2r")
     typed = as_view(silver.typed_matches(s.bronze_matches(spark, sf)), "matches_sr")
     silver.merge_matches(spark, typed, target, s.WINDOW, s.GAME_DATES)
-    return _ntz(spark.table(target).drop("ldts"), "started_timestamp")
+    return _matches(spark.table(target).drop("ldts"))
 
 
 @register(
@@ -225,7 +235,7 @@ def job_dim_date(spark, sf):
     "job_dim_match",
     with_ctes(
         f"""SELECT md5(concat_ws('~', CAST(game_id AS VARCHAR), source)) AS match_pk, game_id, map,
- avg_elo, game_duration_secs, actual_duration_secs, started_timestamp, game_date, team_0_elo,
+ CAST(avg_elo AS DOUBLE) AS avg_elo, game_duration_secs, actual_duration_secs, started_timestamp, game_date, team_0_elo,
  team_1_elo, leaderboard, mirror, patch, source, file_date
 FROM matches_sr WHERE {IN_WINDOW}""",
         *s.MATCHES,
@@ -235,7 +245,7 @@ def job_dim_match(spark, sf):
     target = _target(spark, "dim_match_gd")
     typed = as_view(silver.typed_matches(s.bronze_matches(spark, sf)), "matches_s2r")
     gold.merge_matches(spark, typed, target, s.WINDOW)
-    return _ntz(spark.table(target).drop("load_date"), "started_timestamp")
+    return _matches(spark.table(target).drop("load_date"))
 
 
 @register(

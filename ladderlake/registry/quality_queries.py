@@ -146,32 +146,40 @@ _JUDGED = """WITH judged AS (SELECT l_orderkey, l_linenumber,
   CASE WHEN l_linenumber = 2 THEN 'profile_id: not a valid int' END,
   CASE WHEN l_linenumber = 3 THEN 'winner: not a valid bool' END) AS reasons
 FROM lineitem)"""
-_JUDGED_COLUMNS = (
-    "l_orderkey", "l_linenumber", "game_id", "civ", "new_rating", "profile_id", "winner"
-)
+# Missing numbers print differently in the two engines, so they are shown as -1.
+_JUDGED_COLUMNS = """l_orderkey, l_linenumber, coalesce(game_id, -1) AS game_id, civ,
+ coalesce(new_rating, -1) AS new_rating, coalesce(profile_id, -1) AS profile_id,
+ CAST(winner AS VARCHAR(5)) AS winner"""
+
+
+def _shown(df, *more):
+    absent = {c: F.coalesce(c, F.lit(-1)) for c in ("game_id", "new_rating", "profile_id")}
+    return df.withColumns({**absent, "winner": F.col("winner").cast("string")}).select(
+        "l_orderkey", "l_linenumber", "game_id", "civ", "new_rating", "profile_id", "winner", *more
+    )
 
 
 @register(
     "validate_rows",
-    f"{_JUDGED} SELECT {', '.join(_JUDGED_COLUMNS)} FROM judged WHERE reasons = ''",
+    f"{_JUDGED} SELECT {_JUDGED_COLUMNS} FROM judged WHERE reasons = ''",
 )
 def validate_rows(spark, sf):
     judged = records.judge(
         _raw_records(spark, sf), records.PLAYER_RECORD, "l_orderkey", "l_linenumber"
     )
-    return records.accepted(judged).select(*_JUDGED_COLUMNS)
+    return _shown(records.accepted(judged))
 
 
 @register(
     "quarantine_rows",
-    f"{_JUDGED} SELECT {', '.join(_JUDGED_COLUMNS)}, reasons FROM judged WHERE reasons <> ''",
+    f"{_JUDGED} SELECT {_JUDGED_COLUMNS}, reasons FROM judged WHERE reasons <> ''",
 )
 def quarantine_rows(spark, sf):
     judged = records.judge(
         _raw_records(spark, sf), records.PLAYER_RECORD, "l_orderkey", "l_linenumber"
     )
     rejected = records.quarantined(judged)
-    return rejected.select(*_JUDGED_COLUMNS, F.concat_ws("; ", "errors").alias("reasons"))
+    return _shown(rejected, F.concat_ws("; ", "errors").alias("reasons"))
 
 
 _DOCUMENT = """
@@ -232,8 +240,8 @@ def recast_fields(spark, sf):
 
 @register(
     "clean_float_id",
-    """SELECT l_orderkey, l_linenumber, CASE WHEN l_linenumber > 2 THEN l_suppkey END AS from_text,
- CASE WHEN l_linenumber <> 5 THEN l_suppkey END AS from_number FROM lineitem""",
+    """SELECT l_orderkey, l_linenumber, CASE WHEN l_linenumber > 2 THEN l_suppkey ELSE -1 END AS from_text,
+ CASE WHEN l_linenumber <> 5 THEN l_suppkey ELSE -1 END AS from_number FROM lineitem""",
 )
 def clean_float_id(spark, sf):
     line = F.col("l_linenumber")
@@ -245,8 +253,8 @@ def clean_float_id(spark, sf):
     return table(spark, sf, "lineitem").select(
         "l_orderkey",
         "l_linenumber",
-        cleaning.float_id(text).alias("from_text"),
-        cleaning.float_id(number).alias("from_number"),
+        F.coalesce(cleaning.float_id(text), F.lit(-1)).alias("from_text"),
+        F.coalesce(cleaning.float_id(number), F.lit(-1)).alias("from_number"),
     )
 
 

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from ladderlake import schemas
-from ladderlake.functions.columns import load_time, week_sunday
+from ladderlake.functions.columns import load_time
 from ladderlake.operators.nested import explode_structs
 from ladderlake.plans import views
 from ladderlake.registry import register
@@ -30,12 +30,12 @@ def sink_overwrite_table(spark, sf):
 
 @register(
     "sink_partitioned",
-    f"""SELECT o_orderkey, o_totalprice, {s.sunday("o_orderdate")} AS file_date FROM orders""",
+    f"""SELECT o_orderkey, o_totalprice, {s.quarter("o_orderdate")} AS file_date FROM orders""",
 )
 def sink_partitioned(spark, sf):
     name = f"{s.scratch_database(spark, 'partitioned')}.orders"
     orders = table(spark, sf, "orders").select(
-        "o_orderkey", "o_totalprice", week_sunday("o_orderdate").alias("file_date")
+        "o_orderkey", "o_totalprice", s.quarter_of("o_orderdate").alias("file_date")
     )
     write_table(orders, name, partition_by="file_date")
     return spark.table(name)
@@ -43,13 +43,13 @@ def sink_partitioned(spark, sf):
 
 def _upsert_sides(spark, sf):
     """Held: all orders but the low-priority ones. Incoming: all finished orders, their
-    price doubled and those of urgent priority moved to the next month."""
+    price doubled and those of urgent priority moved to the next quarter."""
     orders = table(spark, sf, "orders").select(
         "o_orderkey", "o_orderpriority", "o_orderstatus", "o_totalprice",
-        F.trunc("o_orderdate", "month").alias("file_date"),
+        s.quarter_of("o_orderdate").alias("file_date"),
     )
     held = orders.filter(F.col("o_orderpriority") != "5-LOW")
-    later = F.add_months("file_date", 1)
+    later = F.add_months("file_date", 3)
     incoming = orders.filter(F.col("o_orderstatus") == "F").withColumns(
         {
             "o_totalprice": F.col("o_totalprice") * 2,
@@ -63,15 +63,15 @@ def _upsert_sides(spark, sf):
 
 @register(
     "sink_upsert",
-    """WITH o AS (SELECT *, CAST(date_trunc('month', o_orderdate) AS DATE) AS m FROM orders)
+    """WITH o AS (SELECT *, CAST(date_trunc('quarter', o_orderdate) AS DATE) AS q FROM orders)
 SELECT o_orderkey, o_orderpriority,
  CASE WHEN o_orderstatus = 'F' THEN o_totalprice * 2 ELSE o_totalprice END AS o_totalprice,
  CASE WHEN o_orderstatus = 'F' AND o_orderpriority = '1-URGENT'
-  THEN CAST(m + INTERVAL 1 MONTH AS DATE) ELSE m END AS file_date
+  THEN CAST(q + INTERVAL 3 MONTH AS DATE) ELSE q END AS file_date
 FROM o WHERE o_orderstatus = 'F' OR o_orderpriority <> '5-LOW'""",
 )
 def sink_upsert(spark, sf):
-    """Merge into a table partitioned by month, with updates that change their partition."""
+    """Merge into a table partitioned by quarter, with updates that change their partition."""
     name = f"{s.scratch_database(spark, 'upsert')}.orders"
     held, incoming = _upsert_sides(spark, sf)
     upsert(spark, held, name, "o_orderkey", partition_by="file_date")

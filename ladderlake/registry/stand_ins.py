@@ -11,11 +11,11 @@ import uuid
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ladderlake.functions.columns import composite_key, single_key, week_sunday
+from ladderlake.functions.columns import composite_key, single_key
 from ladderlake.sinks.workspace import fresh_path
 
 MATCH_SOURCE, BOARD_SOURCE = "MATCH_FEED", "LEADERBOARD_FEED"
-WINDOW = ("1995-02-05", "2001-07-22")
+WINDOW = ("1995-04-01", "2001-06-30")
 GAME_DATES = ("1995-01-01", "2001-12-31")
 PAGE_ROWS = 25
 # Suppliers are profiles 0, 1, ...; their groups are numbered from here.
@@ -44,13 +44,18 @@ def as_view(df: DataFrame, name: str) -> str:
     return view
 
 
+def quarter_of(day: str) -> Column:
+    """File date of a row: the feed has a file per quarter."""
+    return F.to_date(F.trunc(day, "quarter"))
+
+
 def _whole(c: Column, kind: str = "bigint") -> Column:
     return c.cast(kind)
 
 
 # ---- matches ---------------------------------------------------------------
 def raw_matches(spark: SparkSession, sf: str) -> DataFrame:
-    """Weekly match files: every order."""
+    """Match files: every order."""
     nanos = 1_000_000_000
     return table(spark, sf, "orders").select(
         (F.floor("o_totalprice") / 256).alias("avg_elo"),
@@ -74,7 +79,7 @@ def raw_matches(spark: SparkSession, sf: str) -> DataFrame:
         F.col("o_orderstatus").alias("starting_age"),
         (F.floor("o_totalprice") / 256).alias("team_0_elo"),
         (F.floor("o_totalprice") / 512).alias("team_1_elo"),
-        week_sunday("o_orderdate").alias("file_date"),
+        quarter_of("o_orderdate").alias("file_date"),
     )
 
 
@@ -86,7 +91,7 @@ def bronze_matches(spark: SparkSession, sf: str) -> DataFrame:
 
 # ---- players ---------------------------------------------------------------
 def raw_players(spark: SparkSession, sf: str) -> DataFrame:
-    """Weekly player files: every line item; the seventh line of an order is an
+    """Player files: every line item; the seventh line of an order is an
     unknown profile."""
     brands = table(spark, sf, "part").select("p_partkey", "p_brand")
     lines = table(spark, sf, "lineitem")
@@ -100,7 +105,7 @@ def raw_players(spark: SparkSession, sf: str) -> DataFrame:
         F.col("l_linestatus").alias("replay_summary_raw"),
         _whole(F.col("l_linenumber") % 2).alias("team"),
         (F.col("l_returnflag") == "R").alias("winner"),
-        week_sunday("l_shipdate").alias("file_date"),
+        quarter_of("l_shipdate").alias("file_date"),
     )
 
 
@@ -148,14 +153,14 @@ def leaderboard_rows(spark: SparkSession, sf: str) -> DataFrame:
         F.lit(0).alias("disputes"),
         F.lit(0).alias("drops"),
         (key + F.col("shift")).alias("rank"),
-        F.lit(None).cast("int").alias("ranktotal"),
-        F.lit(None).cast("int").alias("ranklevel"),
+        F.lit(100).alias("ranktotal"),
+        F.lit(1).alias("ranklevel"),
         F.col("s_acctbal").cast("int").alias("rating"),
         F.col("s_nationkey").alias("regionrank"),
-        F.lit(None).cast("int").alias("regionranktotal"),
+        F.lit(50).alias("regionranktotal"),
         F.unix_timestamp("last_played").alias("lastmatchdate"),
         (key + 1).alias("highestrank"),
-        F.lit(None).cast("int").alias("highestranklevel"),
+        F.lit(1).alias("highestranklevel"),
         F.col("s_acctbal").cast("int").alias("highestrating"),
     )
     member = F.struct(
@@ -260,8 +265,8 @@ def keyed_days(spark: SparkSession, sf: str) -> DataFrame:
 
 
 # ---- the same in SQL -------------------------------------------------------
-def sunday(day: str) -> str:
-    return f"(CAST({day} AS DATE) - CAST(extract(dow FROM {day}) AS INTEGER))"
+def quarter(day: str) -> str:
+    return f"CAST(date_trunc('quarter', {day}) AS DATE)"
 
 
 BUCKET = """CASE WHEN avg_elo <= 600 THEN '600 or less' WHEN avg_elo <= 800 THEN '600-800'
@@ -283,7 +288,7 @@ SELECT floor(o_totalprice) / 256 AS avg_elo,
  CASE WHEN o_custkey % 5 <> 0 THEN CAST(o_custkey % 10 AS DOUBLE) END AS raw_match_type,
  o_orderkey % 2 = 0 AS replay_enhanced, o_orderdate AS started_timestamp,
  o_orderstatus AS starting_age, floor(o_totalprice) / 256 AS team_0_elo,
- floor(o_totalprice) / 512 AS team_1_elo, {sunday("o_orderdate")} AS file_date
+ floor(o_totalprice) / 512 AS team_1_elo, {quarter("o_orderdate")} AS file_date
 FROM orders""",
     "matches_sr": f"""
 SELECT CAST(avg_elo AS DECIMAL(38,2)) AS avg_elo,
@@ -302,7 +307,7 @@ SELECT lower(p_brand) AS civ, l_orderkey AS game_id, l_quantity - 25 AS match_ra
  CAST(floor(l_extendedprice / 64) - floor(l_quantity) AS BIGINT) AS old_rating,
  CASE WHEN l_linenumber <> 7 THEN l_suppkey END AS profile_id,
  l_linestatus AS replay_summary_raw, CAST(l_linenumber % 2 AS BIGINT) AS team,
- l_returnflag = 'R' AS winner, {sunday("l_shipdate")} AS file_date
+ l_returnflag = 'R' AS winner, {quarter("l_shipdate")} AS file_date
 FROM lineitem JOIN part ON l_partkey = p_partkey""",
     "players_sr": f"""
 SELECT md5(concat_ws('~', CAST(game_id AS VARCHAR), CAST(profile_id AS VARCHAR))) AS id,
@@ -326,11 +331,11 @@ FROM supplier JOIN (SELECT l_suppkey,
   max(l_shipdate) AS last_played FROM lineitem GROUP BY l_suppkey) ON s_suppkey = l_suppkey""",
     "leaderboards_sr": f"""
 SELECT 0 AS disputes, 0 AS drops, CAST(s_suppkey + 1 AS INTEGER) AS highestrank,
- CAST(NULL AS INTEGER) AS highestranklevel, CAST(trunc(s_acctbal) AS INTEGER) AS highestrating,
+ 1 AS highestranklevel, CAST(trunc(s_acctbal) AS INTEGER) AS highestrating,
  last_played AS last_match_date, 3 AS leaderboard_id, losses,
- CAST(s_suppkey + 1 AS INTEGER) AS rank, CAST(NULL AS INTEGER) AS ranklevel,
- CAST(NULL AS INTEGER) AS ranktotal, CAST(trunc(s_acctbal) AS INTEGER) AS rating,
- s_nationkey AS regionrank, CAST(NULL AS INTEGER) AS regionranktotal,
+ CAST(s_suppkey + 1 AS INTEGER) AS rank, 1 AS ranklevel,
+ 100 AS ranktotal, CAST(trunc(s_acctbal) AS INTEGER) AS rating,
+ s_nationkey AS regionrank, 50 AS regionranktotal,
  CAST(s_suppkey + {GROUP_BASE} AS INTEGER) AS statgroup_id, wins - losses AS streak, wins,
  '{BOARD_SOURCE}' AS source
 FROM supplier_stats""",

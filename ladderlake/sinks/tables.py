@@ -90,20 +90,27 @@ def upsert(
     tgt = spark.table(table)
     if sorted(src.columns) != sorted(tgt.columns):
         raise ValueError(f"columns of the source and of {table} differ")
-    if _detail(spark, table, "Provider").lower() in MERGING_FORMATS:
+    about = _details(spark, table)
+    if about["Provider"].lower() in MERGING_FORMATS:
         same_key = F.col(f"src.{key}") == F.col(f"tgt.{key}")
         (
             src.alias("src").mergeInto(f"{table} AS tgt", same_key)
             .whenMatched().updateAll().whenNotMatched().insertAll().merge()
         )
     elif partition_by:
-        _replace_partitions(spark, src, tgt, table, key, partition_by)
+        _replace_partitions(spark, src, tgt, table, about, key, partition_by)
     else:
-        _replace_table(spark, src, tgt, table, key)
+        _replace_table(spark, src, tgt, table, about, key)
 
 
 def _replace_partitions(
-    spark: SparkSession, src: DataFrame, tgt: DataFrame, table: str, key: str, part: str
+    spark: SparkSession,
+    src: DataFrame,
+    tgt: DataFrame,
+    table: str,
+    about: dict[str, str],
+    key: str,
+    part: str,
 ) -> None:
     """Rewrite only the partitions that get rows or lose replaced ones.
 
@@ -129,24 +136,31 @@ def _replace_partitions(
         .write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
         .partitionBy(part)
-        .format(_detail(spark, table, "Provider"))
-        .save(_detail(spark, table, "Location"))
+        .format(about["Provider"])
+        .save(about["Location"])
     )
     discard(spark, *stale)
-    if spark.conf.get("spark.sql.catalogImplementation") == "hive":
-        spark.catalog.recoverPartitions(table)
+    if incoming and about.get("Partition Provider") == "Catalog":
+        # The catalog lists the table's partitions, so it has to learn of new ones.
+        new = " ".join(f"PARTITION ({part} = {_literal(v)})" for v in incoming)
+        spark.sql(f"ALTER TABLE {table} ADD IF NOT EXISTS {new}")
     spark.catalog.refreshTable(table)
 
 
 def _replace_table(
-    spark: SparkSession, src: DataFrame, tgt: DataFrame, table: str, key: str
+    spark: SparkSession,
+    src: DataFrame,
+    tgt: DataFrame,
+    table: str,
+    about: dict[str, str],
+    key: str,
 ) -> None:
     """Write the merged rows beside the table, then point the table at them."""
-    old = _detail(spark, table, "Location")
+    old = about["Location"]
     base = old.rstrip("/").split("__v_")[0]
     new = f"{base}__v_{uuid.uuid4().hex}"
     merged_rows(src, tgt, key).select(*tgt.columns).write.format(
-        _detail(spark, table, "Provider")
+        about["Provider"]
     ).save(new)
     spark.sql(f"ALTER TABLE {table} SET LOCATION '{new}'")
     spark.catalog.refreshTable(table)
@@ -163,6 +177,12 @@ def _one_of(column: str, values: set) -> Column:
     return test | F.col(column).isNull() if None in values else test
 
 
-def _detail(spark: SparkSession, table: str, name: str) -> str:
-    rows = spark.sql(f"DESCRIBE TABLE EXTENDED {table}").filter(F.col("col_name") == name)
-    return rows.first()["data_type"]
+def _literal(value) -> str:
+    return "NULL" if value is None else "'" + str(value).replace("'", "\\'") + "'"
+
+
+def _details(spark: SparkSession, table: str) -> dict[str, str]:
+    """Catalog facts of a table: its provider, location and so on."""
+    rows = spark.sql(f"DESCRIBE TABLE EXTENDED {table}").collect()
+    start = [r["col_name"] for r in rows].index("# Detailed Table Information")
+    return {r["col_name"]: r["data_type"] for r in rows[start + 1 :]}

@@ -101,6 +101,6 @@ def scan_table(spark: SparkSession, name: str) -> DataFrame:
 
 
 def scan_export(spark: SparkSession, path: str, ddl: str) -> DataFrame:
-    """An exported view: gzip CSV files with header."""
-    reader = spark.read.schema(schemas.struct(ddl)).option("header", True).option("escape", '"')
-    return reader.csv(path)
+    """An exported view: gzip CSV files whose header must name the declared columns."""
+    options = {"header": "true", "escape": '"', "enforceSchema": "false"}
+    return spark.read.schema(schemas.struct(ddl)).options(**options).csv(path)
