@@ -49,18 +49,20 @@ def typed_players(bronze: DataFrame) -> DataFrame:
 
 
 def current_leaderboards(bronze: DataFrame) -> DataFrame:
-    """Latest leaderboard row of each group."""
-    rows = (
-        explode_structs(bronze, "leaderboardStats", "ldts", "source")
-        .withColumn("last_match_date", F.timestamp_seconds("lastmatchdate"))
-        .distinct()
+    """Latest leaderboard row of each group.
+
+    Equal rows need no dedup of their own: of one key's rows one is kept anyway, and the
+    shuffle that a dedup of whole rows would take is saved.
+    """
+    rows = explode_structs(bronze, "leaderboardStats", "ldts", "source").withColumn(
+        "last_match_date", F.timestamp_seconds("lastmatchdate")
     )
     return conform(latest_by_key(rows, "statgroup_id", "ldts"), schemas.LEADERBOARDS)
 
 
 def current_statgroups(bronze: DataFrame) -> DataFrame:
     """Latest membership row of each profile."""
-    rows = flatten_members(bronze, "ldts", "source").distinct()
+    rows = flatten_members(bronze, "ldts", "source")
     return conform(latest_by_key(rows, "profile_id", "ldts"), schemas.STATGROUPS)
 
 

@@ -16,7 +16,7 @@ _local_roots: dict[str, str] = {}
 
 
 def shared_root(spark: SparkSession) -> str:
-    named = spark.conf.get("spark.checkpoint.dir", None)
+    named = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if named:
         return named.rstrip("/")
     if not spark.conf.get("spark.master", "").startswith("local"):
