@@ -159,16 +159,14 @@ def nanos_to_secs(spark, sf):
 
 @register(
     "rename_lower",
-    "SELECT r_regionkey AS region_key, r_name AS region_name, n_name AS nation_name "
-    "FROM region JOIN nation ON n_regionkey = r_regionkey",
+    "SELECT c_custkey AS profile_id, c_name AS gaming_name, c_acctbal AS rating FROM customer",
 )
 def rename_lower(spark, sf):
-    regions, nations = table(spark, sf, "region"), table(spark, sf, "nation")
     return c.lower_names(
-        regions.join(nations, regions.r_regionkey == nations.n_regionkey).select(
-            F.col("r_regionkey").alias("Region_Key"),
-            F.col("r_name").alias("REGION_NAME"),
-            F.col("n_name").alias("Nation_Name"),
+        table(spark, sf, "customer").select(
+            F.col("c_custkey").alias("Profile_ID"),
+            F.col("c_name").alias("GAMING_NAME"),
+            F.col("c_acctbal").alias("Rating"),
         )
     )
 

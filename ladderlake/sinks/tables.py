@@ -87,6 +87,8 @@ def upsert(
     if not spark.catalog.tableExists(table):
         write_table(src, table, partition_by=partition_by, fmt=fmt)
         return
+    # An earlier merge may have broken off after its files changed.
+    spark.catalog.refreshTable(table)
     tgt = spark.table(table)
     if sorted(src.columns) != sorted(tgt.columns):
         raise ValueError(f"columns of the source and of {table} differ")
@@ -114,19 +116,22 @@ def _replace_partitions(
 ) -> None:
     """Rewrite only the partitions that get rows or lose replaced ones.
 
-    The history is scanned for its key and partition columns alone. What reaches the
-    driver is a list of partition values, as long as the table has partitions.
+    Partitions that get rows are rewritten anyway; the others are scanned for their key
+    and partition columns alone, to find those that hold an older row of an incoming key.
+    What reaches the driver is a list of partition values, as long as the table has
+    partitions.
     """
     incoming = _values(src.select(part))
-    losing = _values(split_by_match(tgt.select(key, part), src, key)[0].select(part))
+    others = tgt.select(key, part).filter(~F.coalesce(_one_of(part, incoming), F.lit(False)))
+    losing = _values(split_by_match(others, src, key)[0].select(part))
     merged = merged_rows(src, tgt.filter(_one_of(part, incoming | losing)), key)
 
     # A partition whose every row moves elsewhere gets no new file, so its old files are
     # noted now and removed once the new rows are in place.
-    only_losing = losing - incoming
-    remaining = _values(merged.filter(_one_of(part, only_losing)).select(part)) if only_losing else set()
-    emptied = only_losing - remaining
-    stale = _values(tgt.filter(_one_of(part, emptied)).select("_metadata.file_path")) if emptied else set()
+    remaining = _values(merged.filter(_one_of(part, losing)).select(part)) if losing else set()
+    emptied = losing - remaining
+    leaving = tgt.filter(_one_of(part, emptied)).select("_metadata.file_path")
+    stale = _values(leaving) if emptied else set()
 
     # Spark stages the new files and swaps whole partitions at commit, which is why it
     # allows this overwrite of a table that is being read.

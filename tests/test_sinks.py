@@ -4,6 +4,8 @@ import gzip
 from datetime import date, datetime
 from pathlib import Path
 
+import pyarrow as pa
+import pyarrow.parquet as pq
 import pytest
 from pyspark.sql import functions as F
 
@@ -51,6 +53,34 @@ def test_rows_move_between_partitions(spark, database, part):
     assert spark.table(name).count() == 3
 
 
+def test_a_merge_that_broke_off_is_repaired_by_the_next(spark, database, monkeypatch):
+    """The new rows are in place, the emptied partition is not yet gone: the worst moment."""
+    name = f"{database}.t"
+    upsert(spark, frame(spark, (1, "a", D1), (2, "b", D2)), name, "id", "file_date")
+    moved = frame(spark, (1, "A", D3), (3, "c", D2))
+
+    def lost(*_):
+        raise RuntimeError("driver lost")
+
+    with monkeypatch.context() as broken:
+        broken.setattr(tables, "discard", lost)
+        with pytest.raises(RuntimeError):
+            upsert(spark, moved, name, "id", "file_date")
+    upsert(spark, moved, name, "id", "file_date")
+    assert rows(spark.table(name)) == [(1, "A", D3), (2, "b", D2), (3, "c", D2)]
+
+
+def test_partitions_that_get_rows_are_not_searched(spark, database):
+    """Several rows of one partition, some staying, some moved in from another."""
+    name = f"{database}.t"
+    held = [(i, "old", D1 if i % 2 else D2) for i in range(40)]
+    upsert(spark, frame(spark, *held), name, "id", "file_date")
+    new = [(i, "new", D2) for i in range(0, 40, 3)] + [(99, "new", None)]
+    upsert(spark, frame(spark, *new), name, "id", "file_date")
+    expected = {i: (i, "old", d) for i, _, d in held} | {r[0]: r for r in new}
+    assert rows(spark.table(name)) == sorted(expected.values(), key=repr)
+
+
 def test_null_keys_never_match(spark, database, part):
     name = f"{database}.t"
     upsert(spark, frame(spark, (None, "a", D1), (1, "b", D1)), name, "id", part)
@@ -132,6 +162,32 @@ def test_run_window_prunes_directories(spark, tmp_path):
     assert "PartitionFilters: [isnotnull(file_date" in text
 
 
+def test_run_window_skips_flat_files_by_name(spark, tmp_path):
+    """Files lie side by side, named by date: those outside the window are not opened."""
+    for day in (D1, D2, D3):
+        pq.write_table(pa.table({"k": [1, 2]}), tmp_path / f"{day}.parquet")
+    src = scans.weekly_parquet(str(tmp_path), "FEED")
+    out = scans.with_provenance(
+        scans.scan(spark, src), "FEED", dated=True, window=(D2, D2)
+    ).drop("ldts")
+    assert rows(out.select("k", "file_date")) == [(1, D2), (2, D2)]
+    assert files_read(out) == 1
+
+
+def files_read(df) -> int:
+    """Files opened by the only scan of a frame that has run."""
+    df.collect()
+    node = df._jdf.queryExecution().executedPlan()
+    while not node.nodeName().startswith("Scan"):
+        if node.nodeName() == "AdaptiveSparkPlan":
+            node = node.executedPlan()
+        elif "QueryStage" in node.nodeName():
+            node = node.plan()
+        else:
+            node = node.children().apply(0)
+    return node.metrics().get("numFiles").get().value()
+
+
 def test_windowed_table_read_prunes(spark, database):
     name = f"{database}.t"
     write_table(frame(spark, (1, "a", D1), (2, "b", D2)), name, partition_by="file_date")
