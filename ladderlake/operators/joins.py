@@ -73,27 +73,31 @@ def with_civ(df: DataFrame, civs: DataFrame, fk: str = "civ_fk", alias: str = "c
     return df.join(names, fk).drop(fk)
 
 
-def opposing_pairs(lineups: DataFrame, match: str, civ: str) -> DataFrame:
-    """Pair each civ of a match with every other civ of that match.
-
-    `lineups` holds one row per match and civ with `players` and `wins`. The pair carries
-    the number of player pairs it stands for and the wins among them, which is what the
-    self join of the players would yield, from one scan instead of two. A match's line-up
-    has at most as many entries as there are civs, however many players the match had, so
-    neither the gathered array nor the pairs of a match grow with a hot match.
+def gathered_lineups(lineups: DataFrame, match: str, civ: str) -> DataFrame:
+    """One row per match with its whole line-up: `lineup`, an array of civ, players, wins.
+
+    `lineups` holds one row per match and civ, so the array has at most as many entries as
+    there are civs, however many players a hot match had.
     """
-    opponent = f"opponent_{civ}"
-    gathered = lineups.groupBy(match).agg(
-        F.collect_list(F.struct(civ, "players", "wins")).alias("_lineup")
-    )
-    mine = gathered.select(match, "_lineup", F.inline("_lineup"))
+    entry = F.struct(F.col(civ).alias("civ"), "players", "wins")
+    return lineups.groupBy(match).agg(F.collect_list(entry).alias("lineup"))
+
+
+def opposing_pairs(matches: DataFrame, *keep: str) -> DataFrame:
+    """Pair each civ of a gathered line-up with every other civ of it.
+
+    The pair carries the number of player pairs it stands for and the wins among them,
+    which is what a self join of the players would yield, from one scan instead of two.
+    Pairs of a match are bounded by the civs, not by the players.
+    """
+    mine = matches.select(*keep, "lineup", F.inline("lineup"))
     return (
-        mine.select(match, civ, "players", "wins", F.explode("_lineup").alias("_other"))
-        .filter(F.col(civ) != F.col(f"_other.{civ}"))
+        mine.select(*keep, "civ", "players", "wins", F.explode("lineup").alias("_other"))
+        .filter(F.col("civ") != F.col("_other.civ"))
         .select(
-            match,
-            civ,
-            F.col(f"_other.{civ}").alias(opponent),
+            *keep,
+            "civ",
+            F.col("_other.civ").alias("opponent_civ"),
             (F.col("players") * F.col("_other.players")).alias("player_pairs"),
             (F.col("wins") * F.col("_other.players")).alias("wins"),
         )

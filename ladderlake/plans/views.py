@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from ladderlake.functions.columns import elo_bucket, load_time, percentage_or_null, week_start
 from ladderlake.operators.aggregates import lineups, matches_and_wins
-from ladderlake.operators.joins import opposing_pairs, with_civ, with_match
+from ladderlake.operators.joins import gathered_lineups, opposing_pairs, with_civ, with_match
 from ladderlake.sinks.files import export_csv_gz
 
 # Sort order of each view, as exported.
@@ -40,12 +40,15 @@ def opponent_civ(fact: DataFrame, matches: DataFrame, civs: DataFrame) -> DataFr
 
     Every other civ of the match is an opponent, whichever team it was on.
     """
-    pairs = with_match(
-        opposing_pairs(lineups(fact), "match_fk", "civ_fk"),
+    per_match = with_match(
+        gathered_lineups(lineups(fact), "match_fk", "civ_fk"),
         matches,
         "map",
         elo_bucket("avg_elo").alias("match_elo_bucket"),
     )
+    pairs = opposing_pairs(per_match, "map", "match_elo_bucket").withColumnsRenamed(
+        {"civ": "civ_fk", "opponent_civ": "opponent_civ_fk"}
+    )
     totals = matches_and_wins(pairs, "civ_fk", "opponent_civ_fk", "map", "match_elo_bucket")
     named = with_civ(with_civ(totals, civs), civs, "opponent_civ_fk", "opponent_civ")
     return named.select(

@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from ladderlake.functions.columns import elo_bucket, percentage, week_start, win_flag
 from ladderlake.operators import aggregates
-from ladderlake.operators.joins import opposing_pairs, with_match
+from ladderlake.operators.joins import gathered_lineups, opposing_pairs, with_match
 from ladderlake.operators.latest import latest_by_key
 from ladderlake.operators.nested import explode_structs, flatten_members
 from ladderlake.plans import views
@@ -61,8 +61,11 @@ FROM fact f1 JOIN fact f2 ON f1.match_fk = f2.match_fk AND f1.civ_fk <> f2.civ_f
     ),
 )
 def agg_opponent_civ(spark, sf):
-    pairs = opposing_pairs(aggregates.lineups(s.fact(spark, sf)), "match_fk", "civ_fk")
-    pairs = with_match(pairs, s.match_dim(spark, sf), "map")
+    gathered = gathered_lineups(aggregates.lineups(s.fact(spark, sf)), "match_fk", "civ_fk")
+    per_match = with_match(gathered, s.match_dim(spark, sf), "map")
+    pairs = opposing_pairs(per_match, "map").withColumnsRenamed(
+        {"civ": "civ_fk", "opponent_civ": "opponent_civ_fk"}
+    )
     return aggregates.matches_and_wins(pairs, "civ_fk", "opponent_civ_fk", "map")
 
 

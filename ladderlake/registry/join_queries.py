@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from ladderlake.operators.aggregates import lineups
 from ladderlake.operators.joins import (
+    gathered_lineups,
     lookup_with_default,
     opposing_pairs,
     split_by_match,
@@ -117,7 +118,7 @@ def join_self_theta(spark, sf):
             F.count_if(F.col("l_returnflag") == "R").alias("wins"),
         )
     )
-    return opposing_pairs(per_match, "l_orderkey", "civ")
+    return opposing_pairs(gathered_lineups(per_match, "l_orderkey", "civ"), "l_orderkey")
 
 
 @register(

@@ -221,7 +221,7 @@ def test_a_hot_match_shrinks_to_its_lineup(spark):
     )
     hot = lineups(fact).filter("match_fk = 'hot'")
     assert hot.count() == 10
-    assert joins.opposing_pairs(hot, "match_fk", "civ_fk").count() == 90
+    assert joins.opposing_pairs(joins.gathered_lineups(hot, "match_fk", "civ_fk")).count() == 90
     text = plan(lineups(fact))
     assert text.index("HashAggregate") < text.index("Exchange") < text.rindex("HashAggregate")
 
