@@ -4,7 +4,8 @@ from __future__ import annotations
 
 import tempfile
 import zipfile
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
+from functools import partial
 from pathlib import Path
 
 import numpy as np
@@ -12,6 +13,7 @@ import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ladderlake.sinks import workspace
 
@@ -123,3 +125,42 @@ def words_of(
     starts = np.concatenate(([0], np.cumsum(sizes + 1)))[:-1]
     compact[starts + sizes] = 0x20
     return compact, starts, starts + sizes, begin, np.searchsorted(begin, offsets)
+
+
+def tailed(data: np.ndarray) -> np.ndarray:
+    """The buffer with eight zero bytes behind it, so that 8-byte lanes can be read anywhere."""
+    return np.concatenate((data, np.zeros(8, np.uint8)))
+
+
+def lanes(data: np.ndarray) -> np.ndarray:
+    """The 8-byte little-endian word at every position of a tailed buffer."""
+    return np.ndarray((len(data) - 7,), "<u8", data, strides=(1,))
+
+
+#: The lowest n bytes of a lane.
+LOW_BYTES = np.array([(1 << 8 * n) - 1 for n in range(9)], np.uint64)
+
+
+def append(
+    docs: DataFrame,
+    compute: Callable[[pa.Array], list[pa.Array]],
+    fields: str,
+    text: str = "text",
+    keep: list[str] | None = None,
+) -> DataFrame:
+    """`keep` (all columns if not given) and what `compute` makes of each slice of texts."""
+    ship(docs.sparkSession)
+    kept = docs.select(*[F.col(f"`{c}`") for c in (docs.columns if keep is None else keep)])
+    given = docs.select(*[docs[f"`{c}`"] for c in kept.columns], docs[text].cast("string").alias("__text"))
+    schema = T.StructType([*kept.schema.fields, *T._parse_datatype_string(fields).fields])
+    return given.mapInArrow(partial(_appended, compute, schema.names), schema)
+
+
+def _appended(
+    compute: Callable[[pa.Array], list[pa.Array]],
+    names: list[str],
+    batches: Iterator[pa.RecordBatch],
+) -> Iterator[pa.RecordBatch]:
+    for batch in slices(batches, "__text"):
+        made = compute(batch.column("__text"))
+        yield pa.RecordBatch.from_arrays([*batch.columns[:-1], *made], names)

@@ -2,11 +2,26 @@
 
 from __future__ import annotations
 
-from ladderlake.llm import exact_dedup, simhash
+from ladderlake.llm import (
+    bpe,
+    chat_format,
+    decontaminate,
+    exact_dedup,
+    license_scan,
+    quality_gam,
+    simhash,
+    toxicity_fm,
+)
 
 QUERIES = {
     "op1_simhash_near_dedup": simhash.query,
+    "op3_bpe": bpe.query,
     "op4_exact_dedup": exact_dedup.query,
+    "op5_toxicity": toxicity_fm.query,
+    "op6_decontamination": decontaminate.query,
+    "op7_chat_format": chat_format.query,
+    "op8_license_scan": license_scan.query,
+    "op9_quality": quality_gam.query,
 }
 
 ORACLES = {
