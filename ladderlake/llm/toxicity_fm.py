@@ -45,8 +45,8 @@ TERMS, FACTORS = 1_024, 8
 #: Hash buckets of terms, as a power of two, and lengths of leading parts in bytes.
 BUCKET_BITS = 22
 LEADING = (4, 5, 6)
-EPOCHS, BATCH, RATE = 60, 256, 0.02
-WEIGHT_DECAY, FACTOR_DECAY = 2e-4, 1e-3
+EPOCHS, BATCH, RATE = 60, 256, 0.03
+WEIGHT_DECAY, FACTOR_DECAY = 3e-5, 3e-3
 
 
 def _not_word() -> np.ndarray:
