@@ -7,14 +7,17 @@ from ladderlake.llm import (
     chat_format,
     decontaminate,
     exact_dedup,
+    html_crf,
     license_scan,
     quality_gam,
     simhash,
+    suffix_dedup,
     toxicity_fm,
 )
 
 QUERIES = {
     "op1_simhash_near_dedup": simhash.query,
+    "op2_html_extraction": html_crf.query,
     "op3_bpe": bpe.query,
     "op4_exact_dedup": exact_dedup.query,
     "op5_toxicity": toxicity_fm.query,
@@ -22,6 +25,7 @@ QUERIES = {
     "op7_chat_format": chat_format.query,
     "op8_license_scan": license_scan.query,
     "op9_quality": quality_gam.query,
+    "op10_suffix_dedup": suffix_dedup.query,
 }
 
 ORACLES = {
