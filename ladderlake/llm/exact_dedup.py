@@ -65,14 +65,13 @@ def keep_first(docs: DataFrame, text: str = "text", doc_id: str = "doc_id") -> D
 
     Of rows that repeat both id and text every one stays, as they cannot be told apart.
     """
-    held = classes(docs, text, doc_id).where(~F.col("kept") & F.col("doc_id").isNotNull())
-    gone = held.select(
+    gone = classes(docs, text, doc_id).where(~F.col("kept")).select(
         F.col("doc_id").alias("__gone_id"), F.col("text_sha256").alias("__gone_sha")
     ).distinct()
     marked = docs.withColumn("__sha", F.sha2(normalised(F.col(text)), 256))
     return marked.join(
         gone,
-        (F.col(doc_id) == F.col("__gone_id")) & (F.col("__sha") == F.col("__gone_sha")),
+        F.col(doc_id).eqNullSafe(F.col("__gone_id")) & (F.col("__sha") == F.col("__gone_sha")),
         "left_anti",
     ).drop("__sha")
 

@@ -8,10 +8,11 @@ How the windows (strings of LENGTH bytes) meet. A window's key is the smallest h
 windows mostly share their key: a run of them is a *segment*, the bytes its windows cover.
 Only counts of keys and digests of segments are shuffled first:
 
-1. A key that occurs once has no repeated window: done, and that is most of them.
+1. A key that occurs once, in a segment where its gram stands once, has no repeated window:
+   done, and that is most of them.
 2. A segment that occurs again with the same bytes (128-bit digest) is repeated as a whole.
-3. Keys with different segments go, one copy of each segment, to the index family of a
-   shard. Its batches get suffix arrays (over window starts, to a depth of LENGTH), are
+3. Keys with different segments, and segments that may repeat within themselves, go, one
+   copy of each segment, to the index family of a shard. Its batches get suffix arrays (over window starts, to a depth of LENGTH), are
    merge-scanned against the existing levels for matches of LENGTH bytes, and levels of equal
    size merge into the next, so a window is merged a logarithmic number of times.
 4. A key whose segments outgrow one shard (`HOT_BYTES`: a passage in very many documents,
@@ -77,15 +78,37 @@ def sliding_min(values: np.ndarray, width: int) -> np.ndarray:
     return np.minimum(behind[:count], ahead[width - 1 : width - 1 + count])
 
 
+def twin_windows(hashes: np.ndarray, smallest: np.ndarray, width: int) -> np.ndarray:
+    """Places of windows near two grams that share a smallest hash.
+
+    A window that starts twice in one segment brings its smallest gram with it, so a segment
+    without such a place repeats nothing within itself.
+    """
+    # A gram is the smallest of some window if no window around it has only smaller ones.
+    around = np.full(len(smallest) + 2 * width - 2, np.iinfo(np.uint64).max)
+    around[width - 1 : width - 1 + len(smallest)] = ~smallest
+    anchors = np.flatnonzero(hashes[: len(smallest) + width - 1] == ~sliding_min(around, width))
+    same = hashes[anchors[1:]] == hashes[anchors[:-1]]
+    left, right = anchors[:-1][same], anchors[1:][same]
+    near = right - left <= width
+    change = np.zeros(len(smallest) + 2, np.int32)
+    np.add.at(change, np.clip(right[near] - width, 0, len(smallest)), 1)
+    np.add.at(change, np.clip(left[near] + 2, 0, len(smallest) + 1), -1)
+    return np.cumsum(change)[: len(smallest)] > 0
+
+
 def segments(data: np.ndarray, offsets: np.ndarray, length: int = LENGTH):
-    """Runs of windows with one key: (text, first start, windows, key).
+    """Runs of windows with one key: (text, first start, windows, key, twin).
 
     Starts are places in `data`; every text ends with one closing byte that is not its own.
+    `twin` is true where a segment may repeat within itself.
     """
     none = np.zeros(0, np.int64)
     if len(data) < length + 1:
-        return none, none, none, none.astype(np.uint64)
-    key = sliding_min(gram_hashes(data), length - GRAM + 1)
+        return none, none, none, none.astype(np.uint64), none.astype(bool)
+    hashes = gram_hashes(data)
+    key = sliding_min(hashes, length - GRAM + 1)
+    twins = twin_windows(hashes, key, length - GRAM + 1)
     sizes = np.diff(offsets) - 1
     windows = np.maximum(sizes - length + 1, 0)
     doc = np.repeat(np.arange(len(windows)), windows)
@@ -96,7 +119,8 @@ def segments(data: np.ndarray, offsets: np.ndarray, length: int = LENGTH):
     new[1:] = (own[1:] != own[:-1]) | (doc[1:] != doc[:-1])
     first = np.flatnonzero(new)
     runs = np.diff(np.concatenate((first, [len(doc)])))
-    return doc[first], start[first], runs, own[first]
+    twin = np.logical_or.reduceat(twins[start], first) if len(first) else none.astype(bool)
+    return doc[first], start[first], runs, own[first], twin
 
 
 def _digest(data: bytes) -> bytes:
@@ -108,13 +132,13 @@ def _halves(digests: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
     return both[:, 0].copy(), both[:, 1].copy()
 
 
-SEGMENT = "start int, windows int, key bigint, da bigint, db bigint"
+SEGMENT = "start int, windows int, key bigint, twin boolean, da bigint, db bigint"
 
 
 def _segment_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in slices(batches, "text", 1 << 20):
         data, offsets = text_buffer(batch.column("text"))
-        doc, start, runs, key = segments(data, offsets)
+        doc, start, runs, key, twin = segments(data, offsets)
         held = data.tobytes()
         da, db = _halves(
             [_digest(held[a : a + n + LENGTH - 1]) for a, n in zip(start.tolist(), runs.tolist())]
@@ -127,10 +151,11 @@ def _segment_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBat
                 pa.array((start - offsets[doc]).astype(np.int32)),
                 pa.array(runs.astype(np.int32)),
                 pa.array(key.view(np.int64)),
+                pa.array(twin),
                 pa.array(da),
                 pa.array(db),
             ],
-            ["id", "th", "start", "windows", "key", "da", "db"],
+            ["id", "th", "start", "windows", "key", "twin", "da", "db"],
         )
 
 
@@ -364,12 +389,13 @@ def stretches(docs: DataFrame) -> DataFrame:
         found.groupBy("key")
         .agg(
             F.count(F.lit(1)).alias("n"),
-            ((F.min("da") < F.max("da")) | (F.min("db") < F.max("db"))).alias("mixed"),
+            ((F.min("da") < F.max("da")) | (F.min("db") < F.max("db"))).alias("differ"),
+            F.max("twin").alias("twin"),
         )
-        .where("n > 1")
-        .select("key", "mixed")
+        .where("n > 1 or twin")
+        .select("key", (F.col("differ") | (F.col("n") == 1)).alias("mixed"))
     )
-    shared = durable(found.join(keys, "key"))
+    shared = durable(found.drop("twin").join(keys, "key"))
     distinct = (
         shared.where("mixed")
         .groupBy("key", "da", "db")
