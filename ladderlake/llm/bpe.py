@@ -151,7 +151,9 @@ def cut_places(data: np.ndarray) -> np.ndarray:
         span = 1
         while span < WINDOW:
             factor = np.uint64(pow(0xD6E8FEB86659FD93, span, 1 << 64))
-            h = np.concatenate((np.zeros(span, np.uint64), h[:-span])) * factor + h
+            wider = h.copy()
+            wider[span:] += h[: max(len(h) - span, 0)] * factor
+            h = wider
             span *= 2
         h = (h ^ (h >> np.uint64(32))) * np.uint64(0x94D049BB133111EB)
     hit = np.flatnonzero((h >> np.uint64(64 - CUT_BITS)) == 0) + 1

@@ -220,6 +220,10 @@ def labelled_page(seed: int) -> tuple[str, list[int]]:
     page = Page(random.Random(seed))
     rng = page.rng
     page.parts.append("<!DOCTYPE html><html><head><title>t</title><style>p{}</style></head><body>")
+    if rng.random() < 0.1:  # nothing but the main text
+        _article(page)
+        page.parts.append("</body></html>")
+        return "".join(page.parts), page.labels
     box = rng.random() < 0.4
     if box:
         page.open("div", page.attribute("neutral"))

@@ -22,7 +22,7 @@ from ladderlake.llm import (
 )
 from test_llm_dedup import normal, simple_fingerprint, union
 
-MIDDLE = "/root/testdata/sf0.01"
+MIDDLE, LARGE = "/root/testdata/sf0.01", "/root/testdata/sf0.1"
 DOCS = "doc_id bigint, text string, lang string, score double, label int, buckets string"
 
 
@@ -34,13 +34,13 @@ EDGE = [(1, None), (2, ""), (3, "!!! ???"), (4, "one"), (4, "one"), (None, "a b"
 
 
 @pytest.mark.parametrize(
-    ("module", "label", "folds", "held", "accuracy"),
-    [(quality_gam, "quality", 5, 0, 0.95), (toxicity_fm, "toxic", 4, 2, 0.93)],
+    ("module", "label", "folds", "held", "accuracy", "sf"),
+    [(quality_gam, "quality", 5, 0, 0.95, MIDDLE), (toxicity_fm, "toxic", 4, 2, 0.96, LARGE)],
 )
-def test_held_out_accuracy(spark, module, label, folds, held, accuracy):
-    got = module.query(spark, MIDDLE).collect()
-    assert len(got) == 1_000
-    truth = {r.doc_id: r[label] for r in spark.read.parquet(f"{MIDDLE}/labels.parquet").collect()}
+def test_held_out_accuracy(spark, module, label, folds, held, accuracy, sf):
+    got = module.query(spark, sf).collect()
+    assert len(got) == spark.read.parquet(f"{sf}/documents.parquet").count()
+    truth = {r.doc_id: r[label] for r in spark.read.parquet(f"{sf}/labels.parquet").collect()}
     for r in got:
         assert r.held_out == (zlib.crc32(str(r.doc_id).encode()) % folds == held)
         assert 0 <= r.score <= 1 and r.predicted == int(r.score >= 0.3)
