@@ -38,7 +38,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ladderlake.llm.common import durable, ship, slices, text_buffer
+from ladderlake.llm.common import durable, ship, slices
 
 LENGTH = 400
 GRAM = 32
@@ -135,28 +135,56 @@ def _halves(digests: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
 SEGMENT = "start int, windows int, key bigint, twin boolean, da bigint, db bigint"
 
 
+#: Bytes of a text that are handled together; pieces of a longer text overlap by a window.
+PIECE_BYTES = 1 << 20
+
+
+def _pieces(texts: list[str | None]) -> Iterator[tuple[int, int, bytes]]:
+    """(row, first byte, bytes) of texts, long ones in pieces; each window is in one piece."""
+    for row, text in enumerate(texts):
+        data = (text or "").encode()
+        for start in range(0, max(len(data) - LENGTH + 1, 0), PIECE_BYTES):
+            yield row, start, data[start : start + PIECE_BYTES + LENGTH - 1]
+
+
+def _segments_of(texts: list[str | None]) -> Iterator[tuple[np.ndarray, ...]]:
+    """(row, start, windows, key, twin, da, db) of all segments, some pieces at a time."""
+    held: list[tuple[int, int, bytes]] = []
+    size = 0
+    for piece in [*_pieces(texts), None]:
+        if held and (piece is None or size + len(piece[2]) > PIECE_BYTES):
+            rows, firsts, parts = zip(*held)
+            closed = b"\n".join(parts) + b"\n"
+            data = np.frombuffer(closed, np.uint8)
+            offsets = np.cumsum([0, *(len(p) + 1 for p in parts)])
+            part, start, runs, key, twin = segments(data, offsets)
+            ends = (start + runs + LENGTH - 1).tolist()
+            da, db = _halves([_digest(closed[x:y]) for x, y in zip(start.tolist(), ends)])
+            places = start - offsets[part] + np.array(firsts)[part]
+            yield np.array(rows)[part], places, runs, key, twin, da, db
+            held, size = [], 0
+        if piece:
+            held.append(piece)
+            size += len(piece[2])
+
+
 def _segment_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in slices(batches, "text", 1 << 20):
-        data, offsets = text_buffer(batch.column("text"))
-        doc, start, runs, key, twin = segments(data, offsets)
-        held = data.tobytes()
-        da, db = _halves(
-            [_digest(held[a : a + n + LENGTH - 1]) for a, n in zip(start.tolist(), runs.tolist())]
-        )
-        rows = pa.array(doc)
-        yield pa.RecordBatch.from_arrays(
-            [
-                batch.column("id").take(rows),
-                batch.column("th").take(rows),
-                pa.array((start - offsets[doc]).astype(np.int32)),
-                pa.array(runs.astype(np.int32)),
-                pa.array(key.view(np.int64)),
-                pa.array(twin),
-                pa.array(da),
-                pa.array(db),
-            ],
-            ["id", "th", "start", "windows", "key", "twin", "da", "db"],
-        )
+    for batch in slices(batches, "text", PIECE_BYTES):
+        for row, start, runs, key, twin, da, db in _segments_of(batch.column("text").to_pylist()):
+            rows = pa.array(row)
+            yield pa.RecordBatch.from_arrays(
+                [
+                    batch.column("id").take(rows),
+                    batch.column("th").take(rows),
+                    pa.array(start.astype(np.int32)),
+                    pa.array(runs.astype(np.int32)),
+                    pa.array(key.view(np.int64)),
+                    pa.array(twin),
+                    pa.array(da),
+                    pa.array(db),
+                ],
+                ["id", "th", "start", "windows", "key", "twin", "da", "db"],
+            )
 
 
 # --- the index family -------------------------------------------------------------------------

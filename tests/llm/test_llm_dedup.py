@@ -277,6 +277,17 @@ def test_removed_stretches_are_those_of_brute_force(spark, monkeypatch, hot):
     assert sum(r[2] for r in got) > 5_000
 
 
+def test_long_texts_are_handled_in_pieces(monkeypatch):
+    monkeypatch.setattr(suffix_dedup, "PIECE_BYTES", 700)
+    rng = random.Random(3)
+    texts = ["".join(rng.choice("abcdé") for _ in range(n)) for n in (0, 399, 400, 1_098, 1_099, 5_000)] + [None]
+    seen = Counter()
+    for row, start, windows, *_ in (x for part in suffix_dedup._segments_of(texts) for x in zip(*part)):
+        seen.update((row, i) for i in range(start, start + windows))
+    sizes = [len((t or "").encode()) for t in texts]
+    assert seen == Counter((r, i) for r, n in enumerate(sizes) for i in range(max(0, n - 399)))
+
+
 def test_removed_texts_and_empty_table(spark):
     texts = [(1, "é" * 300 + "tail"), (2, "head" + "é" * 300)]
     got = dict(map(tuple, suffix_dedup.removed(documents(spark, texts)).collect()))
