@@ -50,6 +50,8 @@ def recast(df: DataFrame, casts: dict[str, str]) -> DataFrame:
 
     The decision needs one aggregate over the cast columns, of one row per cast.
     """
+    if not casts:
+        return df
     verdict = cast_failures(df, casts).collect()
     safe = {r["field"]: r["target_type"] for r in verdict if r["present"] and r["failures"] == 0}
     return df.withColumns({name: F.col(name).cast(kind) for name, kind in safe.items()})

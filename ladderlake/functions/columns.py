@@ -90,8 +90,9 @@ def week_start(day: str | Column) -> Column:
 
 
 def file_date_of(file_name: str | Column) -> Column:
-    """Date a file is named by (`2024-01-07.parquet`); null for other names."""
-    stem = F.split_part(as_column(file_name), F.lit("."), F.lit(1))
+    """Date a file is named by (`2024-01-07.parquet`, in any folder); null for other names."""
+    last = F.element_at(F.split(as_column(file_name), "/"), -1)
+    stem = F.split_part(last, F.lit("."), F.lit(1))
     return F.to_date(F.try_to_timestamp(stem, F.lit("yyyy-MM-dd")))
 
 
@@ -110,11 +111,22 @@ def load_time(as_of: Column | None = None) -> Column:
 def conform(df: DataFrame, ddl_or_struct) -> DataFrame:
     """Project onto a declared layout: its columns, its order, its types.
 
-    Extra columns go, a missing one is an analysis error and (ANSI mode being Spark's
-    default) a value that does not fit its type fails the job.
+    Extra columns go, a missing one is an analysis error, and a value that does not fit its
+    type fails the job, in ANSI mode or not.
     """
     layout = struct(ddl_or_struct) if isinstance(ddl_or_struct, str) else ddl_or_struct
-    return df.select([F.col(f.name).cast(f.dataType).alias(f.name) for f in layout])
+    given = {f.name: f.dataType for f in df.schema}
+    return df.select([_fitted(f.name, f.dataType, given.get(f.name)).alias(f.name) for f in layout])
+
+
+def _fitted(name: str, kind, given) -> Column:
+    raw = F.col(name)
+    if given == kind or given is None:
+        return raw
+    # A value that was given and comes out null did not fit.
+    unfit = F.raise_error(F.concat(F.lit(f"{name} is no {kind.simpleString()}: "), raw.cast("string")))
+    value = raw.try_cast(kind)
+    return F.coalesce(value, F.when(raw.isNotNull(), unfit.cast(kind)))
 
 
 def lower_names(df: DataFrame) -> DataFrame:

@@ -12,12 +12,19 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 
-def broadcast_if_under(df: DataFrame, max_rows: int) -> DataFrame:
+# Row limit under which a small dimension is broadcast: the calendar has one row per day and
+# civs are a fixed roster, so both stay far below; beyond, the join shuffles.
+BROADCAST_ROWS = 100_000
+
+
+def broadcast_if_under(df: DataFrame, max_rows: int = BROADCAST_ROWS) -> DataFrame:
     """Hint a broadcast only after counting the rows; beyond the limit, join as usual.
 
-    Meant for stored tables, where a count reads file footers only.
+    The count of a stored table reads file footers only. That of a derived one runs its plan
+    once more, which a roster of names is worth: without the hint every fact row would be
+    shuffled on a handful of civs.
     """
-    return F.broadcast(df) if df.count() <= max_rows else df
+    return F.broadcast(df) if df.limit(max_rows + 1).count() <= max_rows else df
 
 
 def lookup_with_default(
@@ -35,14 +42,17 @@ def star_fact(
 
     All joins are inner: a row without its civ, match, player or date is not a fact. The
     date depends on the match only, so it is joined to the matches, before the far larger
-    player rows come in. Each side carries just the columns the fact needs.
+    player rows come in. Each side carries just the columns the fact needs. The civs are
+    broadcast after a check of their number.
     """
     dated_matches = matches.select("game_id", "match_pk", "game_date").join(
         days.select(F.col("date").alias("game_date"), F.col("date_pk").alias("date_fk")),
         "game_date",
     )
     return (
-        players.join(civs.select("civ_name", F.col("civ_pk").alias("civ_fk")), "civ_name")
+        players.join(
+            broadcast_if_under(civs.select("civ_name", F.col("civ_pk").alias("civ_fk"))), "civ_name"
+        )
         .join(dated_matches.withColumnRenamed("match_pk", "match_fk"), "game_id")
         .join(people.select("profile_id", F.col("player_pk").alias("player_fk")), "profile_id")
         .select(
@@ -68,9 +78,9 @@ def with_match(df: DataFrame, matches: DataFrame, *attributes: str | Column) ->
 
 
 def with_civ(df: DataFrame, civs: DataFrame, fk: str = "civ_fk", alias: str = "civ") -> DataFrame:
-    """Replace a civ key by the civ's name."""
+    """Replace a civ key by the civ's name; civs are broadcast after a check of their number."""
     names = civs.select(F.col("civ_pk").alias(fk), F.col("civ_name").alias(alias))
-    return df.join(names, fk).drop(fk)
+    return df.join(broadcast_if_under(names), fk).drop(fk)
 
 
 def gathered_lineups(lineups: DataFrame, match: str, civ: str) -> DataFrame:
@@ -108,3 +118,9 @@ def split_by_match(src: DataFrame, tgt: DataFrame, key: str) -> tuple[DataFrame,
     """Source rows whose key the target holds, and those it does not (null keys never match)."""
     held = tgt.select(key)
     return src.join(held, key, "left_semi"), src.join(held, key, "left_anti")
+
+
+def mark_matches(src: DataFrame, tgt: DataFrame, key: str, flag: str = "matched") -> DataFrame:
+    """Source rows with a flag whether the target holds their key, from one join."""
+    held = tgt.select(key).where(F.col(key).isNotNull()).distinct().withColumn(flag, F.lit(True))
+    return src.join(held, key, "left").withColumn(flag, F.coalesce(flag, F.lit(False)))

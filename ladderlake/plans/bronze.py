@@ -21,7 +21,9 @@ def load_files(
 ) -> None:
     """Dated sources keep to the run window and are partitioned by file date, so the
     silver jobs can prune by it."""
-    df = with_provenance(scan(spark, src), src.source, dated=src.dated, window=window)
+    df = with_provenance(
+        scan(spark, src), src.source, dated=src.dated, window=window, root=src.path
+    )
     write_table(df, table, partition_by="file_date" if src.dated else None)
 
 

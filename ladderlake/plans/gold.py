@@ -7,32 +7,29 @@ from datetime import date
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ladderlake.functions.columns import composite_key, load_date, single_key
+from ladderlake import schemas
+from ladderlake.functions.columns import composite_key, conform, load_date, single_key
 from ladderlake.operators.filters import in_run_window
-from ladderlake.operators.joins import broadcast_if_under, star_fact
+from ladderlake.operators.joins import BROADCAST_ROWS, broadcast_if_under, star_fact
 from ladderlake.plans.publish import publish
 from ladderlake.quality.rules import NotNull, key_gate
 from ladderlake.sources.scans import scan_table
 
-# Row limits under which a stored dimension is broadcast: the calendar has one row per
-# day and civs are a fixed roster, so both stay far below; beyond, the join shuffles.
-BROADCAST_ROWS = 100_000
-
-
 # ---- plans -----------------------------------------------------------------
 def civ_dimension(players: DataFrame, loaded_on: Column | None = None) -> DataFrame:
-    roster = players.select(
-        single_key("civ_name").alias("civ_pk"),
-        "civ_name",
-        F.lit("").alias("civ_weaknesses"),
-        F.lit("").alias("civ_strengths"),
+    # Names are made distinct before they are hashed, so only the roster is.
+    roster = players.select("civ_name").distinct().withColumns(
+        {
+            "civ_pk": single_key("civ_name"),
+            "civ_weaknesses": F.lit(""),
+            "civ_strengths": F.lit(""),
+        }
     )
-    return _loaded(roster.dropDuplicates(), loaded_on)
+    return _loaded(roster, schemas.DIM_CIV, loaded_on)
 
 
 def date_dimension(days: DataFrame, loaded_on: Column | None = None) -> DataFrame:
-    attributes = ("date_pk", "date", "year", "month", "day", "day_of_week", "is_weekend")
-    return _loaded(days.select(*attributes), loaded_on)
+    return _loaded(days, schemas.DIM_DATE, loaded_on)
 
 
 def match_dimension(
@@ -41,46 +38,13 @@ def match_dimension(
     loaded_on: Column | None = None,
 ) -> DataFrame:
     in_window = matches.filter(in_run_window("file_date", *window))
-    return _loaded(
-        in_window.select(
-            composite_key("game_id", "source").alias("match_pk"),
-            "game_id",
-            "map",
-            "avg_elo",
-            "game_duration_secs",
-            "actual_duration_secs",
-            "started_timestamp",
-            "game_date",
-            "team_0_elo",
-            "team_1_elo",
-            "leaderboard",
-            "mirror",
-            "patch",
-            "source",
-            "file_date",
-        ),
-        loaded_on,
-    )
+    keyed = in_window.withColumn("match_pk", composite_key("game_id", "source"))
+    return _loaded(keyed, schemas.DIM_MATCH, loaded_on)
 
 
 def player_dimension(standings: DataFrame, loaded_on: Column | None = None) -> DataFrame:
-    return _loaded(
-        standings.select(
-            composite_key("profile_id", "source").alias("player_pk"),
-            "profile_id",
-            "gaming_name",
-            "country_code",
-            "country_name",
-            "statgroup_id",
-            "wins",
-            "losses",
-            "current_rank",
-            "current_rating",
-            "last_match_date",
-            "source",
-        ),
-        loaded_on,
-    )
+    keyed = standings.withColumn("player_pk", composite_key("profile_id", "source"))
+    return _loaded(keyed, schemas.DIM_PLAYER, loaded_on)
 
 
 def player_match_fact(
@@ -93,11 +57,12 @@ def player_match_fact(
     loaded_on: Column | None = None,
 ) -> DataFrame:
     in_window = players.filter(in_run_window("file_date", *window))
-    return _loaded(star_fact(in_window, civs, matches, people, days), loaded_on)
+    fact = star_fact(in_window, civs, matches, people, days)
+    return _loaded(fact, schemas.FACT_PLAYER_MATCHES, loaded_on)
 
 
-def _loaded(df: DataFrame, loaded_on: Column | None) -> DataFrame:
-    return df.withColumn("load_date", load_date(loaded_on))
+def _loaded(df: DataFrame, layout: str, loaded_on: Column | None) -> DataFrame:
+    return conform(df.withColumn("load_date", load_date(loaded_on)), layout)
 
 
 # ---- jobs ------------------------------------------------------------------
@@ -136,7 +101,7 @@ def merge_fact(
 ) -> None:
     rows = player_match_fact(
         scan_table(spark, players),
-        broadcast_if_under(scan_table(spark, civs), BROADCAST_ROWS),
+        scan_table(spark, civs),
         scan_table(spark, matches),
         scan_table(spark, people),
         broadcast_if_under(scan_table(spark, days), BROADCAST_ROWS),

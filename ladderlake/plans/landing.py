@@ -5,6 +5,7 @@ from __future__ import annotations
 from collections.abc import Mapping, Sequence
 
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
 from ladderlake.functions.cleaning import recast
 from ladderlake.quality import records
@@ -22,29 +23,39 @@ def land_records(
     by: str = "file_date",
 ) -> None:
     """Judge every record once; land the valid ones by file date, keep the others with
-    their reasons. Dates of which no record is valid are left as they are."""
+    their reasons. Dates of which no record is valid are left as they are.
+
+    The rejects of a date replace those of an earlier delivery of it, so the same delivery
+    twice leaves the quarantine as it is.
+    """
     judged, scratch = stage(records.judge(arrived, fields, by), "judged")
     try:
         good = records.accepted(judged)
         if not good.isEmpty():
             land_parquet(recast(good, dict(casts or {})), path, by)
-        records.quarantined(judged).write.mode("append").parquet(quarantine)
+        land_parquet(records.quarantined(judged), quarantine, by)
     finally:
         discard(arrived.sparkSession, scratch)
 
 
 def land_documents(
-    arrived: DataFrame, text: str, ddl: str, required: Sequence[str], path: str, quarantine: str
+    arrived: DataFrame,
+    text: str,
+    ddl: str,
+    required: Sequence[str],
+    path: str,
+    quarantine: str,
+    delivery: str = "latest",
 ) -> None:
     """Judge JSON documents once; land the valid ones as JSON lines, keep the others' text
-    with the reasons."""
+    with the reasons, by delivery: the same delivery twice is kept once."""
     parsed = records.parse_documents(arrived, text, ddl)
     judged, scratch = stage(records.judge_documents(parsed, ddl, required), "judged")
     try:
         good = records.accepted(judged)
         if not good.isEmpty():
             land_json(good.select("doc.*").drop(records.CORRUPT), path)
-        bad = records.quarantined(judged).select(text, ERRORS)
-        bad.write.mode("append").parquet(quarantine)
+        bad = records.quarantined(judged).select(text, ERRORS, F.lit(delivery).alias("delivery"))
+        land_parquet(bad, quarantine, "delivery")
     finally:
         discard(arrived.sparkSession, scratch)

@@ -7,19 +7,33 @@ from datetime import date
 
 from pyspark.sql import SparkSession
 
-from ladderlake.plans import bronze, gold, silver, views
+from ladderlake.plans import bronze, gold, landing, silver, views
+from ladderlake.quality import records
 from ladderlake.sources.calendar import CALENDAR_END, CALENDAR_START
-from ladderlake.sources.scans import FileSource, scan_table
+from ladderlake.sources.scans import (
+    FileSource,
+    json_lines,
+    scan,
+    scan_table,
+    weekly_parquet,
+    with_provenance,
+)
 
 
 @dataclass(frozen=True)
 class Lake:
-    """Databases of the three layers and the folder of exported views."""
+    """Databases of the three layers, and the folders of exported views and of landed files.
+
+    With a `landing` folder, what arrives is validated first: the valid part lands there and
+    is what the bronze layer reads, the rest goes to quarantine below it. Without one the
+    sources are taken as landed already.
+    """
 
     exports: str
     bronze: str = "bronze"
     silver: str = "silver"
     gold: str = "gold"
+    landing: str | None = None
 
     def create(self, spark: SparkSession, location: str | None = None) -> None:
         for name in (self.bronze, self.silver, self.gold):
@@ -45,6 +59,8 @@ def run(
 ) -> None:
     """Load the run window's files and carry them through to the views."""
     br, sr, gd = lake.bronze, lake.silver, lake.gold
+    if lake.landing:
+        raw = land(spark, raw, lake.landing, window)
 
     bronze.load_files(spark, raw.matches, f"{br}.matches_br", window)
     bronze.load_files(spark, raw.players, f"{br}.players_br", window)
@@ -84,6 +100,45 @@ def run(
     export_views(spark, lake)
 
 
+def land(
+    spark: SparkSession, raw: RawFiles, folder: str, window: tuple[date | str, date | str]
+) -> RawFiles:
+    """Validate what arrived; returns the sources of what landed."""
+    landed = {}
+    for name, source, fields in (
+        ("matches", raw.matches, records.MATCH_RECORD),
+        ("players", raw.players, records.PLAYER_RECORD),
+    ):
+        arrived = with_provenance(
+            scan(spark, source), source.source, dated=True, window=window, root=source.path
+        )
+        path = f"{folder}/{name}"
+        landing.land_records(
+            arrived.select(*[f.name for f in fields if f.name in arrived.columns], "file_date"),
+            fields,
+            path,
+            f"{folder}/quarantine/{name}",
+        )
+        landed[name] = weekly_parquet(path, source.source)
+    pages = raw.leaderboard_pages
+    texts = spark.read.text(pages.path, wholetext=pages.fmt == "documents")
+    landing.land_documents(
+        texts,
+        "value",
+        pages.schema,
+        records.PAGE_REQUIRED,
+        f"{folder}/leaderboard_pages",
+        f"{folder}/quarantine/leaderboard_pages",
+        delivery=str(window[1]),
+    )
+    return RawFiles(
+        landed["matches"],
+        landed["players"],
+        json_lines(f"{folder}/leaderboard_pages", pages.source, pages.schema),
+        raw.countries,
+    )
+
+
 def export_views(spark: SparkSession, lake: Lake) -> None:
     fact = scan_table(spark, f"{lake.gold}.fact_player_matches_gd")
     matches = scan_table(spark, f"{lake.gold}.dim_match_gd")

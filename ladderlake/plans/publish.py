@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, SparkSession
 
 from ladderlake.quality.rules import Rule, enforce
-from ladderlake.sinks.tables import upsert
+from ladderlake.sinks.tables import Merged, upsert
 from ladderlake.sinks.workspace import discard, stage
 
 
@@ -18,7 +18,7 @@ def publish(
     key: str,
     gate: Sequence[Rule] = (),
     partition_by: str | None = None,
-) -> None:
+) -> Merged:
     """Run the plan once into shared scratch space; the gate and the merge read that copy.
 
     A result that fails its gate never reaches the table.
@@ -26,6 +26,6 @@ def publish(
     staged, path = stage(df, table.replace(".", "_"))
     try:
         enforce(staged, gate) if gate else None
-        upsert(spark, staged, table, key, partition_by=partition_by, keys_checked=bool(gate))
+        return upsert(spark, staged, table, key, partition_by, keys_checked=bool(gate))
     finally:
         discard(spark, path)

@@ -9,21 +9,34 @@ from __future__ import annotations
 
 from collections.abc import Callable, Sequence
 from dataclasses import dataclass
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import ArrayType, DataType, StructType
+from pyspark.sql.types import (
+    ArrayType,
+    DataType,
+    IntegerType,
+    LongType,
+    StringType,
+    StructField,
+    StructType,
+)
 
 from ladderlake.functions.cleaning import float_id, to_float, to_text
 from ladderlake.schemas import struct
 
 ERRORS = "errors"
 CORRUPT = "_corrupt_record"
+NUMBERS = (IntegerType, LongType)
 
 # Words accepted as booleans, text accepted as a whole number.
 TRUE_WORDS = ("1", "on", "t", "true", "y", "yes")
 FALSE_WORDS = ("0", "off", "f", "false", "n", "no")
 WHOLE_NUMBER = r"^\s*([+-]?\d+)(?:\.0+)?\s*$"
+NUMBER = r"(?i)^\s*[+-]?(\d+\.?\d*|\.\d+)(e[+-]?\d+)?\s*$"
+INFINITE = r"(?i)^\s*[+-]?(inf(inity)?|nan)\s*$"
+
 
 @dataclass(frozen=True)
 class Field:
@@ -69,6 +82,16 @@ MATCH_RECORD = (
     Field("team_0_elo", "float"),
     Field("team_1_elo", "float"),
 )
+# Whole numbers of documents that may come with a fraction, which is cut off.
+FRACTIONS = ("profile_id",)
+# Fields a manifest must have.
+MANIFEST_REQUIRED = (
+    "db_dumps",
+    "db_dumps.start_date",
+    "db_dumps.num_matches",
+    "db_dumps.matches_url",
+    "db_dumps.players_url",
+)
 # Fields a leaderboard page must have.
 PAGE_REQUIRED = (
     "statGroups",
@@ -95,6 +118,13 @@ def _int_of(raw: Column, type_name: str) -> Column:
     return raw.try_cast("bigint")
 
 
+def _float_of(raw: Column, type_name: str) -> Column:
+    """Numbers, and text that spells one; suffixes that a cast would take are no number."""
+    if type_name != "string":
+        return raw.try_cast("double")
+    return F.when(raw.rlike(NUMBER) | raw.rlike(INFINITE), F.trim(raw).try_cast("double"))
+
+
 def _bool_of(raw: Column, type_name: str) -> Column:
     if type_name == "boolean":
         return raw
@@ -105,11 +135,15 @@ def _bool_of(raw: Column, type_name: str) -> Column:
 
 
 def _instant_of(raw: Column, type_name: str) -> Column:
-    if type_name in ("string", "date") or type_name.startswith("timestamp"):
+    if type_name == "date" or type_name.startswith("timestamp"):
         return raw.try_cast("timestamp")
-    # A number counts seconds, or milliseconds where it would lie far in the future.
-    secs = raw.try_cast("double")
-    return F.timestamp_seconds(F.when(F.abs(secs) > 2e10, secs / 1000).otherwise(secs))
+    # A number counts seconds, or milliseconds where it would lie far in the future. Text
+    # that spells a number is one.
+    secs = _float_of(raw, type_name)
+    counted = F.timestamp_seconds(F.when(F.abs(secs) > 2e10, secs / 1000).otherwise(secs))
+    if type_name != "string":
+        return counted
+    return F.when(raw.rlike(NUMBER), counted).otherwise(raw.try_cast("timestamp"))
 
 
 def _value(raw: Column, field: Field, type_name: str) -> Column:
@@ -119,7 +153,7 @@ def _value(raw: Column, field: Field, type_name: str) -> Column:
         case "int" | "nanos":
             return _int_of(raw, type_name)
         case "float":
-            return raw.try_cast("double")
+            return _float_of(raw, type_name)
         case "text":
             return raw if type_name == "string" else F.lit(None).cast("string")
         case "bool":
@@ -144,9 +178,9 @@ def judge(df: DataFrame, fields: Sequence[Field], *keep: str) -> DataFrame:
         raw = F.col(f.name) if f.name in types else F.lit(None).cast("string")
         value = _value(raw, f, types.get(f.name, "string"))
         given = raw.isNotNull()
-        if f.clean is float_id:
+        if f.clean is float_id and types.get(f.name) in ("double", "float"):
             # "Not a number" is how a float column says that there is no identifier.
-            given = given & (F.lower(raw.cast("string")) != "nan")
+            given = given & ~F.isnan(raw)
         wrong = F.when(given & value.isNull(), f"{f.name}: not a valid {f.kind}")
         reasons.append(wrong.when(raw.isNull(), f"{f.name}: missing") if f.required else wrong)
         values.append(value.alias(f.name))
@@ -178,12 +212,57 @@ def _lacks(value: Column, kind: DataType, path: Sequence[str]) -> Column:
     return child.isNotNull() & _lacks(child, kind[path[0]].dataType, path[1:])
 
 
+def _as_text(kind: DataType) -> DataType:
+    """The layout with numbers read as text, which takes them however they are written."""
+    if isinstance(kind, StructType):
+        return StructType([StructField(f.name, _as_text(f.dataType)) for f in kind])
+    if isinstance(kind, ArrayType):
+        return ArrayType(_as_text(kind.elementType))
+    return StringType() if isinstance(kind, NUMBERS) else kind
+
+
+def _number(text: Column, kind: DataType, name: str) -> Column:
+    if name in FRACTIONS:
+        return _float_of(text, "string").try_cast(kind)
+    return _int_of(text, "string").try_cast(kind)
+
+
+def _typed(value: Column, kind: DataType, name: str = "") -> Column:
+    if isinstance(kind, StructType):
+        fields = [_typed(value[f.name], f.dataType, f.name).alias(f.name) for f in kind]
+        return F.when(value.isNotNull(), F.struct(*fields))
+    if isinstance(kind, ArrayType):
+        return F.transform(value, lambda item: _typed(item, kind.elementType, name))
+    return _number(value, kind, name) if isinstance(kind, NUMBERS) else value
+
+
+def _mistyped(value: Column, kind: DataType, name: str = "") -> Column:
+    """Whether any number of the document is given but spells none."""
+    if isinstance(kind, StructType):
+        tests = [_mistyped(value[f.name], f.dataType, f.name) for f in kind]
+        return reduce(lambda a, b: a | b, tests, F.lit(False))
+    if isinstance(kind, ArrayType):
+        found = F.exists(value, lambda item: _mistyped(item, kind.elementType, name))
+        return F.coalesce(found, F.lit(False))
+    if isinstance(kind, NUMBERS):
+        return value.isNotNull() & _number(value, kind, name).isNull()
+    return F.lit(False)
+
+
 def parse_documents(df: DataFrame, text: str, ddl: str, alias: str = "doc") -> DataFrame:
     """Parse JSON text against a declared schema; what does not fit leaves the original
-    text in the document's `_corrupt_record`."""
-    schema = StructType([*struct(ddl).fields]).add(CORRUPT, "string")
+    text in the document's `_corrupt_record`.
+
+    Whole numbers are taken as flat records take them: 5, 5.0 and "5" are one number.
+    """
+    layout = struct(ddl)
+    schema = StructType([*_as_text(layout).fields]).add(CORRUPT, "string")
     options = {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": CORRUPT}
-    return df.withColumn(alias, F.from_json(text, schema, options))
+    parsed = df.withColumn(alias, F.from_json(text, schema, options))
+    doc = F.col(alias)
+    corrupt = F.coalesce(doc[CORRUPT], F.when(_mistyped(doc, layout), F.col(text)))
+    fields = [_typed(doc[f.name], f.dataType, f.name).alias(f.name) for f in layout]
+    return parsed.withColumn(alias, F.struct(*fields, corrupt.alias(CORRUPT)))
 
 
 def judge_documents(

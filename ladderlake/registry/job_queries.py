@@ -15,11 +15,13 @@ from ladderlake.registry import stand_ins as s
 from ladderlake.registry.aggregate_queries import civ_view, opponent_view
 from ladderlake.registry.join_queries import FACT_CTES, FACT_SQL, star_inputs
 from ladderlake.registry.stand_ins import as_view, table, with_ctes
-from ladderlake.sinks.files import land_parquet
+from ladderlake.sinks.files import land_json, land_parquet
 from ladderlake.sinks.tables import write_table
 from ladderlake.sinks.workspace import fresh_path
 from ladderlake.sources import scans
 
+# The load that the stand-in feeds come with last.
+LOADED = "TIMESTAMP '2024-01-02' AS ldts"
 IN_WINDOW = f"file_date BETWEEN DATE '{s.WINDOW[0]}' AND DATE '{s.WINDOW[1]}'"
 
 
@@ -61,32 +63,18 @@ def job_bronze_players(spark, sf):
 @register(
     "job_bronze_relic",
     with_ctes(
-        f"""SELECT CAST(floor((statgroup_id - {s.GROUP_BASE}) / {s.PAGE_ROWS}) AS BIGINT) AS page,
- count(*) AS entries, CAST(sum(wins) AS BIGINT) AS wins, CAST(sum(rank) AS BIGINT) AS ranks,
- source FROM (SELECT * REPLACE (rank + shift AS rank)
-  FROM leaderboards_sr, (VALUES (0), (1)) AS t(shift)) GROUP BY page, source""",
+        s.PAGE_ENTRIES.format(base=s.GROUP_BASE, more=f"'{s.BOARD_SOURCE}' AS source"),
         "supplier_stats", "leaderboards_sr",
     ),
 )
 def job_bronze_relic(spark, sf):
-    """Leaderboard pages, one multi-line document per file."""
+    """Landed leaderboard pages, a document per line."""
     path = fresh_path(spark, "pages")
-    text = F.to_json(F.struct("statGroups", "leaderboardStats"), {"pretty": "true"})
-    (
-        s.leaderboard_pages(spark, sf)
-        .select("page", F.unix_timestamp("ldts").alias("load"), text.alias("value"))
-        .write.partitionBy("page", "load")
-        .text(path)
-    )
+    land_json(s.leaderboard_pages(spark, sf).select("statGroups", "leaderboardStats"), path)
     target = f"{s.scratch_database(spark, 'pages')}.leaderboard_pages_br"
-    feed = scans.json_documents(path, s.BOARD_SOURCE, schemas.RAW_LEADERBOARD_PAGE)
+    feed = scans.json_lines(path, s.BOARD_SOURCE, schemas.RAW_LEADERBOARD_PAGE)
     bronze.load_files(spark, feed, target)
-    rows = spark.table(target).select("page", "source", F.inline("leaderboardStats"))
-    return rows.groupBy(F.col("page").cast("bigint").alias("page"), "source").agg(
-        F.count(F.lit(1)).alias("entries"),
-        F.sum("wins").alias("wins"),
-        F.sum("rank").alias("ranks"),
-    )
+    return s.page_entries(spark.table(target), "source")
 
 
 @register(
@@ -131,7 +119,8 @@ def _ntz(df, *names):
 
 def _matches(df):
     """Matches with types both engines print alike."""
-    return _ntz(df, "started_timestamp").withColumn("avg_elo", F.col("avg_elo").cast("double"))
+    times = [c for c in ("started_timestamp", "ldts") if c in df.columns]
+    return _ntz(df, *times).withColumn("avg_elo", F.col("avg_elo").cast("double"))
 
 
 _MATCHES_SQL = "SELECT * REPLACE (CAST(avg_elo AS DOUBLE) AS avg_elo) FROM matches_sr"
@@ -139,29 +128,31 @@ _MATCHES_SQL = "SELECT * REPLACE (CAST(avg_elo AS DOUBLE) AS avg_elo) FROM match
 
 @register(
     "job_silver_leaderboards",
-    with_ctes("SELECT * FROM leaderboards_sr", "supplier_stats", "leaderboards_sr"),
+    with_ctes(f"SELECT *, {LOADED} FROM leaderboards_sr", "supplier_stats", "leaderboards_sr"),
 )
 def job_silver_leaderboards(spark, sf):
     target = _target(spark, "leaderboards_sr")
     silver.load_leaderboards(spark, as_view(s.bronze_pages(spark, sf), "pages_br"), target)
-    return _ntz(spark.table(target).drop("ldts"), "last_match_date")
+    return _ntz(spark.table(target), "last_match_date", "ldts")
 
 
 @register(
     "job_silver_statgroup",
-    with_ctes("SELECT * FROM statgroup_sr", "supplier_stats", "statgroup_sr"),
+    with_ctes(f"SELECT *, {LOADED} FROM statgroup_sr", "supplier_stats", "statgroup_sr"),
 )
 def job_silver_statgroup(spark, sf):
     target = _target(spark, "statgroup_sr")
     silver.load_statgroups(spark, as_view(s.bronze_pages(spark, sf), "pages_br"), target)
-    return spark.table(target).drop("ldts")
+    return _ntz(spark.table(target), "ldts")
 
 
-@register("job_silver_matches", with_ctes(_MATCHES_SQL, *s.MATCHES))
+@register(
+    "job_silver_matches", with_ctes(f"SELECT *, {LOADED} FROM ({_MATCHES_SQL})", *s.MATCHES)
+)
 def job_silver_matches(spark, sf):
     target = _target(spark, "matches_sr")
     silver.load_matches(spark, as_view(s.bronze_matches(spark, sf), "matches_br"), target)
-    return _matches(spark.table(target).drop("ldts"))
+    return _matches(spark.table(target))
 
 
 @register("job_silver_players", with_ctes("SELECT * FROM players_sr", *s.PLAYERS))
@@ -172,13 +163,17 @@ def job_silver_players(spark, sf):
 
 
 @register(
-    "job_silver2_matches", with_ctes(f"{_MATCHES_SQL} WHERE {IN_WINDOW}", *s.MATCHES)
+    "job_silver2_matches",
+    with_ctes(f"SELECT *, {LOADED} FROM ({_MATCHES_SQL}) WHERE {IN_WINDOW}", *s.MATCHES),
 )
 def job_silver2_matches(spark, sf):
+    """A first load of a part of the window, then one of the whole: inserts and updates."""
     target = _target(spark, "matches_s2r")
     typed = as_view(silver.typed_matches(s.bronze_matches(spark, sf)), "matches_sr")
-    silver.merge_matches(spark, typed, target, s.WINDOW, s.GAME_DATES)
-    return _matches(spark.table(target).drop("ldts"))
+    first = (s.WINDOW[0], "1998-12-31")
+    for window in (first, s.WINDOW):
+        silver.merge_matches(spark, typed, target, window, s.GAME_DATES)
+    return _matches(spark.table(target))
 
 
 @register(

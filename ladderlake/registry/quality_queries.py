@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from ladderlake import schemas
 from ladderlake.functions import cleaning
 from ladderlake.quality import records, rules
 from ladderlake.quality.rules import HasColumns, InRange, NonEmpty, NotNull, Unique, quality_report
@@ -143,7 +144,7 @@ _JUDGED = """WITH judged AS (SELECT l_orderkey, l_linenumber,
  CASE WHEN l_linenumber <> 3 THEN l_returnflag = 'R' END AS winner,
  concat_ws('; ', CASE WHEN l_tax = 0.08 THEN 'civ: missing' END,
   CASE WHEN l_linenumber = 7 THEN 'game_id: not a valid int' END,
-  CASE WHEN l_linenumber = 2 THEN 'profile_id: not a valid int' END,
+  CASE WHEN l_linenumber <= 2 THEN 'profile_id: not a valid int' END,
   CASE WHEN l_linenumber = 3 THEN 'winner: not a valid bool' END) AS reasons
 FROM lineitem)"""
 # Missing numbers print differently in the two engines, so they are shown as -1.
@@ -182,46 +183,94 @@ def quarantine_rows(spark, sf):
     return _shown(rejected, F.concat_ws("; ", "errors").alias("reasons"))
 
 
-_DOCUMENT = """
-    id int, name string,
-    members array<struct<profile_id: bigint, alias: string, country: string>>
-"""
+@register(
+    "validate_matches",
+    """SELECT o_orderkey, concat_ws('; ',
+  CASE WHEN o_orderstatus = 'P' THEN 'avg_elo: not a valid float' END,
+  CASE WHEN o_orderpriority = '5-LOW' THEN 'map: missing' END,
+  CASE WHEN o_custkey % 7 = 0 THEN 'raw_match_type: not a valid float' END) AS reasons,
+ coalesce(CASE WHEN o_orderstatus <> 'P' THEN o_totalprice END, -1) AS avg_elo,
+ o_orderdate AS started_timestamp FROM orders""",
+)
+def validate_matches(spark, sf):
+    """A match record per order, all values as text: a rating with a type suffix, a missing
+    map, a match type that is a word; starts as seconds or milliseconds."""
+    key = F.col("o_custkey")
+    price = F.col("o_totalprice").cast("string")
+    start = F.unix_timestamp("o_orderdate")
+    feed = table(spark, sf, "orders").select(
+        "o_orderkey",
+        F.when(F.col("o_orderstatus") == "P", F.concat(price, F.lit("d"))).otherwise(price).alias("avg_elo"),
+        F.lit("1800000000000").alias("duration"),
+        F.col("o_orderkey").cast("string").alias("game_id"),
+        F.lit("fast").alias("game_speed"),
+        F.col("o_orderstatus").alias("game_type"),
+        F.lit("900000000000").alias("irl_duration"),
+        F.lit("random_map").alias("leaderboard"),
+        F.when(F.col("o_orderpriority") != "5-LOW", F.col("o_orderpriority")).alias("map"),
+        F.lit("no").alias("mirror"),
+        F.lit("2.0").alias("num_players"),
+        F.lit("100000").alias("patch"),
+        F.when(key % 7 == 0, "ranked").when(key % 7 != 1, "1.5").alias("raw_match_type"),
+        F.lit("true").alias("replay_enhanced"),
+        F.when(key % 2 == 0, start.cast("string")).otherwise((start * 1000).cast("string")).alias("started_timestamp"),
+        F.lit("dark").alias("starting_age"),
+        F.lit("1e3").alias("team_0_elo"),
+        F.lit(" 999.5 ").alias("team_1_elo"),
+    )
+    return records.judge(feed, records.MATCH_RECORD, "o_orderkey").select(
+        "o_orderkey",
+        F.concat_ws("; ", "errors").alias("reasons"),
+        F.coalesce("avg_elo", F.lit(-1.0)).alias("avg_elo"),
+        F.col("started_timestamp").cast("timestamp_ntz").alias("started_timestamp"),
+    )
 
 
 @register(
     "validate_document",
     """SELECT o_orderkey, concat_ws('; ',
   CASE WHEN o_orderstatus = 'P' THEN 'document: malformed or mistyped' END,
-  CASE WHEN o_orderstatus = 'P' THEN 'id: missing' END,
-  CASE WHEN o_orderpriority = '5-LOW' THEN 'members.alias: missing' END) AS reasons,
- o_orderstatus <> 'P' AND o_orderpriority <> '5-LOW' AS valid FROM orders""",
+  CASE WHEN o_orderstatus = 'P' THEN 'statGroups.id: missing' END,
+  CASE WHEN o_orderpriority = '5-LOW' THEN 'statGroups.members.alias: missing' END) AS reasons,
+ o_orderstatus <> 'P' AND o_orderpriority <> '5-LOW' AS valid,
+ CASE WHEN o_orderstatus <> 'P' THEN o_orderkey ELSE -1 END AS group_id,
+ o_custkey AS profile_id FROM orders""",
 )
 def validate_document(spark, sf):
-    """A document per order: a text where a number belongs, a member without alias."""
+    """A leaderboard page per order: a text where a number belongs, numbers written as text
+    or with a fraction, a member without alias."""
     key = F.col("o_orderkey").cast("string")
+    number = (
+        F.when(F.col("o_orderstatus") == "P", '"not_an_integer"')
+        .when(F.col("o_orderstatus") == "O", F.concat(F.lit('"'), key, F.lit('"')))
+        .otherwise(key)
+    )
     member = F.struct(
-        F.col("o_custkey").alias("profile_id"),
+        (F.col("o_custkey") + 0.5).alias("profile_id"),
         F.when(F.col("o_orderpriority") != "5-LOW", F.col("o_orderpriority")).alias("alias"),
         F.lit("se").alias("country"),
     )
     other = F.struct(
-        F.col("o_custkey").alias("profile_id"), F.lit("ally").alias("alias"), F.lit("no").alias("country")
+        F.lit(1.0).alias("profile_id"), F.lit("ally").alias("alias"), F.lit("no").alias("country")
     )
     text = F.concat(
-        F.lit('{"id": '),
-        F.when(F.col("o_orderstatus") == "P", '"not_an_integer"').otherwise(key),
+        F.lit('{"statGroups": [{"id": '),
+        number,
         F.lit(', "name": null, "members": '),
-        F.to_json(F.array(other, member)),
-        F.lit("}"),
+        F.to_json(F.array(member, other)),
+        F.lit('}], "leaderboardStats": [{"statgroup_id": "7", "rank": 1.0, "lastmatchdate": 5}]}'),
     )
+    layout = schemas.RAW_LEADERBOARD_PAGE
     docs = records.parse_documents(
-        table(spark, sf, "orders").select("o_orderkey", text.alias("body")), "body", _DOCUMENT
+        table(spark, sf, "orders").select("o_orderkey", text.alias("body")), "body", layout
     )
-    needed = ("id", "members", "members.alias", "members.country")
-    return records.judge_documents(docs, _DOCUMENT, needed).select(
+    group = F.col("doc.statGroups")[0]
+    return records.judge_documents(docs, layout, records.PAGE_REQUIRED).select(
         "o_orderkey",
         F.concat_ws("; ", "errors").alias("reasons"),
         (F.size("errors") == 0).alias("valid"),
+        F.coalesce(group["id"].cast("bigint"), F.lit(-1)).alias("group_id"),
+        group["members"][0]["profile_id"].alias("profile_id"),
     )
 
 
@@ -291,18 +340,32 @@ def clean_to_float(spark, sf):
 
 @register(
     "flag_empty_dump",
-    """SELECT d AS start_date, n AS num_matches,
+    """SELECT d AS start_date, n AS num_matches, n + 1 AS num_players, 'm' || n AS matches_url,
  CASE WHEN n = 0 THEN 'File ' || strftime(d, '%Y-%m-%d') || ' is present but is empty!' END
   AS warning
 FROM (SELECT CAST(o_orderdate AS DATE) AS d,
-  CAST(count(*) FILTER (o_orderstatus = 'F') AS INTEGER) AS n FROM orders GROUP BY 1)""",
+  CAST(count(*) FILTER (o_orderstatus = 'F') AS INTEGER) AS n FROM orders GROUP BY 1)
+WHERE month(d) <> 2""",
 )
 def flag_empty_dump(spark, sf):
-    """A manifest per month, listing each day with its number of finished orders."""
+    """A manifest per month, listing each day with its number of finished orders; those of
+    February lack a url and are rejected."""
     daily = table(spark, sf, "orders").groupBy(F.to_date("o_orderdate").alias("start_date")).agg(
         F.count_if(F.col("o_orderstatus") == "F").cast("int").alias("num_matches")
     )
+    dump = F.struct(
+        "start_date",
+        "num_matches",
+        (F.col("num_matches") + 1).cast("string").alias("num_players"),
+        F.concat(F.lit("m"), F.col("num_matches").cast("string")).alias("matches_url"),
+        F.when(F.month("start_date") != 2, "p").alias("players_url"),
+    )
     manifests = daily.groupBy(F.trunc("start_date", "month").alias("month")).agg(
-        F.collect_list(F.struct("start_date", "num_matches")).alias("db_dumps")
+        F.to_json(F.struct(F.collect_list(dump).alias("db_dumps"))).alias("body")
+    )
+    layout = schemas.RAW_MANIFEST
+    judged = records.judge_documents(
+        records.parse_documents(manifests, "body", layout), layout, records.MANIFEST_REQUIRED
     )
-    return records.manifest_entries(manifests).select("start_date", "num_matches", "warning")
+    entries = records.manifest_entries(records.accepted(judged).select("doc.*"))
+    return entries.select("start_date", "num_matches", "num_players", "matches_url", "warning")

@@ -6,15 +6,15 @@ from pyspark.sql import functions as F
 
 from ladderlake import schemas
 from ladderlake.functions.columns import load_time
-from ladderlake.operators.nested import explode_structs
 from ladderlake.plans import views
 from ladderlake.registry import register
 from ladderlake.registry import stand_ins as s
 from ladderlake.registry.aggregate_queries import civ_view
 from ladderlake.registry.stand_ins import table, with_ctes
 from ladderlake.sinks.files import land_json, land_parquet
-from ladderlake.sinks.tables import merge_counts, upsert, write_table
+from ladderlake.sinks.tables import upsert, write_table
 from ladderlake.sinks.workspace import fresh_path
+from ladderlake.sources import scans
 from ladderlake.sources.scans import scan_export
 
 
@@ -61,15 +61,15 @@ def _upsert_sides(spark, sf):
     return held.drop("o_orderstatus"), incoming.drop("o_orderstatus")
 
 
-@register(
-    "sink_upsert",
-    """WITH o AS (SELECT *, CAST(date_trunc('quarter', o_orderdate) AS DATE) AS q FROM orders)
+_UPSERTED = """WITH o AS (SELECT *, CAST(date_trunc('quarter', o_orderdate) AS DATE) AS q FROM orders)
 SELECT o_orderkey, o_orderpriority,
  CASE WHEN o_orderstatus = 'F' THEN o_totalprice * 2 ELSE o_totalprice END AS o_totalprice,
  CASE WHEN o_orderstatus = 'F' AND o_orderpriority = '1-URGENT'
   THEN CAST(q + INTERVAL 3 MONTH AS DATE) ELSE q END AS file_date
-FROM o WHERE o_orderstatus = 'F' OR o_orderpriority <> '5-LOW'""",
-)
+FROM o WHERE o_orderstatus = 'F' OR o_orderpriority <> '5-LOW'"""
+
+
+@register("sink_upsert", _UPSERTED)
 def sink_upsert(spark, sf):
     """Merge into a table partitioned by quarter, with updates that change their partition."""
     name = f"{s.scratch_database(spark, 'upsert')}.orders"
@@ -79,14 +79,31 @@ def sink_upsert(spark, sf):
     return spark.table(name)
 
 
+@register("sink_upsert_whole", _UPSERTED)
+def sink_upsert_whole(spark, sf):
+    """The same merge into a table without partitions."""
+    name = f"{s.scratch_database(spark, 'upsert_whole')}.orders"
+    held, incoming = _upsert_sides(spark, sf)
+    upsert(spark, held, name, "o_orderkey")
+    upsert(spark, incoming, name, "o_orderkey")
+    return spark.table(name)
+
+
 @register(
     "sink_upsert_metrics",
     """SELECT count(*) FILTER (o_orderpriority = '5-LOW') AS inserted,
  count(*) FILTER (o_orderpriority <> '5-LOW') AS updated FROM orders WHERE o_orderstatus = 'F'""",
 )
 def sink_upsert_metrics(spark, sf):
+    """The counts that a merge returns."""
+    name = f"{s.scratch_database(spark, 'metrics')}.orders"
     held, incoming = _upsert_sides(spark, sf)
-    return merge_counts(incoming, held, "o_orderkey")
+    upsert(spark, held, name, "o_orderkey", partition_by="file_date")
+    done = upsert(spark, incoming, name, "o_orderkey", partition_by="file_date")
+    return spark.range(1).select(
+        F.lit(done.inserted).cast("bigint").alias("inserted"),
+        F.lit(done.updated).cast("bigint").alias("updated"),
+    )
 
 
 @register("sink_csv_gz", with_ctes("SELECT * FROM civ_view", *s.CIV_VIEW))
@@ -114,15 +131,14 @@ def sink_land_parquet(spark, sf):
 @register(
     "sink_land_json",
     with_ctes(
-        """SELECT statgroup_id, wins, losses, rank + shift AS rank, rating
-FROM leaderboards_sr, (VALUES (0), (1)) AS t(shift)""",
+        s.PAGE_ENTRIES.format(base=s.GROUP_BASE, more=f"'{s.BOARD_SOURCE}' AS source"),
         "supplier_stats", "leaderboards_sr",
     ),
 )
 def sink_land_json(spark, sf):
+    """What is landed is read by the scan that the bronze job uses."""
     path = fresh_path(spark, "pages")
     land_json(s.leaderboard_pages(spark, sf).select("statGroups", "leaderboardStats"), path)
-    back = spark.read.schema(schemas.struct(schemas.RAW_LEADERBOARD_PAGE)).json(path)
-    return explode_structs(back, "leaderboardStats").select(
-        "statgroup_id", "wins", "losses", "rank", "rating"
-    )
+    feed = scans.json_lines(path, s.BOARD_SOURCE, schemas.RAW_LEADERBOARD_PAGE)
+    pages = scans.scan(spark, feed).withColumn("source", F.lit(feed.source))
+    return s.page_entries(pages, "source")

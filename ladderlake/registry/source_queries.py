@@ -9,11 +9,11 @@ from pyspark.sql import functions as F
 
 from ladderlake import schemas
 from ladderlake.functions.columns import load_time
-from ladderlake.operators.nested import explode_structs
 from ladderlake.plans import views
 from ladderlake.registry import register
 from ladderlake.registry import stand_ins as s
 from ladderlake.registry.stand_ins import table, with_ctes
+from ladderlake.sinks.files import land_json
 from ladderlake.sinks.workspace import fresh_path
 from ladderlake.sources import scans
 from ladderlake.sources.calendar import weekly_paths, weekly_windows
@@ -21,21 +21,32 @@ from ladderlake.sources.calendar import weekly_paths, weekly_windows
 
 @register(
     "scan_configured",
-    """SELECT 'MATCH_FEED' AS source, count(*) AS n FROM orders
-UNION ALL SELECT 'PLAYER_FEED', count(*) FROM lineitem
-UNION ALL SELECT 'EVENT_FEED', count(*) FROM events""",
+    """SELECT 'MATCH_FEED' AS source, o_orderkey AS id, o_orderstatus AS what FROM orders
+UNION ALL SELECT 'EVENT_FEED', event_id, event_type FROM events
+UNION ALL SELECT 'LOOKUP', c_custkey, c_name || ', "' || c_mktsegment || '"' FROM customer""",
 )
 def scan_configured(spark, sf):
+    """Three sources that only differ in their configuration: parquet, JSON lines, CSV."""
+    lines, lookup = fresh_path(spark, "events"), fresh_path(spark, "lookup")
+    events = table(spark, sf, "events").select(F.col("event_id").alias("id"), F.col("event_type").alias("what"))
+    land_json(events, lines)
+    named = F.concat(F.col("c_name"), F.lit(', "'), F.col("c_mktsegment"), F.lit('"'))
+    customers = table(spark, sf, "customer").select(F.col("c_custkey").alias("id"), named.alias("what"))
+    customers.write.option("header", True).option("escape", '"').csv(lookup)
+    layout = "id bigint, what string"
+    quoted = {"header": "true", "escape": '"'}
     configured = [
-        scans.FileSource(f"{sf}/orders.parquet", "parquet", "MATCH_FEED"),
-        scans.FileSource(f"{sf}/lineitem.parquet", "parquet", "PLAYER_FEED"),
-        scans.FileSource(f"{sf}/events.parquet", "parquet", "EVENT_FEED"),
+        (scans.FileSource(f"{sf}/orders.parquet", "parquet", "MATCH_FEED"), "o_orderkey", "o_orderstatus"),
+        (scans.json_lines(lines, "EVENT_FEED", layout), "id", "what"),
+        (scans.FileSource(lookup, "csv", "LOOKUP", schema=layout, options=quoted), "id", "what"),
     ]
-    counts = [
-        scans.scan(spark, src).agg(F.lit(src.source).alias("source"), F.count(F.lit(1)).alias("n"))
-        for src in configured
+    rows = [
+        scans.scan(spark, src).select(
+            F.lit(src.source).alias("source"), F.col(key).alias("id"), F.col(what).alias("what")
+        )
+        for src, key, what in configured
     ]
-    return reduce(DataFrame.unionByName, counts)
+    return reduce(DataFrame.unionByName, rows)
 
 
 @register("scan_parquet", "SELECT event_id, user_id, ts FROM events")
@@ -45,6 +56,7 @@ def scan_parquet(spark, sf):
     nanos = F.unix_micros(F.col("ts").cast("timestamp")) * 1000
     table(spark, sf, "events").withColumn("ts", nanos).write.parquet(path)
     feed = scans.FileSource(path, "parquet", "EVENT_FEED", nanos=("ts",))
+    spark.conf.set(scans.NANOS_AS_LONG, "true")
     return scans.scan(spark, feed).select(
         "event_id", "user_id", F.col("ts").cast("timestamp_ntz").alias("ts")
     )
@@ -53,29 +65,17 @@ def scan_parquet(spark, sf):
 @register(
     "scan_json_multiline",
     with_ctes(
-        """SELECT statgroup_id, wins, losses, rank + shift AS rank, rating,
- last_match_date AS last_played
-FROM leaderboards_sr, (VALUES (0), (1)) AS t(shift)""",
+        s.PAGE_ENTRIES.format(base=s.GROUP_BASE, more="1 AS loads"),
         "supplier_stats", "leaderboards_sr",
     ),
 )
 def scan_json_multiline(spark, sf):
-    """Pretty-printed pages, one document per file, as the interface delivers them."""
+    """Pretty-printed pages, an array of them per file."""
     path = fresh_path(spark, "pages")
-    text = F.to_json(F.struct("statGroups", "leaderboardStats"), {"pretty": "true"})
-    (
-        s.leaderboard_pages(spark, sf)
-        .select("page", F.unix_timestamp("ldts").alias("load"), text.alias("value"))
-        .write.partitionBy("page", "load")
-        .text(path)
-    )
-    pages = scans.scan(
-        spark, scans.json_documents(path, s.BOARD_SOURCE, schemas.RAW_LEADERBOARD_PAGE)
-    )
-    return explode_structs(pages, "leaderboardStats").select(
-        "statgroup_id", "wins", "losses", "rank", "rating",
-        F.timestamp_seconds("lastmatchdate").cast("timestamp_ntz").alias("last_played"),
-    )
+    s.write_page_files(spark, sf, path)
+    feed = scans.json_documents(path, s.BOARD_SOURCE, schemas.RAW_LEADERBOARD_PAGE)
+    pages = scans.scan(spark, feed).withColumn("loads", F.lit(1))
+    return s.page_entries(pages, "loads")
 
 
 @register(

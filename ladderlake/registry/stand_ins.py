@@ -18,6 +18,7 @@ MATCH_SOURCE, BOARD_SOURCE = "MATCH_FEED", "LEADERBOARD_FEED"
 WINDOW = ("1995-04-01", "2001-06-30")
 GAME_DATES = ("1995-01-01", "2001-12-31")
 PAGE_ROWS = 25
+FILE_PAGES = 32
 # Suppliers are profiles 0, 1, ...; their groups are numbered from here.
 GROUP_BASE = 1000
 
@@ -171,7 +172,9 @@ def leaderboard_rows(spark: SparkSession, sf: str) -> DataFrame:
         F.lit(0).alias("xp"),
         F.lit(1).alias("level"),
         F.col("s_nationkey").alias("leaderboardregion_id"),
-        F.concat(F.lit("n"), F.col("s_nationkey").cast("string")).alias("country"),
+        F.concat(
+            F.when(F.col("s_nationkey") < 20, "n").otherwise("x"), F.col("s_nationkey").cast("string")
+        ).alias("country"),
     )
     group = F.struct(
         (key + GROUP_BASE).alias("id"),
@@ -193,13 +196,49 @@ def leaderboard_pages(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
+def write_page_files(spark: SparkSession, sf: str, path: str) -> None:
+    """Pages as an interface delivers them: pretty-printed arrays of FILE_PAGES pages, a file
+    each."""
+    page = F.struct("statGroups", "leaderboardStats")
+    (
+        leaderboard_pages(spark, sf)
+        .groupBy(F.floor(F.col("page") / FILE_PAGES).alias("batch"))
+        .agg(F.to_json(F.collect_list(page), {"pretty": "true"}).alias("value"))
+        .write.partitionBy("batch")
+        .text(path)
+    )
+
+
+def page_entries(pages: DataFrame, *keep: str) -> DataFrame:
+    """A row per leaderboard entry, with the one member of its group."""
+    entries = pages.select("statGroups", *keep, F.explode("leaderboardStats").alias("stat"))
+    group = F.filter("statGroups", lambda g: g["id"] == F.col("stat.statgroup_id"))[0]
+    member = group["members"][0]
+    return entries.select(
+        *[f"stat.{c}" for c in ("statgroup_id", "wins", "losses", "rank", "rating")],
+        F.timestamp_seconds("stat.lastmatchdate").cast("timestamp_ntz").alias("last_played"),
+        member["profile_id"].alias("profile_id"),
+        member["alias"].alias("alias"),
+        member["country"].alias("country"),
+        *keep,
+    )
+
+
+# The same entries in SQL: two loads of every standing.
+PAGE_ENTRIES = """SELECT statgroup_id, wins, losses, rank + shift AS rank, rating,
+ last_match_date AS last_played, s_suppkey AS profile_id, s_name AS alias,
+ CASE WHEN s_nationkey < 20 THEN 'n' ELSE 'x' END || s_nationkey AS country, {more}
+FROM leaderboards_sr JOIN supplier ON s_suppkey = statgroup_id - {base},
+ (VALUES (0), (1)) AS t(shift)"""
+
+
 def bronze_pages(spark: SparkSession, sf: str) -> DataFrame:
     return leaderboard_pages(spark, sf).withColumn("source", F.lit(BOARD_SOURCE))
 
 
 def countries(spark: SparkSession, sf: str) -> DataFrame:
-    """Country lookup; it does not know the nations of the last region."""
-    return table(spark, sf, "nation").filter(F.col("n_regionkey") < 4).select(
+    """Country lookup: every nation. The codes of some suppliers are not in it."""
+    return table(spark, sf, "nation").select(
         F.col("n_name").alias("Country"),
         F.concat(F.lit("n"), F.col("n_nationkey").cast("string")).alias("Country_code"),
     )
@@ -269,6 +308,7 @@ def quarter(day: str) -> str:
     return f"CAST(date_trunc('quarter', {day}) AS DATE)"
 
 
+# Rating bands and their labels.
 BUCKET = """CASE WHEN avg_elo <= 600 THEN '600 or less' WHEN avg_elo <= 800 THEN '600-800'
  WHEN avg_elo <= 1000 THEN '800-1000' WHEN avg_elo <= 1200 THEN '1000-1200'
  WHEN avg_elo <= 1400 THEN '1200-1400' WHEN avg_elo <= 1600 THEN '1400-1600'
@@ -341,13 +381,13 @@ SELECT 0 AS disputes, 0 AS drops, CAST(s_suppkey + 1 AS INTEGER) AS highestrank,
 FROM supplier_stats""",
     "statgroup_sr": f"""
 SELECT CAST(s_suppkey + {GROUP_BASE} AS INTEGER) AS id, '' AS group_name, 1 AS type,
- s_name AS alias, 'n' || s_nationkey AS country, s_nationkey AS leaderboardregion_id,
+ s_name AS alias, CASE WHEN s_nationkey < 20 THEN 'n' ELSE 'x' END || s_nationkey AS country, s_nationkey AS leaderboardregion_id,
  1 AS level, '/steam/' || s_suppkey AS name,
  CAST(s_suppkey + {GROUP_BASE} AS INTEGER) AS personal_statgroup_id,
  CAST(s_suppkey AS INTEGER) AS profile_id, 0 AS xp, '{BOARD_SOURCE}' AS source
 FROM supplier_stats""",
     "countries": """
-SELECT n_name AS Country, 'n' || n_nationkey AS Country_code FROM nation WHERE n_regionkey < 4""",
+SELECT n_name AS Country, 'n' || n_nationkey AS Country_code FROM nation""",
     "standings": """
 SELECT profile_id, alias AS gaming_name, s.country AS country_code,
  coalesce(c.Country, 'Unknown') AS country_name, statgroup_id, wins, losses,

@@ -71,6 +71,32 @@ STATGROUPS = """
     profile_id int, xp int, ldts timestamp, source string
 """
 
+# ---- star schema -----------------------------------------------------------
+DIM_CIV = """
+    civ_pk string, civ_name string, civ_weaknesses string, civ_strengths string,
+    load_date date
+"""
+DIM_DATE = """
+    date_pk int, date date, year int, month int, day int, day_of_week int,
+    is_weekend boolean, load_date date
+"""
+DIM_MATCH = """
+    match_pk string, game_id int, map string, avg_elo decimal(38,2),
+    game_duration_secs int, actual_duration_secs int, started_timestamp timestamp,
+    game_date date, team_0_elo int, team_1_elo int, leaderboard string,
+    mirror boolean, patch string, load_date date, source string, file_date date
+"""
+DIM_PLAYER = """
+    player_pk string, profile_id int, gaming_name string, country_code string,
+    country_name string, statgroup_id int, wins int, losses int, current_rank int,
+    current_rating int, last_match_date timestamp, load_date date, source string
+"""
+FACT_PLAYER_MATCHES = """
+    fact_pk string, player_fk string, match_fk string, civ_fk string, date_fk int,
+    team string, winner boolean, match_rating_diff int, new_rating int,
+    old_rating int, source string, file_date date, load_date date
+"""
+
 # ---- exported views --------------------------------------------------------
 VIEW_CIV_PERFORMANCE = """
     civ string, game_date date, map string, match_elo_bucket string,

@@ -4,12 +4,13 @@ from __future__ import annotations
 
 import logging
 import uuid
+from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ladderlake.operators.joins import split_by_match
-from ladderlake.sinks.workspace import discard
+from ladderlake.sinks.workspace import discard, exists, stage
 
 log = logging.getLogger(__name__)
 
@@ -21,6 +22,14 @@ class DuplicateKeys(ValueError):
     """The source of an upsert holds several rows for one key."""
 
 
+@dataclass(frozen=True)
+class Merged:
+    """How many source rows an upsert inserted, and how many replaced a row of the table."""
+
+    inserted: int
+    updated: int
+
+
 def write_table(
     df: DataFrame,
     table: str,
@@ -44,21 +53,6 @@ def merged_rows(src: DataFrame, tgt: DataFrame, key: str) -> DataFrame:
     return src.unionByName(kept)
 
 
-def merge_counts(src: DataFrame, tgt: DataFrame, key: str) -> DataFrame:
-    """`inserted` and `updated` row counts an upsert has, from one join of the keys."""
-    held = tgt.select(key, F.lit(True).alias("_held"))
-    return src.select(key).join(held, key, "left").agg(
-        F.count_if(F.col("_held").isNull()).alias("inserted"),
-        F.count_if(F.col("_held")).alias("updated"),
-    )
-
-
-def first_load_counts(src: DataFrame) -> DataFrame:
-    return src.agg(
-        F.count(F.lit(1)).alias("inserted"), F.lit(0).cast("bigint").alias("updated")
-    )
-
-
 def require_unique(src: DataFrame, key: str) -> None:
     repeated = src.filter(F.col(key).isNotNull()).groupBy(key).count().filter("count > 1")
     if not repeated.isEmpty():
@@ -73,25 +67,50 @@ def upsert(
     partition_by: str | None = None,
     fmt: str = "parquet",
     keys_checked: bool = False,
-) -> None:
+) -> Merged:
     """Update the rows whose key the table holds, insert the others, delete none.
 
     The table is created if it is missing. A source row with a null key matches nothing
     and is inserted. `src` is read several times: pass a staged or stored frame.
     `keys_checked` skips the duplicate check for a source a quality gate has passed.
 
-    Re-running after a failure at any point gives the same table.
+    New files are written beside the old ones, then the catalog is pointed at them, and
+    only then are the old ones deleted. A merge that broke off anywhere has lost no row that
+    the table held and the source does not replace; running it again completes it.
     """
     if not keys_checked:
         require_unique(src, key)
     if not spark.catalog.tableExists(table):
         write_table(src, table, partition_by=partition_by, fmt=fmt)
-        return
-    # An earlier merge may have broken off after its files changed.
-    spark.catalog.refreshTable(table)
-    tgt = spark.table(table)
-    if sorted(src.columns) != sorted(tgt.columns):
-        raise ValueError(f"columns of the source and of {table} differ")
+        done = Merged(src.count(), 0)
+    else:
+        # An earlier merge may have broken off after its files changed.
+        spark.catalog.refreshTable(table)
+        tgt = spark.table(table)
+        if sorted(src.columns) != sorted(tgt.columns):
+            raise ValueError(f"columns of the source and of {table} differ")
+        # The one scan of the history: the key and partition of its rows that are replaced.
+        wanted = [key, partition_by] if partition_by else [key]
+        matched, scratch = stage(split_by_match(tgt.select(*wanted), src, key)[0], "matched")
+        try:
+            updated = matched.count()
+            _merge(spark, src, tgt, table, key, partition_by, matched)
+        finally:
+            discard(spark, scratch)
+        done = Merged(src.count() - updated, updated)
+    log.info("merged into %s: %d inserted, %d updated", table, done.inserted, done.updated)
+    return done
+
+
+def _merge(
+    spark: SparkSession,
+    src: DataFrame,
+    tgt: DataFrame,
+    table: str,
+    key: str,
+    partition_by: str | None,
+    matched: DataFrame,
+) -> None:
     about = _details(spark, table)
     if about["Provider"].lower() in MERGING_FORMATS:
         same_key = F.col(f"src.{key}") == F.col(f"tgt.{key}")
@@ -100,7 +119,8 @@ def upsert(
             .whenMatched().updateAll().whenNotMatched().insertAll().merge()
         )
     elif partition_by:
-        _replace_partitions(spark, src, tgt, table, about, key, partition_by)
+        losing = _values(matched.select(partition_by))
+        _replace_partitions(spark, src, tgt, table, about, key, partition_by, losing)
     else:
         _replace_table(spark, src, tgt, table, about, key)
 
@@ -113,43 +133,67 @@ def _replace_partitions(
     about: dict[str, str],
     key: str,
     part: str,
+    losing: set,
 ) -> None:
-    """Rewrite only the partitions that get rows or lose replaced ones.
+    """Rewrite the partitions that get rows or lose replaced ones; touch no other.
 
-    Partitions that get rows are rewritten anyway; the others are scanned for their key
-    and partition columns alone, to find those that hold an older row of an incoming key.
-    What reaches the driver is a list of partition values, as long as the table has
-    partitions.
+    Each of them is written once into a folder of this merge. What reaches the driver is a
+    list of partition values, as long as the table has partitions.
     """
-    incoming = _values(src.select(part))
-    others = tgt.select(key, part).filter(~F.coalesce(_one_of(part, incoming), F.lit(False)))
-    losing = _values(split_by_match(others, src, key)[0].select(part))
-    merged = merged_rows(src, tgt.filter(_one_of(part, incoming | losing)), key)
-
-    # A partition whose every row moves elsewhere gets no new file, so its old files are
-    # noted now and removed once the new rows are in place.
-    remaining = _values(merged.filter(_one_of(part, losing)).select(part)) if losing else set()
-    emptied = losing - remaining
-    leaving = tgt.filter(_one_of(part, emptied)).select("_metadata.file_path")
-    stale = _values(leaving) if emptied else set()
-
-    # Spark stages the new files and swaps whole partitions at commit, which is why it
-    # allows this overwrite of a table that is being read.
+    if about.get("Partition Provider") != "Catalog":
+        raise ValueError(f"the catalog does not list the partitions of {table}")
+    # Writers put empty text where they put null, and it is read back as null.
+    touched = {None if v == "" else v for v in _values(src.select(part)) | losing}
+    version = f"{about['Location'].rstrip('/')}/_merges/{uuid.uuid4().hex}"
     (
-        merged.select(*tgt.columns)
+        merged_rows(src, tgt.filter(_one_of(part, touched)), key)
+        .select(*tgt.columns)
         .hint("rebalance", F.col(part))
-        .write.mode("overwrite")
-        .option("partitionOverwriteMode", "dynamic")
-        .partitionBy(part)
+        .write.partitionBy(part)
         .format(about["Provider"])
-        .save(about["Location"])
+        .save(version)
     )
-    discard(spark, *stale)
-    if incoming and about.get("Partition Provider") == "Catalog":
-        # The catalog lists the table's partitions, so it has to learn of new ones.
-        new = " ".join(f"PARTITION ({part} = {_literal(v)})" for v in incoming)
-        spark.sql(f"ALTER TABLE {table} ADD IF NOT EXISTS {new}")
+    listed = {row[0] for row in spark.sql(f"SHOW PARTITIONS {table}").collect()}
+    places = {value: _folder(spark, part, value) for value in touched}
+    old = [_location(spark, table, part, v) for v, place in places.items() if place in listed]
+    full = [v for v, place in places.items() if exists(spark, f"{version}/{place}")]
+    for value in full:
+        _point(spark, table, part, value, f"{version}/{places[value]}", places[value] in listed)
+    for value in touched.difference(full):  # every row of it moved elsewhere
+        _spec_dropped(spark, table, _spec(part, value))
     spark.catalog.refreshTable(table)
+    discard(spark, *old)
+
+
+def _point(
+    spark: SparkSession, table: str, part: str, value, path: str, listed: bool
+) -> None:
+    """Let a partition of the catalog be the files at `path`."""
+    quoted = path.replace("\\", "\\\\").replace("'", "\\'")
+    spec = _spec(part, value)
+    if listed:
+        spark.sql(f"ALTER TABLE {table} {spec} SET LOCATION '{quoted}'")
+    else:
+        spark.sql(f"ALTER TABLE {table} ADD IF NOT EXISTS {spec} LOCATION '{quoted}'")
+
+
+def _spec_dropped(spark: SparkSession, table: str, spec: str) -> None:
+    spark.sql(f"ALTER TABLE {table} DROP IF EXISTS {spec}")
+
+
+def _folder(spark: SparkSession, part: str, value) -> str:
+    """Name of a partition's folder, as writers make it and the catalog lists it."""
+    names = spark._jvm.org.apache.spark.sql.catalyst.catalog.ExternalCatalogUtils
+    return names.getPartitionPathString(part, None if value is None else _text(value))
+
+
+def _location(spark: SparkSession, table: str, part: str, value) -> str:
+    rows = spark.sql(f"DESCRIBE TABLE EXTENDED {table} {_spec(part, value)}").collect()
+    return next(r["data_type"] for r in rows if r["col_name"] == "Location")
+
+
+def _spec(part: str, value) -> str:
+    return f"PARTITION ({part} = {_literal(value)})"
 
 
 def _replace_table(
@@ -182,8 +226,14 @@ def _one_of(column: str, values: set) -> Column:
     return test | F.col(column).isNull() if None in values else test
 
 
+def _text(value) -> str:
+    return str(value).lower() if isinstance(value, bool) else str(value)
+
+
 def _literal(value) -> str:
-    return "NULL" if value is None else "'" + str(value).replace("'", "\\'") + "'"
+    if value is None:
+        return "NULL"
+    return "'" + _text(value).replace("\\", "\\\\").replace("'", "\\'") + "'"
 
 
 def _details(spark: SparkSession, table: str) -> dict[str, str]:

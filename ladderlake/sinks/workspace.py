@@ -2,29 +2,22 @@
 
 Executors come and go, so intermediate results live in the folder all of them share:
 the one the session names in `spark.checkpoint.dir`. Only a local session that names
-none gets a temporary folder of its own.
+none uses a folder of its warehouse, which it shares with nobody else.
 """
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
-_local_roots: dict[str, str] = {}
-
-
 def shared_root(spark: SparkSession) -> str:
     named = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if named:
         return named.rstrip("/")
     if not spark.conf.get("spark.master", "").startswith("local"):
         raise ValueError("set spark.checkpoint.dir to a folder all executors share")
-    app = spark.sparkContext.applicationId
-    if app not in _local_roots:
-        _local_roots[app] = tempfile.mkdtemp(prefix="ladderlake-")
-    return _local_roots[app]
+    return f"{spark.conf.get('spark.sql.warehouse.dir').rstrip('/')}/_scratch"
 
 
 def fresh_path(spark: SparkSession, name: str) -> str:
@@ -40,7 +33,14 @@ def stage(df: DataFrame, name: str = "stage") -> tuple[DataFrame, str]:
 
 
 def discard(spark: SparkSession, *paths: str) -> None:
-    """Delete files or folders this package wrote."""
+    """Delete files or folders this package wrote; raises where one is still there."""
     for path in paths:
         target = spark._jvm.org.apache.hadoop.fs.Path(path)
-        target.getFileSystem(spark._jsc.hadoopConfiguration()).delete(target, True)
+        files = target.getFileSystem(spark._jsc.hadoopConfiguration())
+        if not files.delete(target, True) and files.exists(target):
+            raise OSError(f"cannot delete {path}")
+
+
+def exists(spark: SparkSession, path: str) -> bool:
+    target = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return target.getFileSystem(spark._jsc.hadoopConfiguration()).exists(target)

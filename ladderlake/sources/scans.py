@@ -8,6 +8,7 @@ from datetime import date
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import ArrayType
 
 from ladderlake import schemas
 from ladderlake.functions.columns import file_date_of, load_time, nanos_to_timestamp
@@ -15,11 +16,17 @@ from ladderlake.operators.filters import in_run_window
 
 log = logging.getLogger(__name__)
 
+NANOS_AS_LONG = "spark.sql.legacy.parquet.nanosAsLong"
+#: Column with the full path of a row's file, until `with_provenance` replaces it.
+FILE_PATH = "__file_path"
+
 
 @dataclass(frozen=True)
 class FileSource:
     """Where and how one kind of raw file is read.
 
+    `fmt`: parquet, csv, json (a document per line) or documents (JSON files that hold one
+    document or one array of documents each, over any number of lines).
     `dated`: the files are named by, or partitioned by, a file date.
     `schema`: DDL; always given for JSON and CSV, so nothing is inferred from the data
     (an empty nested array would be inferred as strings). Parquet carries its own.
@@ -39,8 +46,14 @@ def weekly_parquet(path: str, source: str, nanos: tuple[str, ...] = ()) -> FileS
     return FileSource(path, "parquet", source, dated=True, nanos=nanos)
 
 
+def json_lines(path: str, source: str, schema: str) -> FileSource:
+    """Landed documents, one JSON object per line; large files are split."""
+    return FileSource(path, "json", source, schema=schema)
+
+
 def json_documents(path: str, source: str, schema: str) -> FileSource:
-    return FileSource(path, "json", source, schema=schema, options={"multiLine": "true"})
+    """Files as an interface delivers them: one document or array of documents per file."""
+    return FileSource(path, "documents", source, schema=schema)
 
 
 def csv_lookup(path: str, source: str, schema: str) -> FileSource:
@@ -48,19 +61,59 @@ def csv_lookup(path: str, source: str, schema: str) -> FileSource:
 
 
 def scan(spark: SparkSession, src: FileSource) -> DataFrame:
-    """The files as a DataFrame; nanosecond timestamps become Spark timestamps."""
-    reader = spark.read.format(src.fmt).options(**src.options)
+    """The files as a DataFrame; nanosecond timestamps become Spark timestamps.
+
+    Text that does not fit its schema fails the job: a malformed record is never read as
+    nulls. A source with `nanos` needs `spark.sql.legacy.parquet.nanosAsLong` set on the
+    session, the only way Spark offers to such files; the session is left as it is.
+    """
+    if src.fmt == "documents":
+        return _documents(spark, src)
+    options = {"mode": "FAILFAST"} if src.fmt in ("json", "csv") else {}
+    reader = spark.read.format(src.fmt).options(**options | src.options)
     if src.schema:
         reader = reader.schema(schemas.struct(src.schema))
-    if src.nanos:
-        # Spark has no nanosecond timestamp; its parquet reader offers only this
-        # session-wide way in, so it is set for sources that declare such columns.
-        spark.conf.set("spark.sql.legacy.parquet.nanosAsLong", "true")
+    if src.nanos and spark.conf.get(NANOS_AS_LONG, "false").lower() != "true":
+        raise ValueError(f"{src.path} holds nanosecond timestamps: set {NANOS_AS_LONG}")
     df = reader.load(src.path)
     as_counts = [c for c in src.nanos if dict(df.dtypes)[c] == "bigint"]
     return df.withColumns({c: nanos_to_timestamp(c) for c in as_counts}) if as_counts else df
 
 
+def _documents(spark: SparkSession, src: FileSource) -> DataFrame:
+    """Whole JSON files.
+
+    The text is parsed inside brackets, so that a second document behind the first one is
+    an error and not left out; a file that is an array already is taken as it is.
+    """
+    layout = ArrayType(schemas.struct(src.schema))
+    files = spark.read.options(**src.options).text(src.path, wholetext=True)
+    kept = [c for c in files.columns if c != "value"]
+    text, strict = F.concat(F.lit("["), "value", F.lit("]")), {"mode": "FAILFAST"}
+    parsed = F.when(
+        F.col("value").rlike(r"^\s*\["), F.flatten(F.from_json(text, ArrayType(layout), strict))
+    ).otherwise(F.from_json(text, layout, strict))
+    named = files.select(*kept, F.col("_metadata.file_path").alias(FILE_PATH), parsed.alias("docs"))
+    return named.select(FILE_PATH, F.inline("docs"), *kept)
+
+
+def _place(spark: SparkSession, root: str | None) -> Column:
+    """Path of a row's file below the source's folder, decoded; the file name without one."""
+    # Paths come percent-encoded; a plus sign stands for itself in them.
+    path = F.url_decode(F.regexp_replace(F.col(FILE_PATH), r"\+", "%2B"))
+    name = F.element_at(F.split(path, "/"), -1)
+    if root is None:
+        return name
+    folder = spark._jvm.org.apache.hadoop.fs.Path(root)
+    files = folder.getFileSystem(spark._jsc.hadoopConfiguration())
+    start = F.lit(files.makeQualified(folder).toString() + "/")
+    # Schemes of local files differ in their slashes from place to place.
+    plain = lambda c: F.regexp_replace(c, r"^([a-z]+):/+", "$1:/")
+    return F.when(
+        F.startswith(plain(path), plain(start)), F.substring(plain(path), F.length(plain(start)) + 1, F.length(path))
+    ).otherwise(name)
+
+
 def with_provenance(
     df: DataFrame,
     source: str,
@@ -68,14 +121,20 @@ def with_provenance(
     dated: bool = False,
     window: tuple[date | str, date | str] | None = None,
     loaded_at: Column | None = None,
+    root: str | None = None,
 ) -> DataFrame:
     """Add `fn`, `file_date`, `source` and `ldts` to a file scan.
 
+    `fn` is the path below `root`, so equal rows of files with one name in two folders stay
+    two rows. The file date is that of the path's last part.
+
     The run window is applied before the row dedup, and the load time after it, so the
     dedup shuffles the window only and equal rows stay equal. A `file_date` partition
     column is used as it is, which lets the window prune directories.
     """
-    out = df.select("*", F.col("_metadata.file_name").alias("fn"))
+    if FILE_PATH not in df.columns:
+        df = df.select("*", F.col("_metadata.file_path").alias(FILE_PATH))
+    out = df.withColumn("fn", _place(df.sparkSession, root)).drop(FILE_PATH)
     if dated:
         if "file_date" not in df.columns:
             out = out.withColumn("file_date", file_date_of("fn"))

@@ -6,6 +6,7 @@ from datetime import date, datetime
 import pyarrow as pa
 import pyarrow.parquet as pq
 import pytest
+from pyspark.sql import Row
 from pyspark.sql import functions as F
 
 from conftest import rows
@@ -58,8 +59,17 @@ def test_time(spark):
 def test_conform(spark):
     df = spark.createDataFrame([("7", 1.9, "x")], "a string, b double, extra string")
     assert rows(c.conform(df, "b int, a bigint")) == [(1, 7)]
-    with pytest.raises(Exception, match="CAST_INVALID_INPUT"):
-        c.conform(df, "extra int").collect()
+    for ansi in ("true", "false"):
+        spark.conf.set("spark.sql.ansi.enabled", ansi)
+        try:
+            with pytest.raises(Exception, match="extra is no int: "):
+                c.conform(df, "extra int").collect()
+            narrow = spark.createDataFrame([(1 << 40,)], "n bigint")
+            with pytest.raises(Exception, match="n is no int: 1099511627776"):
+                c.conform(narrow, "n int").collect()
+            assert rows(c.conform(narrow, "n decimal(38,2)"))[0][0] == 1 << 40
+        finally:
+            spark.conf.unset("spark.sql.ansi.enabled")
     with pytest.raises(Exception, match="UNRESOLVED_COLUMN"):
         c.conform(df, "missing int")
 
@@ -70,6 +80,9 @@ def test_nanosecond_parquet(spark, tmp_path):
     stamps = [datetime(2024, 1, 7, 12, 30, 1, 5), before, None]
     table = pa.table({"t": pa.array(stamps, pa.timestamp("ns")), "id": [1, 2, 3]})
     pq.write_table(table, tmp_path / "2024-01-07.parquet")
+    with pytest.raises(ValueError, match="nanosecond"):
+        scans.scan(spark, scans.weekly_parquet(str(tmp_path), "FEED", nanos=("t",)))
+    spark.conf.set(scans.NANOS_AS_LONG, "true")
     try:
         df = scans.scan(spark, scans.weekly_parquet(str(tmp_path), "FEED", nanos=("t",)))
         got = df.select("id", F.col("t").cast("timestamp_ntz"))
@@ -93,6 +106,48 @@ def test_provenance(spark, tmp_path):
     ]
 
 
+def test_provenance_keeps_folders_apart(spark, tmp_path):
+    """Equal rows in files of one name, in folders whose names are escaped in paths."""
+    for folder in ("a", "b c+d%"):
+        (tmp_path / folder).mkdir()
+        pq.write_table(pa.table({"k": [1, 1]}), tmp_path / folder / "2024-01-07.parquet")
+    source = scans.FileSource(str(tmp_path), "parquet", "FEED", options={"recursiveFileLookup": "true"})
+    out = scans.with_provenance(
+        scans.scan(spark, source), "FEED", dated=True, root=source.path
+    )
+    assert rows(out.select("k", "fn", "file_date")) == [
+        (1, "a/2024-01-07.parquet", date(2024, 1, 7)),
+        (1, "b c+d%/2024-01-07.parquet", date(2024, 1, 7)),
+    ]
+
+
+LINE = "k int, more array<struct<x: string>>"
+
+
+def test_json_documents(spark, tmp_path):
+    """One document or one array per file; a second document is an error, not a loss."""
+    (tmp_path / "a.json").write_text('{\n "k": 1,\n "more": [{"x": "]"}]\n}\n')
+    (tmp_path / "b.json").write_text('\n[ {"k": 2}, {"k": 3, "more": []}\n]\n')
+    source = scans.json_documents(str(tmp_path), "FEED", LINE)
+    df = scans.scan(spark, source)
+    assert rows(df.select("k", "more")) == [(1, [Row(x="]")]), (2, None), (3, [])]
+    named = scans.with_provenance(df, "FEED", root=source.path)
+    assert rows(named.select("k", "fn")) == [(1, "a.json"), (2, "b.json"), (3, "b.json")]
+    for bad in ('{"k": 1}\n{"k": 2}', '{"k": 1', '{"k": "x"}', '[{"k": 1}] [{"k": 2}]'):
+        (tmp_path / "c.json").write_text(bad)
+        with pytest.raises(Exception, match="MALFORMED_RECORD|FAILFAST|malformed"):
+            scans.scan(spark, source).collect()
+
+
+def test_malformed_lines_fail(spark, tmp_path):
+    (tmp_path / "a.json").write_text('{"k": 1}\n{"k": 2, "mo\n')
+    with pytest.raises(Exception, match="MALFORMED_RECORD|FAILFAST"):
+        scans.scan(spark, scans.json_lines(str(tmp_path / "a.json"), "FEED", LINE)).collect()
+    (tmp_path / "a.csv").write_text("a,b\n1,2\n1,2,3\n")
+    with pytest.raises(Exception, match="MALFORMED|FAILFAST"):
+        scans.scan(spark, scans.csv_lookup(str(tmp_path / "a.csv"), "FEED", "a string, b string")).collect()
+
+
 def test_cleaning(spark):
     assert value(spark, cleaning.float_id(F.lit("123.0"))) == 123
     assert value(spark, cleaning.float_id(F.lit("NaN"))) is None

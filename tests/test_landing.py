@@ -6,6 +6,7 @@ from conftest import rows
 from ladderlake import schemas
 from ladderlake.plans.landing import land_documents, land_records
 from ladderlake.quality.records import PAGE_REQUIRED, Field
+from ladderlake.sources import scans
 from test_quality import MEMBER, STAT
 
 D1, D2 = date(2024, 1, 7), date(2024, 1, 14)
@@ -23,21 +24,28 @@ def test_records(spark, tmp_path):
     assert rows(spark.read.parquet(bad).select("name", "errors")) == [
         ("b", ["id: not a valid int"])
     ]
+    # The same delivery again changes nothing.
+    land_records(first, FIELDS, good, bad, casts={"id": "int", "name": "double"})
+    assert spark.read.parquet(good).count() == 2 and spark.read.parquet(bad).count() == 1
     # A delivery without one valid record leaves what has landed.
-    land_records(spark.createDataFrame([("y", "d", D1)], layout), FIELDS, good, bad)
+    land_records(spark.createDataFrame([("y", "d", D2)], layout), FIELDS, good, bad)
     assert spark.read.parquet(good).count() == 2
-    assert spark.read.parquet(bad).count() == 2
+    assert rows(spark.read.parquet(bad).select("name")) == [("b",), ("d",)]
 
 
 def test_documents(spark, tmp_path):
     good, bad = str(tmp_path / "good"), str(tmp_path / "bad")
     valid = f'{{"statGroups": [{{"id": 1, "members": [{MEMBER}]}}], "leaderboardStats": [{STAT}]}}'
-    docs = spark.createDataFrame([(valid,), ('{"statGroups": []}',)], "body string")
+    docs = spark.createDataFrame([(valid,)] * 6 + [('{"statGroups": []}',)], "body string")
+    docs = docs.coalesce(1)
     land_documents(docs, "body", schemas.RAW_LEADERBOARD_PAGE, PAGE_REQUIRED, good, bad)
-    back = spark.read.schema(schemas.struct(schemas.RAW_LEADERBOARD_PAGE)).json(good)
+    # All six are in one file, and the scan of the bronze job reads all six.
+    back = scans.scan(spark, scans.json_lines(good, "BOARD", schemas.RAW_LEADERBOARD_PAGE))
     assert rows(back.selectExpr("statGroups[0].members[0].alias", "leaderboardStats[0].rank")) == [
         ("a", 1)
-    ]
-    assert rows(spark.read.parquet(bad)) == [
-        ('{"statGroups": []}', ["leaderboardStats: missing"])
-    ]
+    ] * 6
+    for _ in range(2):
+        assert rows(spark.read.parquet(bad)) == [
+            ('{"statGroups": []}', ["leaderboardStats: missing"], "latest")
+        ]
+        land_documents(docs, "body", schemas.RAW_LEADERBOARD_PAGE, PAGE_REQUIRED, good, bad)

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import json
+from dataclasses import replace
 from datetime import date, datetime, timedelta
 
 import pyarrow as pa
@@ -97,6 +98,7 @@ def lake(spark, request):
     tag = f"{request.node.name}_{abs(hash(request.node.nodeid)) % 10**6}"
     made = medallion.Lake(fresh_path(spark, "exports"), f"br_{tag}", f"sr_{tag}", f"gd_{tag}")
     made.create(spark, fresh_path(spark, "lake"))
+    spark.conf.set(scans.NANOS_AS_LONG, "true")
     yield made
     spark.conf.unset("spark.sql.legacy.parquet.nanosAsLong")
 
@@ -144,6 +146,28 @@ def test_run_twice_with_a_late_match(spark, tmp_path, lake):
     assert fact_view.agg({"wins": "sum"}).first()[0] == 16
 
 
+def test_arrivals_are_validated_first(spark, tmp_path, lake):
+    """A page cut off and a player without civ go to quarantine, once however often they come."""
+    write_files(tmp_path)
+    (tmp_path / "pages" / "page_9.json").write_text('{"statGroups": [')
+    sunday = tmp_path / "players" / f"{SUNDAYS[0]}.parquet"
+    table = pq.read_table(sunday)
+    bad = table.slice(0, 1).set_column(0, "civ", pa.array([None], pa.string()))
+    pq.write_table(pa.concat_tables([table, bad]), sunday)
+    landing = replace(lake, landing=fresh_path(spark, "landing"))
+    for _ in range(2):
+        medallion.run(spark, raw_files(tmp_path), landing, (SUNDAYS[0], SUNDAYS[1]))
+        assert spark.table(f"{lake.gold}.fact_player_matches_gd").count() == 20
+        quarantine = f"{landing.landing}/quarantine"
+        assert rows(spark.read.parquet(f"{quarantine}/players").select("errors")) == [
+            (["civ: missing"],)
+        ]
+        assert rows(spark.read.parquet(f"{quarantine}/leaderboard_pages").select("value")) == [
+            ('{"statGroups": [',)
+        ]
+    assert spark.table(f"{lake.gold}.dim_player_gd").count() == 2
+
+
 def test_a_failing_gate_keeps_the_table(spark, tmp_path, lake):
     write_files(tmp_path)
     with pytest.raises(QualityError, match="in_range"):

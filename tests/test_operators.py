@@ -1,5 +1,6 @@
 from __future__ import annotations
 
+import re
 import random
 from collections import defaultdict
 from datetime import date, datetime
@@ -123,6 +124,42 @@ def test_hot_keys_are_split_by_the_fact_join(spark):
     assert "NestedLoop" not in text and "Cartesian" not in text
 
 
+def test_no_fact_row_is_shuffled_on_its_civ(spark, sf):
+    """Civs are broadcast after their number was checked, whatever statistics say."""
+    from ladderlake.plans import views
+    from ladderlake.registry import stand_ins as s
+    from ladderlake.registry.join_queries import star_inputs
+
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        fact, matches, civs = s.fact(spark, sf), s.match_dim(spark, sf), s.civ_dim(spark, sf)
+        for df in (
+            joins.star_fact(*star_inputs(spark, sf)),
+            views.civ_performance(fact, matches, civs),
+            views.opponent_civ(fact, matches, civs),
+        ):
+            exchanges = [x for x in plan(df).splitlines() if "Exchange hashpartitioning" in x]
+            alone = [x for x in exchanges if re.search(r"hashpartitioning\((opponent_)?civ_(fk|name)#\d+, ", x)]
+            # Only the roster itself is made distinct by such an exchange.
+            assert exchanges and all("ENSURE" in x for x in exchanges)
+            assert "BroadcastHashJoin" in plan(df)
+            assert len(alone) <= plan(df).count("civ_pk"), alone
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+
+
+def test_civs_are_made_distinct_before_they_are_hashed(spark):
+    players = spark.createDataFrame([("a",), ("b",), ("a",)], "civ_name string")
+    assert re.search(r"HashAggregate\(keys=\[civ_name#\d+\]", plan(gold.civ_dimension(players)))
+
+
+def test_matches_are_flagged_by_one_join(spark):
+    src = spark.createDataFrame([(1,), (2,), (None,), (2,)], "k int")
+    tgt = spark.createDataFrame([(2,), (2,), (None,)], "k int")
+    out = joins.mark_matches(src, tgt, "k")
+    assert rows(out) == [(1, False), (2, True), (2, True), (None, False)]
+
+
 # ---- nested ----------------------------------------------------------------
 def test_empty_and_missing_arrays_yield_no_rows(spark):
     text = [

@@ -39,6 +39,9 @@ job_fact_player_matches view_civ_performance view_leaderboard view_opponent_civ
 page_leaderboard page_civ_compare page_civ_trend
 """.split()
 
+# Further queries: other branches of the same operators.
+MORE = "sink_upsert_whole validate_matches".split()
+
 
 @pytest.fixture(scope="module")
 def con():
@@ -51,7 +54,7 @@ def test_inventory_is_complete():
     assert set(INVENTORY) <= set(entry.oracle_sql())
 
 
-@pytest.mark.parametrize("key", INVENTORY)
+@pytest.mark.parametrize("key", INVENTORY + MORE)
 def test_query_matches_sql(spark, con, sf, key):
     df = entry.queries()[key](spark, sf)
     result = con.execute(entry.oracle_sql()[key])

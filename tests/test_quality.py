@@ -123,6 +123,10 @@ def test_invalid_rows_are_kept_apart_with_reasons(spark):
         ("instant", "2024-01-07 01:02:03", "string", datetime(2024, 1, 7, 1, 2, 3)),
         ("instant", 1704589323, "bigint", datetime(2024, 1, 7, 1, 2, 3)),
         ("instant", 1704589323000, "bigint", datetime(2024, 1, 7, 1, 2, 3)),
+        ("instant", "1704589323", "string", datetime(2024, 1, 7, 1, 2, 3)),
+        ("instant", "1704589323000", "string", datetime(2024, 1, 7, 1, 2, 3)),
+        ("float", " 1e3 ", "string", 1000.0),
+        ("float", "-.5", "string", -0.5),
         ("nanos", 5_000_000_000, "bigint", 5_000_000_000),
     ],
 )
@@ -140,6 +144,8 @@ def test_accepted_values(spark, kind, value, type_name, expected):
         ("int", "", "string"),
         ("int", "99999999999999999999", "string"),
         ("float", "n/a", "string"),
+        ("float", "1.5d", "string"),
+        ("float", "2f", "string"),
         ("text", 5, "int"),
         ("bool", "maybe", "string"),
         ("bool", 2, "int"),
@@ -158,11 +164,16 @@ def test_missing_values(spark):
 
 
 def test_player_profiles(spark):
-    raw = [("7.0", []), ("NaN", []), (None, []), ("abc", ["profile_id: not a valid int"])]
+    wrong = ["profile_id: not a valid int"]
+    raw = [("7.0", []), ("NaN", wrong), (None, []), ("abc", wrong)]
     df = spark.createDataFrame([(v,) for v, _ in raw], "profile_id string")
     field = [f for f in records.PLAYER_RECORD if f.name == "profile_id"]
     got = [(r[0], list(r[1])) for r in records.judge(df, field).collect()]
     assert got == [(7 if v == "7.0" else None, errors) for v, errors in raw]
+    # A float column says "not a number" where there is no identifier.
+    floats = spark.createDataFrame([(7.9,), (float("nan"),), (None,)], "profile_id double")
+    got = [(r[0], list(r[1])) for r in records.judge(floats, field).collect()]
+    assert got == [(7, []), (None, []), (None, [])]
 
 
 def page(spark, text):
@@ -198,6 +209,18 @@ def test_documents(spark, text, errors):
     assert page(spark, text) == errors
 
 
+def test_numbers_of_documents_are_taken_however_they_are_written(spark):
+    member = '{"profile_id": 12.5, "alias": "a", "country": "se", "xp": "3.0"}'
+    text = f'{{"statGroups": [{{"id": "5", "members": [{member}]}}], "leaderboardStats": [{STAT}]}}'
+    df = spark.createDataFrame([(text,)], "body string")
+    doc = records.parse_documents(df, "body", schemas.RAW_LEADERBOARD_PAGE)
+    assert doc.select("doc.*").drop(records.CORRUPT).schema == schemas.struct(schemas.RAW_LEADERBOARD_PAGE)
+    first = doc.select(F.col("doc.statGroups")[0].alias("g")).first()["g"]
+    assert (first.id, first.members[0].profile_id, first.members[0].xp) == (5, 12, 3)
+    assert page(spark, text) == []
+    assert page(spark, text.replace('"5"', '"5.5"'))[0] == "document: malformed or mistyped"
+
+
 def test_mistyped_and_malformed_documents(spark):
     wrong = '{"statGroups": [{"id": "x", "members": []}], "leaderboardStats": []}'
     assert page(spark, wrong)[0] == "document: malformed or mistyped"

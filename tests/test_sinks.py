@@ -14,11 +14,11 @@ from ladderlake import schemas
 from ladderlake.operators.filters import in_run_window
 from ladderlake.sinks import tables
 from ladderlake.sinks.files import export_csv_gz, land_parquet
-from ladderlake.sinks.tables import DuplicateKeys, merge_counts, upsert, write_table
+from ladderlake.sinks.tables import DuplicateKeys, Merged, upsert, write_table
 from ladderlake.sinks.workspace import fresh_path, shared_root, stage
 from ladderlake.sources import scans
 
-D1, D2, D3 = date(2024, 1, 7), date(2024, 1, 14), date(2024, 1, 21)
+D1, D2, D3, D4 = (date(2024, 1, d) for d in (7, 14, 21, 28))
 LAYOUT = "id int, v string, file_date date"
 
 
@@ -53,21 +53,58 @@ def test_rows_move_between_partitions(spark, database, part):
     assert spark.table(name).count() == 3
 
 
-def test_a_merge_that_broke_off_is_repaired_by_the_next(spark, database, monkeypatch):
-    """The new rows are in place, the emptied partition is not yet gone: the worst moment."""
+@pytest.mark.parametrize("step", range(5))
+def test_a_merge_that_broke_off_loses_nothing_and_is_completed_by_the_next(
+    spark, database, monkeypatch, step
+):
+    """Broken off before and between the switches, before the drop, before the deletion."""
     name = f"{database}.t"
-    upsert(spark, frame(spark, (1, "a", D1), (2, "b", D2)), name, "id", "file_date")
-    moved = frame(spark, (1, "A", D3), (3, "c", D2))
+    held = frame(spark, (1, "a", D1), (2, "b", D2), (4, "d", D2), (5, "e", D1), (6, "f", D4))
+    upsert(spark, held, name, "id", "file_date")
+    moved = frame(spark, (1, "A", D3), (3, "c", D2), (5, "E", D3), (6, "F", D2))
+    calls = []
+
+    def breaks(real):
+        def call(*given):
+            calls.append(given)
+            if len(calls) > step:
+                raise RuntimeError("driver lost")
+            return real(*given)
 
-    def lost(*_):
-        raise RuntimeError("driver lost")
+        return call
 
     with monkeypatch.context() as broken:
-        broken.setattr(tables, "discard", lost)
+        for part in ("_point", "_spec_dropped", "discard"):
+            broken.setattr(tables, part, breaks(getattr(tables, part)))
         with pytest.raises(RuntimeError):
             upsert(spark, moved, name, "id", "file_date")
+    spark.catalog.refreshTable(name)
+    seen = rows(spark.table(name).filter(F.col("id").isin(2, 4)))
+    assert seen == [(2, "b", D2), (4, "d", D2)]  # rows that the source does not replace
     upsert(spark, moved, name, "id", "file_date")
-    assert rows(spark.table(name)) == [(1, "A", D3), (2, "b", D2), (3, "c", D2)]
+    assert rows(spark.table(name)) == [
+        (1, "A", D3), (2, "b", D2), (3, "c", D2), (4, "d", D2), (5, "E", D3), (6, "F", D2)
+    ]
+
+
+def test_names_that_paths_escape(spark, tmp_path):
+    """A space in the table's folder; spaces, signs and quotes in partition values."""
+    database = f"odd_{tmp_path.name}"
+    spark.sql(f"CREATE DATABASE {database} LOCATION '{tmp_path}/a folder'")
+    name = f"{database}.t"
+    layout = "id int, v string, place string"
+    odd = ["a b", "50%", "x=y/z", "it's", "back\\slash", "é", "a+b", "", None]
+    held = [(i, "old", p) for i, p in enumerate(odd)]
+    upsert(spark, spark.createDataFrame(held, layout), name, "id", "place")
+    new = [(i, "new", odd[i - 1]) for i in range(len(odd))]
+    for _ in range(2):
+        upsert(spark, spark.createDataFrame(new, layout), name, "id", "place")
+        got = rows(spark.table(name).select("id", "v", "place"))
+        assert [(i, v, p or None) for i, v, p in got] == [(i, v, p or None) for i, v, p in new]
+    files = [f for f in tmp_path.rglob("*.parquet")]
+    live = spark.table(name).select("_metadata.file_path").distinct().count()
+    assert len(files) == live  # the replaced files are gone
+    spark.sql(f"DROP DATABASE {database} CASCADE")
 
 
 def test_partitions_that_get_rows_are_not_searched(spark, database):
@@ -122,11 +159,11 @@ def test_other_columns_are_refused(spark, database):
         upsert(spark, frame(spark, (1, "a", D1)).withColumn("more", F.lit(1)), name, "id")
 
 
-def test_upsert_counts(spark):
-    held = frame(spark, (1, "a", D1), (2, "b", D1))
-    src = frame(spark, (2, "B", D1), (3, "c", D1), (None, "d", D1))
-    assert rows(merge_counts(src, held, "id")) == [(2, 1)]
-    assert rows(tables.first_load_counts(src)) == [(3, 0)]
+def test_upsert_counts(spark, database, part):
+    name = f"{database}.t"
+    assert upsert(spark, frame(spark, (1, "a", D1), (2, "b", D1)), name, "id", part) == Merged(2, 0)
+    src = frame(spark, (2, "B", D2), (3, "c", D1), (None, "d", D1))
+    assert upsert(spark, src, name, "id", part) == Merged(2, 1)
 
 
 def test_overwrite_replaces_the_schema_and_raises(spark, database):
