@@ -59,6 +59,18 @@ def crc_fold(doc_id, folds: int):
     return F.crc32(F.coalesce(doc_id.cast("string"), F.lit("")).cast("binary")) % folds
 
 
+def hash_sample(df: DataFrame, bound: int, *columns: str) -> DataFrame:
+    """About `bound` rows of a larger frame, all of a smaller one: those whose hash is low.
+
+    The share is set by a count, so no task returns more than its part of the sample.
+    """
+    total = df.count()
+    if total <= bound:
+        return df
+    share = int(bound / total * (1 << 40))
+    return df.where(F.pmod(F.xxhash64(*columns), F.lit(1 << 40)) < share)
+
+
 def sampled_labels(
     labels: DataFrame, label: str, folds: int, held: int, bound: int
 ) -> DataFrame:
@@ -72,12 +84,9 @@ def sampled_labels(
         & F.col(label).isNotNull()
         & (crc_fold(F.col("doc_id"), folds) != held)
     )
-    return (
-        given.groupBy("doc_id")
-        .agg((F.avg(label) >= 0.5).cast("int").alias("label"))
-        .orderBy(F.xxhash64("doc_id"), "doc_id")
-        .limit(bound)
-    )
+    ids = given.groupBy("doc_id").agg((F.avg(label) >= 0.5).cast("int").alias("label"))
+    # The limit cuts off what the sample may have above the bound.
+    return hash_sample(ids, bound, "doc_id").orderBy(F.xxhash64("doc_id"), "doc_id").limit(bound)
 
 
 def text_buffer(column: pa.Array, close: bytes = b"\n") -> tuple[np.ndarray, np.ndarray]:

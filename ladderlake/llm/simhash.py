@@ -34,7 +34,16 @@ import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ladderlake.llm.common import LOWER, SPACE, durable, ship, slices, text_buffer, words_of
+from ladderlake.llm.common import (
+    LOWER,
+    SPACE,
+    durable,
+    hash_sample,
+    ship,
+    slices,
+    text_buffer,
+    words_of,
+)
 
 RADIUS = 2
 SHINGLE_WORDS = 3
@@ -257,12 +266,9 @@ def _shard_links(frame: pd.DataFrame) -> pd.DataFrame:
 
 def spanning_links(distinct: DataFrame, sample_rows: int = SAMPLE_ROWS) -> DataFrame:
     """Links (a, b) that span the components of the distinct fingerprints `fp`."""
-    sample = (
-        distinct.orderBy(F.xxhash64("fp")).limit(sample_rows).toPandas()["fp"].to_numpy()
-    )
-    total = distinct.count()
-    leaf = max(32, int(SHARD_ROWS * min(1.0, len(sample) / max(total, 1))))
-    nodes = grow(sample.astype(np.int64).view(np.uint64), leaf)
+    drawn = hash_sample(distinct, sample_rows, "fp").toPandas()["fp"].to_numpy(np.int64)
+    leaf = max(32, int(SHARD_ROWS * min(1.0, len(drawn) / max(distinct.count(), 1))))
+    nodes = grow(np.sort(drawn).view(np.uint64), leaf)
     visits = distinct.mapInArrow(partial(_routed, nodes), "shard bigint, fp bigint")
     return visits.groupBy("shard").applyInPandas(_shard_links, "a bigint, b bigint")
 
