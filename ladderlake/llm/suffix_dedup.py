@@ -42,8 +42,8 @@ from ladderlake.llm.common import durable, ship, slices
 
 LENGTH = 400
 GRAM = 32
-#: Bytes of segments that one shard's family is meant for, and that one key may bring to it.
-SHARD_BYTES = 8 << 20
+#: Bytes of segments that one shard's family is meant for, and that one key may bring to one.
+SHARD_BYTES = 2 << 20
 HOT_BYTES = 4 << 20
 #: Bytes of a batch that gets its own suffix array.
 BATCH_BYTES = 1 << 19
@@ -400,11 +400,25 @@ def _window_runs(hot: DataFrame) -> DataFrame:
     twice = durable(
         windows.groupBy("wa", "wb").agg(F.count(F.lit(1)).alias("n")).where("n > 1").drop("n")
     )
-    return (
+    places = (
         windows.join(twice, ["wa", "wb"])
         .groupBy("key", "da", "db")
-        .agg(F.collect_set(F.struct(F.col("place").alias("a"), (F.col("place") + 1).alias("b"))).alias("runs"))
+        .agg(F.collect_set("place").alias("places"))
     )
+    return places.mapInArrow(_joined_places, RUNS)
+
+
+def _joined_places(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Neighbouring window starts of a segment as maximal runs."""
+    kind = pa.list_(pa.struct([("a", pa.int32()), ("b", pa.int32())]))
+    for batch in batches:
+        runs = []
+        for places in batch.column("places").to_pylist():
+            flags = np.zeros(max(places) + 1, bool)
+            flags[places] = True
+            runs.append([{"a": a, "b": b} for a, b in runs_of(flags)])
+        columns = [batch.column(c) for c in ("key", "da", "db")]
+        yield pa.RecordBatch.from_arrays([*columns, pa.array(runs, kind)], ["key", "da", "db", "runs"])
 
 
 def stretches(docs: DataFrame) -> DataFrame:
