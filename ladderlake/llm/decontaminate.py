@@ -2,7 +2,9 @@
 
 Texts and benchmark items are read as words (letters, digits and everything beyond ASCII,
 lower-cased) with one space between, as characters. An item of m characters is in a
-document if some stretch of it is at most k = `EDIT_RATE` * m edits away.
+document if some stretch of it is at most k = `EDIT_RATE` * m edits away. Of an item of more
+than `STRETCH_CHARS` characters, a document may also hold a part: any `STRETCH_CHARS`
+characters in a row of the item, wherever they begin, within the budget of so many.
 
 Such a stretch shares at least T = m - Q + 1 - k * Q character q-grams with the item, and
 they lie on diagonals (place in the document minus place in the item) at most k from its
@@ -10,6 +12,12 @@ own. The q-grams of a slice of documents are looked up together, and counted by
 item and diagonal band. Bands overlap so that every run of 2k + 1 diagonals lies in one;
 bands with T or more shared q-grams are retained and verified by an alignment that is
 confined to the band. The filter is the lemma itself, so nothing within the budget is lost.
+The stretches of an item that is not there as a whole go the same way: the bound is asked of
+the q-grams of each stretch, and each that meets it is aligned.
+
+A hit has the spans that were matched, in characters as they are read here: the whole item if
+it is there, else its stretch with the fewest edits (of several, the first). The query and `keep_clean` search
+for stretches; `hits` does if it is asked to.
 
 The benchmark goes to the tasks in blocks of about `BLOCK_CHARS` characters, a pass over the
 documents for each; a benchmark of usual size is one block.
@@ -36,11 +44,15 @@ from ladderlake.llm.common import append, text_buffer, words_of
 Q = 12
 EDIT_RATE = 0.05
 LEAST_CHARS = 24
+#: Of a longer item, every stretch of so many characters is searched for as well.
+STRETCH_CHARS = 60
 #: Characters of benchmark items that go to the tasks at once.
 BLOCK_CHARS = 4_000_000
 FILTER_BITS = 22
 #: Cells of the alignment tables that are filled together.
-CELLS = 4_000_000
+CELLS = 2_000_000
+#: An edit, and no path, as the alignment's costs have them.
+EDIT, FAR = 1 << 32, 1 << 52
 
 
 def _not_word() -> np.ndarray:
@@ -84,6 +96,14 @@ def grams(points: np.ndarray, q: int = Q) -> np.ndarray:
         return (h ^ (h >> np.uint64(33))) * np.uint64(0xBF58476D1CE4E5B9)
 
 
+def budget_of(size):
+    """Edits that `size` characters may have.
+
+    Small enough for the lemma to ask for at least one shared q-gram.
+    """
+    return np.minimum((EDIT_RATE * np.asarray(size)).astype(np.int64), (size - Q) // Q)
+
+
 class Index:
     """The q-grams of a block of items."""
 
@@ -93,10 +113,10 @@ class Index:
         sizes = np.maximum(np.diff(offsets) - 1, 0)
         on = np.flatnonzero(sizes >= LEAST_CHARS)
         self.ids = [items[i][0] for i in on]
+        self.points, self.begin = points, offsets[on]
         self.texts = [points[offsets[i] : offsets[i] + sizes[i]] for i in on]
         self.size = sizes[on]
-        # The budget is small enough for the lemma to ask for at least one shared q-gram.
-        self.budget = np.minimum((EDIT_RATE * self.size).astype(np.int64), (self.size - Q) // Q)
+        self.budget = budget_of(self.size)
         self.least = self.size - Q + 1 - self.budget * Q
         each = [grams(t) for t in self.texts]
         hashes = np.concatenate(each) if each else np.zeros(0, np.uint64)
@@ -126,85 +146,153 @@ class Index:
         entry = begin + np.arange(len(begin))
         return np.repeat(at, count), self.item[entry], self.place[entry]
 
-    def retained(
-        self, points: np.ndarray, offsets: np.ndarray
-    ) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """(document, item, lowest diagonal) of bands that meet the lemma's bound."""
+    def meetings(self, points: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, ...]:
+        """(document, item, place in the item, diagonal) of every shared q-gram."""
         if not len(self.size) or len(points) < Q:
             none = np.zeros(0, np.int64)
-            return none, none, none
+            return none, none, none, none
         at, item, place = self.shared(grams(points))
         doc = np.searchsorted(offsets, at, "right") - 1
         inside = at + Q <= offsets[doc + 1]
-        at, item, place, doc = at[inside], item[inside], place[inside], doc[inside]
-        width = 2 * self.budget[item] + 1
+        return doc[inside], item[inside], place[inside], (at - place)[inside]
+
+    def banded(self, doc, item, diagonal, budget, most: int) -> tuple[np.ndarray, tuple[int, int]]:
+        """Keys of the two bands of each q-gram, those of all first bands before the others.
+
+        `most` is more than any diagonal; the numbers returned with the keys are for `opened`.
+        """
         lead = int(self.size.max()) + 2 * int(self.budget.max()) + 2
-        band = (at - place + lead) // width + 1
+        band = (diagonal + lead) // (2 * budget + 1) + 1
+        most += 2 * lead + 3
         pair = doc * len(self.size) + item
-        most = len(points) + 2 * lead + 3
-        key = np.concatenate((pair * most + band, pair * most + band - 1))
+        return np.concatenate((pair * most + band, pair * most + band - 1)), (lead, most)
+
+    def opened(self, key, numbers: tuple[int, int]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Document, item and number of the band of each key."""
+        pair, band = np.divmod(key, numbers[1])
+        return *np.divmod(pair, len(self.size)), band
+
+    def retained(self, doc, item, diagonal, most: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """(document, item, lowest diagonal) of bands that meet the lemma's bound."""
+        if not len(doc):
+            return doc, item, diagonal
+        key, numbers = self.banded(doc, item, diagonal, self.budget[item], most)
         found, count = np.unique(key, return_counts=True)
-        pair, band = np.divmod(found, most)
-        doc, item = np.divmod(pair, len(self.size))
+        doc, item, band = self.opened(found, numbers)
         on = count >= self.least[item]
         doc, item, band = doc[on], item[on], band[on]
-        return doc, item, (band - 1) * (2 * self.budget[item] + 1) - lead
+        return doc, item, (band - 1) * (2 * self.budget[item] + 1) - numbers[0]
+
+    def stretches(self, doc, item, place, diagonal, most: int) -> tuple[np.ndarray, ...]:
+        """(document, item, start in the item, lowest diagonal) of what meets the bound.
 
-    def edits(
+        Every stretch of STRETCH_CHARS characters of an item is counted for itself.
+        """
+        none = np.zeros(0, np.int64)
+        budget = int(budget_of(STRETCH_CHARS))
+        least, span = STRETCH_CHARS - Q + 1 - budget * Q, STRETCH_CHARS - Q + 1
+        on = self.size[item] > STRETCH_CHARS
+        if not on.any():
+            return none, none, none, none
+        doc, item, place, diagonal = doc[on], item[on], place[on], diagonal[on]
+        key, numbers = self.banded(doc, item, diagonal, budget, most)
+        found, group, count = np.unique(key, return_inverse=True, return_counts=True)
+        # The q-grams of bands that have enough of them at all, by band and place.
+        on = np.flatnonzero(count[group] >= least)
+        group, place = group[on], np.concatenate((place, place))[on]
+        order = np.lexsort((place, group))
+        group, place = group[order], place[order]
+        out = [(none, none, none, none)]
+        ends = np.flatnonzero(np.diff(np.concatenate((group, [-1]))))
+        for first, last in zip([0, *(ends[:-1] + 1)], ends + 1):
+            own = place[first:last]
+            d, i, band = (int(x) for x in self.opened(found[group[first]], numbers))
+            starts = np.arange(
+                max(0, own[0] - span + 1), min(self.size[i] - STRETCH_CHARS, own[-1]) + 1
+            )
+            within = np.searchsorted(own, starts + span) - np.searchsorted(own, starts)
+            starts = starts[within >= least]
+            low = (band - 1) * (2 * budget + 1) - numbers[0]
+            out.append((*(np.full(len(starts), x) for x in (d, i)), starts, starts * 0 + low))
+        return tuple(np.concatenate(x) for x in zip(*out))
+
+    def aligned(
         self,
         points: np.ndarray,
         offsets: np.ndarray,
         doc: np.ndarray,
-        item: np.ndarray,
+        begin: np.ndarray,
+        size: np.ndarray,
         low: np.ndarray,
-    ) -> np.ndarray:
-        """Fewest edits between the item and a stretch of the document, within the band.
+    ) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Fewest edits between characters of an item and a stretch of the document in a band.
 
-        The band has the diagonals from `low` to low + 4k + 1. Bands are aligned together,
-        one row of the tables at a time.
+        The characters are the `size` ones from `begin` of the block. The band has the
+        diagonals from `low` to low + 4k + 1. Also returned are the start and end of that
+        stretch in `points`. Bands are aligned together, one row of the tables at a time; the
+        diagonal on which a path starts is carried in the low bits of its cost.
         """
-        out = np.zeros(len(doc), np.int64)
-        order = np.argsort(self.size[item], kind="stable")
-        start = 0
-        while start < len(order):
-            span = max(1, CELLS // (4 * int(self.budget[item[order[start:]]].max()) + 2))
-            part = order[start : start + min(span, 4_096)]
-            start += len(part)
-            size, width = self.size[item[part]], 4 * self.budget[item[part]] + 2
+        edits, start, end = (np.zeros(len(doc), np.int64) for _ in range(3))
+        budget = budget_of(size)
+        order = np.argsort(size, kind="stable")
+        done = 0
+        while done < len(order):
+            span = max(1, CELLS // (4 * int(budget[order[done:]].max()) + 2))
+            part = order[done : done + min(span, 4_096)]
+            done += len(part)
+            rows, width = size[part], 4 * budget[part] + 2
             across = np.arange(int(width.max()))
-            own = np.zeros((len(part), int(size.max())), np.uint32)
-            for row, i in enumerate(item[part]):
-                own[row, : self.size[i]] = self.texts[i]
-            far = np.int32(1 << 20)
-            cost = np.where(across < width[:, None], np.int32(0), far)
-            begin, end = offsets[doc[part]], offsets[doc[part] + 1] - 1
-            best = np.full(len(part), far, np.int64)
+            apart = across * EDIT
+            own = begin[part, None] + np.arange(int(rows.max()))
+            own = self.points[np.minimum(own, len(self.points) - 1)]
+            cost = np.where(across < width[:, None], across, FAR)
+            first, last = offsets[doc[part]], offsets[doc[part] + 1] - 1
             for i in range(own.shape[1]):
                 at = low[part, None] + i + across
                 there = points[np.clip(at, 0, len(points) - 1)]
-                given = (at >= begin[:, None]) & (at < end[:, None])
-                differs = (there != own[:, i, None]) | ~given
-                step = cost + differs
-                step[:, :-1] = np.minimum(step[:, :-1], cost[:, 1:] + 1)
-                step = np.where(across < width[:, None], step, far)
-                cost = np.minimum.accumulate(step - across, axis=1) + across
-                cost = np.where(across < width[:, None], cost, far)
-                last = size == i + 1
-                best[last] = cost[last].min(axis=1)
-            out[part] = best
-        return out
-
-    def hits(self, texts: pa.Array) -> Iterator[list[tuple[int | None, int, int]]]:
-        """For each text its hits: (item id, fewest edits, characters of the item)."""
+                given = (at >= first[:, None]) & (at < last[:, None])
+                step = cost + ((there != own[:, i, None]) | ~given) * EDIT
+                step[:, :-1] = np.minimum(step[:, :-1], cost[:, 1:] + EDIT)
+                step = np.where(across < width[:, None], step, FAR)
+                cost = np.minimum.accumulate(step - apart, axis=1) + apart
+                cost = np.where(across < width[:, None], cost, FAR)
+                ready = np.flatnonzero(rows == i + 1)
+                if len(ready):
+                    column = cost[ready].argmin(axis=1)
+                    best = cost[ready, column]
+                    edits[part[ready]] = best // EDIT
+                    start[part[ready]] = low[part[ready]] + best % EDIT
+                    end[part[ready]] = low[part[ready]] + i + 1 + column
+        start = np.clip(start, offsets[doc], offsets[doc + 1] - 1)
+        return edits, start, np.clip(end, start, offsets[doc + 1] - 1)
+
+    def hits(self, texts: pa.Array, parts: bool) -> Iterator[list[tuple]]:
+        """For each text its hits, as the values of HIT; with `parts` also those of stretches."""
         points, offsets = characters(texts)
-        doc, item, low = self.retained(points, offsets)
-        edits = self.edits(points, offsets, doc, item, low)
-        found: list[dict[int, int]] = [{} for _ in range(len(texts))]
-        for d, i, e in zip(doc.tolist(), item.tolist(), edits.tolist()):
-            if e <= self.budget[i]:
-                found[d][i] = min(e, found[d].get(i, e))
+        found: list[dict[int, tuple]] = [{} for _ in range(len(texts))]
+
+        def settle(doc, item, place, size, low) -> None:
+            got = self.aligned(points, offsets, doc, self.begin[item] + place, size, low)
+            on = got[0] <= budget_of(size)
+            columns = (doc, item, got[0], place, place + size, got[1] - offsets[doc], got[2] - offsets[doc])
+            for d, i, *hit in zip(*(c[on].tolist() for c in columns)):
+                found[d][i] = min(tuple(hit), found[d].get(i, tuple(hit)))
+
+        doc, item, place, diagonal = self.meetings(points, offsets)
+        d, i, low = self.retained(doc, item, diagonal, len(points))
+        settle(d, i, i * 0, self.size[i], low)
+        if parts:
+            # Items that are there as a whole need no search for their stretches.
+            whole = [d * len(self.size) + i for d, of_text in enumerate(found) for i in of_text]
+            rest = ~np.isin(doc * len(self.size) + item, np.array(whole, np.int64))
+            d, i, place, low = self.stretches(
+                doc[rest], item[rest], place[rest], diagonal[rest], len(points)
+            )
+            settle(d, i, place, np.full(len(d), STRETCH_CHARS), low + place)
         for of_text in found:
-            yield [(self.ids[i], e, int(self.size[i])) for i, e in sorted(of_text.items())]
+            yield [
+                (self.ids[i], hit[0], int(self.size[i]), *hit[1:]) for i, hit in sorted(of_text.items())
+            ]
 
 
 @lru_cache(maxsize=4)
@@ -212,9 +300,22 @@ def index(items: tuple[tuple[int | None, str], ...]) -> Index:
     return Index(items)
 
 
-HIT = "array<struct<item_id: bigint, edits: int, item_chars: int>>"
+HIT = (
+    "array<struct<item_id: bigint, edits: int, item_chars: int, "
+    "item_from: int, item_to: int, text_from: int, text_to: int>>"
+)
 _HIT = pa.list_(
-    pa.struct([("item_id", pa.int64()), ("edits", pa.int32()), ("item_chars", pa.int32())])
+    pa.struct(
+        [
+            ("item_id", pa.int64()),
+            ("edits", pa.int32()),
+            ("item_chars", pa.int32()),
+            ("item_from", pa.int32()),
+            ("item_to", pa.int32()),
+            ("text_from", pa.int32()),
+            ("text_to", pa.int32()),
+        ]
+    )
 )
 
 
@@ -237,15 +338,19 @@ def with_hits(
     text: str = "text",
     name: str = "hits",
     keep: list[str] | None = None,
+    parts: bool = True,
 ) -> DataFrame:
-    """`keep` (all columns if not given) and the benchmark items found in each text."""
+    """`keep` (all columns if not given) and the benchmark items found in each text.
+
+    With `parts` also the items of which only stretches are there.
+    """
     kept = docs.columns if keep is None else keep
     read = docs.select(*kept, F.col(text).alias("__read"))
     columns = []
     for number, items in enumerate(blocks(benchmark)):
 
         def compute(texts: pa.Array, items=items) -> list[pa.Array]:
-            return [pa.array(list(index(items).hits(texts)), _HIT)]
+            return [pa.array(list(index(items).hits(texts, parts)), _HIT)]
 
         read = append(read, compute, f"`__hits{number}` {HIT}", "__read")
         columns.append(F.col(f"__hits{number}"))
@@ -254,16 +359,24 @@ def with_hits(
 
 
 def hits(
-    docs: DataFrame, benchmark: DataFrame, text: str = "text", doc_id: str = "doc_id"
+    docs: DataFrame,
+    benchmark: DataFrame,
+    text: str = "text",
+    doc_id: str = "doc_id",
+    parts: bool = False,
 ) -> DataFrame:
-    """One row per contaminated document and item: doc_id, item_id, edits, item_chars."""
+    """One row per document and item that is in it; with `parts` also if a stretch of it is.
+
+    doc_id, item_id, edits, item_chars, and the matched spans of the item (item_from,
+    item_to) and of the text (text_from, text_to).
+    """
     narrow = docs.select(F.col(doc_id).alias("doc_id"), F.col(text).alias("text"))
-    found = with_hits(narrow, benchmark, keep=["doc_id"])
+    found = with_hits(narrow, benchmark, keep=["doc_id"], parts=parts)
     return found.select("doc_id", F.explode("hits").alias("hit")).select("doc_id", "hit.*")
 
 
 def keep_clean(docs: DataFrame, benchmark: DataFrame, text: str = "text") -> DataFrame:
-    """The documents without a benchmark item, with all their columns."""
+    """The documents without a benchmark item or a stretch of one, with all their columns."""
     name = "__leaks"
     return with_hits(docs, benchmark, text, name).where(F.size(name) == 0).drop(name)
 
@@ -272,4 +385,5 @@ def query(spark: SparkSession, sf_dir: str) -> DataFrame:
     return hits(
         spark.read.parquet(f"{sf_dir}/documents.parquet"),
         spark.read.parquet(f"{sf_dir}/benchmark.parquet"),
+        parts=True,
     )

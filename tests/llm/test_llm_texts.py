@@ -290,3 +290,74 @@ def test_blocks_of_a_large_benchmark(spark, monkeypatch):
     bench = spark.createDataFrame(items, "item_id bigint, text string")
     got = decontaminate.hits(docs, bench).collect()
     assert {(i, i) for i, _ in items} <= {(r.doc_id, r.item_id) for r in got}
+
+
+def some_words(rng, n):
+    return " ".join("".join(rng.choice("abcdefghijklmnopé") for _ in range(rng.randint(1, 9))) for _ in range(n))
+
+
+def test_parts_of_items_are_those_of_brute_force(spark):
+    rng = random.Random(17)
+    size = decontaminate.STRETCH_CHARS
+    budget = int(decontaminate.budget_of(size))
+    items = [(i, some_words(rng, n)) for i, n in enumerate([9, 12, 16, 20, 26, 32])]
+    docs = []
+    for n in range(36):
+        plain = items[n % 6][1]
+        if n % 3 == 0:  # a part, of about the size of a stretch
+            begin = rng.randint(0, max(0, len(plain) - size))
+            body = edited(rng, plain[begin : begin + size + rng.randint(-4, 3)], rng.randint(0, 4))
+        elif n % 3 == 1:  # several words changed
+            words = plain.split()
+            for at in rng.sample(range(len(words)), min(len(words), rng.randint(2, 5))):
+                words[at] = "q" * rng.randint(2, 9)
+            body = " ".join(words)
+        else:  # cut short at one end, or parted by other words
+            cut = len(plain) * rng.randint(50, 90) // 100
+            body = rng.choice([plain[:cut], plain[-cut:], plain[: cut // 2] + " qqq " * 9 + plain[cut // 2 :]])
+        docs.append((n, some_words(rng, 5) + " " + body + " " + some_words(rng, 3)))
+    docs += [(100 + n, some_words(rng, 40)) for n in range(4)]
+    bench = spark.createDataFrame(items, "item_id bigint, text string")
+    found = decontaminate.hits(documents(spark, docs), bench, parts=True)
+    got = {(r.doc_id, r.item_id): r for r in found.collect()}
+    want, parts = set(), 0
+    for doc, body in docs:
+        text = read(body)
+        for number, item in items:
+            plain = read(item)
+            whole = fewest_edits(plain, text) <= int(decontaminate.budget_of(len(plain)))
+            starts = range(len(plain) - size + 1) if not whole and doc % 6 == number and doc < 100 else ()
+            edits = [fewest_edits(plain[s : s + size], text) for s in starts]
+            if whole or (edits and min(edits) <= budget):
+                want.add((doc, number))
+                r = got[(doc, number)]
+                assert fewest_edits(plain[r.item_from : r.item_to], text[r.text_from : r.text_to]) == r.edits
+                assert r.item_chars == len(plain)
+                if not whole:
+                    parts += 1
+                    assert r.edits == min(edits) and r.item_from == edits.index(min(edits)) and r.item_to - r.item_from == size
+                else:
+                    assert (r.item_from, r.item_to) == (0, len(plain))
+    assert set(got) == want and parts > 10 and len(want) < 37
+
+
+def test_truncated_and_reworded_items_go_and_clean_documents_stay(spark):
+    rng = random.Random(3)
+    words = some_words(rng, 40).split()
+    item = " ".join(words)
+    reworded = " ".join("changed" if i in (3, 4, 17, 30, 31) else w for i, w in enumerate(words))
+    texts = [
+        (1, "so " + " ".join(words[:25])),  # without its end
+        (2, " ".join(words[15:]).upper() + " and on"),  # without its beginning
+        (3, " ".join(words[:18]) + "\n-- page 2 of the exam paper, continued --\n" + " ".join(words[18:])),
+        (4, reworded),
+        (5, " ".join(words[:6]) + " is how it begins"),  # a short quote
+        (6, " ".join(f"{w} other" for w in words)),
+        (7, " ".join(sorted(words))),
+        (8, some_words(rng, 80)),
+        (9, None),
+    ]
+    bench = spark.createDataFrame([(7, item)], "item_id bigint, text string")
+    assert len(" ".join(words[:6])) < decontaminate.STRETCH_CHARS
+    kept = decontaminate.keep_clean(documents(spark, texts), bench)
+    assert sorted(r.doc_id for r in kept.collect()) == [5, 6, 7, 8, 9]
