@@ -22,8 +22,11 @@ for stretches; `hits` does if it is asked to.
 The benchmark goes to the tasks in blocks of about `BLOCK_CHARS` characters, a pass over the
 documents for each; a benchmark of usual size is one block.
 
-Items with fewer than `LEAST_CHARS` characters after this reading say too little and match
-nothing. Null texts are empty texts. Documents without a hit are not in the result of
+Items with fewer than `LEAST_CHARS` characters after this reading are found without edits
+(`Short`): as the whole text; from `SHORT_WORDS` words on also as whole sentences or lines,
+that is between two breaks (`BREAKS`) or ends of the text; and anywhere if they have
+`SHORT_WIDE` letters of a script that sets no spaces. So a bare "yes" flags only a text that
+says nothing else. An item without a letter or digit matches nothing. Null texts are empty texts. Documents without a hit are not in the result of
 `hits`. Repeated rows and equal items give a hit each. A null id keeps its hits. Empty
 tables give an empty result. Other columns are not read.
 """
@@ -49,6 +52,11 @@ STRETCH_CHARS = 60
 #: Characters of benchmark items that go to the tasks at once.
 BLOCK_CHARS = 4_000_000
 FILTER_BITS = 22
+#: Words, or letters of scripts without spaces, of shorter items that are searched for in texts.
+SHORT_WORDS = 3
+SHORT_WIDE = 8
+#: First and last code points of those scripts: Thai and Lao, Myanmar, Khmer, kana and Han.
+WIDE = ((0x0E00, 0x0EFF), (0x1000, 0x109F), (0x1780, 0x17FF), (0x3040, 0x30FF), (0x3400, 0x9FFF), (0x20000, 0x3FFFF))
 #: Cells of the alignment tables that are filled together.
 CELLS = 2_000_000
 #: An edit, and no path, as the alignment's costs have them.
@@ -66,6 +74,10 @@ def _not_word() -> np.ndarray:
 
 NOT_WORD = _not_word()
 
+#: What ends a sentence, a line, a cell or a quotation.
+BREAKS = np.zeros(256, bool)
+BREAKS[list(b'\n\r\t\v\f.!?;:"()[]{}<>|')] = True
+
 
 def characters(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     """Words of all texts as code points, a space after each, and the n + 1 offsets."""
@@ -96,6 +108,81 @@ def grams(points: np.ndarray, q: int = Q) -> np.ndarray:
         return (h ^ (h >> np.uint64(33))) * np.uint64(0xBF58476D1CE4E5B9)
 
 
+def is_wide(point: int) -> bool:
+    return any(low <= point <= high for low, high in WIDE)
+
+
+class Short:
+    """Items that are too short for the lemma, found by equality."""
+
+    def __init__(self, ids: list[int | None], texts: list[np.ndarray]) -> None:
+        self.ids, self.size = ids, [len(t) for t in texts]
+        self.whole: dict[bytes, list[int]] = {}
+        #: By size and characters the items that are searched for inside texts.
+        self.inner: dict[int, dict[bytes, list[tuple[int, int]]]] = {}
+        for i, own in enumerate(texts):
+            self.whole.setdefault(own.tobytes(), []).append(i)
+            words = int((own == 0x20).sum()) + 1
+            if sum(is_wide(x) for x in own.tolist()) >= SHORT_WIDE:
+                # Punctuation beyond ASCII is read as part of a word.
+                text = own.tobytes().decode("utf-32-le")
+                on = [x for x, c in enumerate(text) if c.isalnum()]
+                own, words = own[on[0] : on[-1] + 1], 0
+            elif words < SHORT_WORDS:
+                continue
+            self.inner.setdefault(len(own), {}).setdefault(own.tobytes(), []).append((i, words))
+
+    def hits(
+        self, texts: pa.Array, points: np.ndarray, offsets: np.ndarray
+    ) -> Iterator[tuple[int, int, int, int]]:
+        """(document, item, start and end in `points`) of what is there."""
+        if not self.ids:
+            return
+        for d in np.flatnonzero(np.diff(offsets) <= LEAST_CHARS).tolist():
+            begin, end = int(offsets[d]), int(offsets[d + 1]) - 1
+            for i in self.whole.get(points[begin : max(begin, end)].tobytes(), []):
+                yield d, i, begin, end
+        sealed = None
+        for size, items in self.inner.items():
+            if len(points) < size:
+                continue
+            own = np.concatenate([grams(np.frombuffer(x, np.uint32), size) for x in items])
+            for at in np.flatnonzero(np.isin(grams(points, size), own)).tolist():
+                d = int(np.searchsorted(offsets, at, "right")) - 1
+                if at + size >= offsets[d + 1]:
+                    continue
+                for i, words in items.get(points[at : at + size].tobytes(), []):
+                    if words:
+                        sealed = sealed or Sealed(texts, points)
+                        if not sealed.between(at, at + size, words):
+                            continue
+                    yield d, i, at, at + size
+
+
+class Sealed:
+    """Where sentences and lines begin and end in the characters of texts."""
+
+    def __init__(self, texts: pa.Array, points: np.ndarray) -> None:
+        lower = pc.utf8_lower(pc.fill_null(texts.cast(pa.large_string()), ""))
+        data, offsets = text_buffer(lower)
+        _, start, end, begin, first = words_of(data, offsets, NOT_WORD)
+        self.points = points
+        self.word = np.concatenate(([0], np.cumsum(points == 0x20)))
+        breaks = np.concatenate(([0], np.cumsum(BREAKS[data])))
+        #: Whether a break, or the end of a text, comes before each word and behind the last.
+        after = begin + end - start
+        self.before = np.ones(len(begin) + 1, bool)
+        self.before[1:-1] = breaks[begin[1:]] > breaks[after[:-1]]
+        self.before[first] = True
+
+    def between(self, begin: int, end: int, words: int) -> bool:
+        """Whether points[begin:end] are `words` whole words between two breaks."""
+        if (begin and self.points[begin - 1] != 0x20) or self.points[end] != 0x20:
+            return False
+        word = self.word[begin]
+        return bool(self.before[word] and self.before[word + words])
+
+
 def budget_of(size):
     """Edits that `size` characters may have.
 
@@ -113,6 +200,10 @@ class Index:
         sizes = np.maximum(np.diff(offsets) - 1, 0)
         on = np.flatnonzero(sizes >= LEAST_CHARS)
         self.ids = [items[i][0] for i in on]
+        few = np.flatnonzero((sizes > 0) & (sizes < LEAST_CHARS))
+        self.short = Short(
+            [items[i][0] for i in few], [points[offsets[i] : offsets[i] + sizes[i]] for i in few]
+        )
         self.points, self.begin = points, offsets[on]
         self.texts = [points[offsets[i] : offsets[i] + sizes[i]] for i in on]
         self.size = sizes[on]
@@ -289,10 +380,13 @@ class Index:
                 doc[rest], item[rest], place[rest], diagonal[rest], len(points)
             )
             settle(d, i, place, np.full(len(d), STRETCH_CHARS), low + place)
-        for of_text in found:
-            yield [
-                (self.ids[i], hit[0], int(self.size[i]), *hit[1:]) for i, hit in sorted(of_text.items())
-            ]
+        short: list[dict[int, tuple]] = [{} for _ in range(len(texts))]
+        for d, i, begin, end in self.short.hits(texts, points, offsets):
+            span = (0, 0, end - begin, begin - int(offsets[d]), end - int(offsets[d]))
+            short[d][i] = min(span, short[d].get(i, span))
+        for of_text, of_short in zip(found, short):
+            out = [(self.ids[i], h[0], int(self.size[i]), *h[1:]) for i, h in sorted(of_text.items())]
+            yield out + [(self.short.ids[i], h[0], self.short.size[i], *h[1:]) for i, h in sorted(of_short.items())]
 
 
 @lru_cache(maxsize=4)

@@ -361,3 +361,33 @@ def test_truncated_and_reworded_items_go_and_clean_documents_stay(spark):
     assert len(" ".join(words[:6])) < decontaminate.STRETCH_CHARS
     kept = decontaminate.keep_clean(documents(spark, texts), bench)
     assert sorted(r.doc_id for r in kept.collect()) == [5, 6, 7, 8, 9]
+
+
+def test_short_items_are_found_by_equality(spark):
+    items = [(1, "Yes"), (2, "Who is he?"), (3, "日本の首都はどこですか？"), (4, "no, no."), (5, "..."), (6, "是的"), (7, "Oh! Who are you")]
+    texts = [
+        (1, " YES. \n"),
+        (2, "Yes. It is so, yes\nyes\n"),
+        (3, "It began.\nWho is -- he?\nNobody knew"),
+        (4, "they asked who is he and went on"),
+        (5, "Q: who is he"),
+        (6, "who is hey. xwho is he. who is he then"),
+        (7, "問題。日本の首都はどこですか。答え"),
+        (8, "是的，他说"),
+        (9, "是的"),
+        (10, "... \n"),
+        (11, None),
+        (12, "No no"),
+        (13, "So he said oh! Who are you?"),
+        (14, 'He said: "Oh! Who are you?" and left'),
+        (15, "who is"),
+        (16, "he? who is"),
+    ]
+    bench = spark.createDataFrame(items, "item_id bigint, text string")
+    docs = documents(spark, texts)
+    found = decontaminate.hits(docs, bench).collect()
+    assert {(r.doc_id, r.item_id) for r in found} == {(1, 1), (3, 2), (5, 2), (7, 3), (9, 6), (12, 4), (14, 7)}
+    plain = {d: read(t) for d, t in texts}
+    assert plain[3][next(r for r in found if r.doc_id == 3).text_from :].startswith("who is he nobody")
+    kept = {r.doc_id for r in decontaminate.keep_clean(docs, bench).collect()}
+    assert kept == {2, 4, 6, 8, 10, 11, 13, 15, 16}
