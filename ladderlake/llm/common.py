@@ -11,7 +11,7 @@ from pathlib import Path
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -54,6 +54,29 @@ def durable(df: DataFrame) -> DataFrame:
     return df.checkpoint()
 
 
+def one_of_each(docs: DataFrame, marks: DataFrame, doc_id: str, key: Column) -> DataFrame:
+    """The rows of `docs` that no mark takes out, with all their columns.
+
+    A mark names rows by id and key (`marked_id`, `marked_key`) and says whether they are
+    `kept`: if not, all of them go; if so, they repeat each other and one stays, the first in
+    an order over all columns. Rows without a mark stay.
+    """
+    marks = durable(marks)
+    keyed = docs.withColumn("__key", key)
+    on = F.col(doc_id).eqNullSafe(F.col("marked_id")) & (F.col("__key") == F.col("marked_key"))
+    rest = keyed.join(marks, on, "left_anti").drop("__key")
+    repeats = marks.where("kept")
+    if repeats.isEmpty():
+        return rest
+    row = F.struct(*[F.col(f"`{c}`") for c in docs.columns])
+    one = (
+        keyed.join(repeats, on, "left_semi")
+        .groupBy(F.col(doc_id).alias("__id"), "__key")
+        .agg(F.min_by(row, F.sha2(F.to_json(row), 256)).alias("__row"))
+    )
+    return rest.union(one.select("__row.*"))
+
+
 def crc_fold(doc_id, folds: int):
     """crc32 of the id as text, modulo `folds`. A null id counts as empty text."""
     return F.crc32(F.coalesce(doc_id.cast("string"), F.lit("")).cast("binary")) % folds

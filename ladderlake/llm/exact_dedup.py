@@ -12,7 +12,7 @@ class with a third of all rows is an equi-join key that adaptive execution split
 Null texts count as empty; empty texts are equal to each other. A null id is kept as a row;
 it is the class's `keep_id` only if no row of the class has an id, and then all are kept.
 Rows that repeat an id and its text are all of the class, and all with the smallest id are
-kept. An empty table gives an empty result. Other columns are not read.
+marked as kept; `keep_first` leaves one row of each class. An empty table gives an empty result. Other columns are not read.
 """
 
 from __future__ import annotations
@@ -22,6 +22,8 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ladderlake.llm.common import one_of_each
+
 #: White space of the contract as a regular expression.
 RUNS = r"[\x20\x09-\x0D]+"
 
@@ -61,19 +63,18 @@ def classes(
 
 
 def keep_first(docs: DataFrame, text: str = "text", doc_id: str = "doc_id") -> DataFrame:
-    """The documents that stay, with all their columns.
+    """One document of each class, with all its columns: one with the smallest id.
 
-    Of rows that repeat both id and text every one stays, as they cannot be told apart.
+    Of rows that repeat that id, or of a class without any id, one stays.
     """
-    gone = classes(docs, text, doc_id).where(~F.col("kept")).select(
-        F.col("doc_id").alias("__gone_id"), F.col("text_sha256").alias("__gone_sha")
-    ).distinct()
-    marked = docs.withColumn("__sha", F.sha2(normalised(F.col(text)), 256))
-    return marked.join(
-        gone,
-        F.col(doc_id).eqNullSafe(F.col("__gone_id")) & (F.col("__sha") == F.col("__gone_sha")),
-        "left_anti",
-    ).drop("__sha")
+    marks = (
+        classes(docs, text, doc_id)
+        .groupBy(F.col("doc_id").alias("marked_id"), F.col("text_sha256").alias("marked_key"))
+        .agg(F.max("kept").alias("kept"), F.count(F.lit(1)).alias("n"))
+        .where("not kept or n > 1")
+        .drop("n")
+    )
+    return one_of_each(docs, marks, doc_id, F.sha2(normalised(F.col(text)), 256))
 
 
 def query(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -31,7 +31,7 @@ import numpy as np
 import pandas as pd
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ladderlake.llm.common import (
@@ -39,6 +39,7 @@ from ladderlake.llm.common import (
     SPACE,
     durable,
     hash_sample,
+    one_of_each,
     ship,
     slices,
     text_buffer,
@@ -121,16 +122,23 @@ def fingerprints(texts: pa.Array) -> np.ndarray:
 def _fingerprint_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in slices(batches, "text"):
         prints = pa.array(fingerprints(batch.column("text")).view(np.int64))
-        yield pa.RecordBatch.from_arrays([batch.column("doc_id"), prints], ["doc_id", "fp"])
+        kept = [c for c in batch.schema.names if c != "text"]
+        yield pa.RecordBatch.from_arrays([*map(batch.column, kept), prints], [*kept, "fp"])
 
 
-def with_fingerprints(docs: DataFrame, text: str = "text", doc_id: str = "doc_id") -> DataFrame:
-    """doc_id and fp (the fingerprint as a signed bigint) of every document."""
+def with_fingerprints(
+    docs: DataFrame, text: str = "text", doc_id: str = "doc_id", key: Column | None = None
+) -> DataFrame:
+    """doc_id, the key if one is given, and fp (the fingerprint as a signed bigint) of every
+    document."""
     ship(docs.sparkSession)
     narrow = docs.select(
-        F.col(doc_id).cast("bigint").alias("doc_id"), F.col(text).cast("string").alias("text")
+        F.col(doc_id).cast("bigint").alias("doc_id"),
+        *([] if key is None else [key.alias("key")]),
+        F.col(text).cast("string").alias("text"),
     )
-    return narrow.mapInArrow(_fingerprint_batches, "doc_id bigint, fp bigint")
+    fields = "doc_id bigint, fp bigint" if key is None else "doc_id bigint, key string, fp bigint"
+    return narrow.mapInArrow(_fingerprint_batches, fields)
 
 
 # --- the vantage-point tree ---------------------------------------------------------------
@@ -315,15 +323,22 @@ def components(links: DataFrame) -> DataFrame:
             return edges.select(F.col("u").alias("node"), F.col("v").alias("root"))
 
 
-def linked(prints: DataFrame) -> DataFrame:
-    """doc_id, fingerprint and component_id from (doc_id, fp)."""
-    distinct = durable(prints.groupBy("fp").agg(F.min("doc_id").alias("first_id")))
+def smallest_of_component(prints: DataFrame, value: Column) -> DataFrame:
+    """fp and the smallest `value` in its component, as `smallest`."""
+    distinct = durable(prints.groupBy("fp").agg(F.min(value).alias("first")))
     roots = components(spanning_links(distinct.select("fp")))
     labelled = distinct.join(roots, F.col("fp") == F.col("node"), "left").select(
-        "fp", "first_id", F.coalesce("root", "fp").alias("root")
+        "fp", "first", F.coalesce("root", "fp").alias("root")
+    )
+    smallest = labelled.groupBy("root").agg(F.min("first").alias("smallest"))
+    return labelled.select("fp", "root").join(smallest, "root").select("fp", "smallest")
+
+
+def linked(prints: DataFrame) -> DataFrame:
+    """doc_id, fingerprint and component_id from (doc_id, fp)."""
+    of_print = smallest_of_component(prints, F.col("doc_id")).withColumnRenamed(
+        "smallest", "component_id"
     )
-    smallest = labelled.groupBy("root").agg(F.min("first_id").alias("component_id"))
-    of_print = labelled.select("fp", "root").join(smallest, "root").select("fp", "component_id")
     return prints.join(of_print, "fp").select(
         "doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id"
     )
@@ -335,17 +350,22 @@ def near_duplicates(docs: DataFrame, text: str = "text", doc_id: str = "doc_id")
 
 
 def keep_one(docs: DataFrame, text: str = "text", doc_id: str = "doc_id") -> DataFrame:
-    """The document with the smallest id of each component, with all its columns.
+    """One document of each component, with all its columns: one with the smallest id.
 
-    A row without an id stays, as nothing says which one it is.
+    Rows are told apart by id and text. Rows without an id come after the others of their
+    component; of rows that repeat both id and text, one stays.
     """
-    gone = (
-        near_duplicates(docs, text, doc_id)
-        .where(F.col("doc_id") > F.col("component_id"))
-        .select(F.col("doc_id").alias("__gone_id"))
-        .distinct()
+    key = F.sha2(F.coalesce(F.col(text).cast("string"), F.lit("")), 256)
+    prints = durable(with_fingerprints(docs, text, doc_id, key))
+    own = F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "key")
+    marks = (
+        prints.join(smallest_of_component(prints, own), "fp")
+        .groupBy(F.col("doc_id").alias("marked_id"), F.col("key").alias("marked_key"))
+        .agg(F.max(own.eqNullSafe(F.col("smallest"))).alias("kept"), F.count(F.lit(1)).alias("n"))
+        .where("not kept or n > 1")
+        .drop("n")
     )
-    return docs.join(gone, F.col(doc_id) == F.col("__gone_id"), "left_anti")
+    return one_of_each(docs, marks, doc_id, key)
 
 
 def query(spark: SparkSession, sf_dir: str) -> DataFrame:

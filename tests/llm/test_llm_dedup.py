@@ -189,6 +189,39 @@ def test_near_duplicates_of_edge_cases(spark):
     assert simhash.near_duplicates(documents(spark, [])).count() == 0
 
 
+BASE_TEXT = " ".join(f"word{i}" for i in range(80))
+REPEATS = [
+    (1, BASE_TEXT),
+    (2, BASE_TEXT),
+    (2, "an entirely other text stands here under the same id"),
+    (3, "a row that was loaded twice"),
+    (3, "a row that was loaded twice"),
+    (None, "without an id but twice"),
+    (None, "without an id but twice"),
+    (None, BASE_TEXT),
+    (None, None),
+    (None, ""),
+]
+
+
+@pytest.mark.parametrize("stage", [exact_dedup.keep_first, simhash.keep_one])
+def test_stages_decide_by_row_and_leave_one_of_repeats(spark, stage):
+    kept = stage(documents(spark, REPEATS))
+    assert kept.columns == [c.split()[0] for c in DOCS.split(", ")]
+    got = sorted(((r.doc_id, r.text or "") for r in kept.collect()), key=repr)
+    want = [REPEATS[i] for i in (0, 2, 3, 5)] + [(None, "")]
+    assert got == sorted(want, key=repr)
+
+
+@pytest.mark.parametrize("stage", [exact_dedup.keep_first, simhash.keep_one])
+def test_which_of_repeats_stays_does_not_depend_on_their_order(spark, stage):
+    rows = [(5, "one text", "en", n, n, float(n or 0), "x") for n in (None, 1, 2, 3)]
+    schema = DOCS.replace("source string", "source int")
+    one = [tuple(r) for r in stage(spark.createDataFrame(rows, schema)).collect()]
+    assert len(one) == 1
+    assert [tuple(r) for r in stage(spark.createDataFrame(rows[::-1], schema)).collect()] == one
+
+
 # --- suffix arrays --------------------------------------------------------------------------
 
 
