@@ -13,6 +13,7 @@ from ladderlake.llm import (
     simhash,
     suffix_dedup,
     toxicity_fm,
+    turn_repair,
 )
 
 QUERIES = {
@@ -26,6 +27,7 @@ QUERIES = {
     "op8_license_scan": license_scan.query,
     "op9_quality": quality_gam.query,
     "op10_suffix_dedup": suffix_dedup.query,
+    "op13_turn_repair": turn_repair.query,
 }
 
 ORACLES = {
