@@ -12,6 +12,7 @@ from ladderlake.llm import (
     quality_gam,
     simhash,
     suffix_dedup,
+    super_kmers,
     toxicity_fm,
     turn_repair,
 )
@@ -27,6 +28,7 @@ QUERIES = {
     "op8_license_scan": license_scan.query,
     "op9_quality": quality_gam.query,
     "op10_suffix_dedup": suffix_dedup.query,
+    "op12_super_kmers": super_kmers.query,
     "op13_turn_repair": turn_repair.query,
 }
 
