@@ -7,6 +7,7 @@ from ladderlake.llm import (
     chat_format,
     decontaminate,
     exact_dedup,
+    hard_negatives,
     html_crf,
     license_scan,
     quality_gam,
@@ -28,10 +29,12 @@ QUERIES = {
     "op8_license_scan": license_scan.query,
     "op9_quality": quality_gam.query,
     "op10_suffix_dedup": suffix_dedup.query,
+    "op11_hard_negatives": hard_negatives.query,
     "op12_super_kmers": super_kmers.query,
     "op13_turn_repair": turn_repair.query,
 }
 
 ORACLES = {
     "op4_exact_dedup": exact_dedup.SQL,
+    "op11_hard_negatives": hard_negatives.SQL,
 }
