@@ -1,14 +1,14 @@
-"""How a table job ends: stage the result once, gate it, merge it into its table."""
+"""How a table job ends: its result is written once, gated, and merged into its table."""
 
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import partial
 
 from pyspark.sql import DataFrame, SparkSession
 
 from ladderlake.quality.rules import Rule, enforce
 from ladderlake.sinks.tables import Merged, upsert
-from ladderlake.sinks.workspace import discard, stage
 
 
 def publish(
@@ -19,13 +19,10 @@ def publish(
     gate: Sequence[Rule] = (),
     partition_by: str | None = None,
 ) -> Merged:
-    """Run the plan once into shared scratch space; the gate and the merge read that copy.
+    """Run the plan once, into files of the table's layout; the gate and the merge read those.
 
-    A result that fails its gate never reaches the table.
+    A result that fails its gate never reaches the table. One that passes becomes part of the
+    table where its files are: a first load, and any partition that is new, is written once.
     """
-    staged, path = stage(df, table.replace(".", "_"))
-    try:
-        enforce(staged, gate) if gate else None
-        return upsert(spark, staged, table, key, partition_by, keys_checked=bool(gate))
-    finally:
-        discard(spark, path)
+    check = partial(enforce, rules=gate) if gate else None
+    return upsert(spark, df, table, key, partition_by, check=check)

@@ -3,19 +3,27 @@
 from __future__ import annotations
 
 import logging
+import re
+import time
 import uuid
+from collections.abc import Callable
 from dataclasses import dataclass
+from functools import partial
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ladderlake.operators.joins import split_by_match
-from ladderlake.sinks.workspace import discard, exists, stage
+from ladderlake.sinks import key_index
+from ladderlake.sinks.commits import LEASE, Commits
+from ladderlake.sinks.workspace import children, discard, exists, rename, stage
 
 log = logging.getLogger(__name__)
 
 # Table formats that can merge rows in place.
 MERGING_FORMATS = ("delta", "iceberg")
+# Folders of a partitioned table that hold the files of its merges, and its commits.
+MERGES, COMMITS = "_merges", "_commits"
 
 
 class DuplicateKeys(ValueError):
@@ -66,110 +74,261 @@ def upsert(
     key: str,
     partition_by: str | None = None,
     fmt: str = "parquet",
-    keys_checked: bool = False,
+    check: Callable[[DataFrame], None] | None = None,
 ) -> Merged:
     """Update the rows whose key the table holds, insert the others, delete none.
 
-    The table is created if it is missing. A source row with a null key matches nothing
-    and is inserted. `src` is read several times: pass a staged or stored frame.
-    `keys_checked` skips the duplicate check for a source a quality gate has passed.
-
-    New files are written beside the old ones, then the catalog is pointed at them, and
-    only then are the old ones deleted. A merge that broke off anywhere has lost no row that
-    the table held and the source does not replace; running it again completes it.
+    The table is created if it is missing. A source row with a null key matches nothing and is
+    inserted. The plan of `src` runs once: its rows are written as files of the table's own
+    layout, which `check` reads, and which become the table's partitions by location where no
+    row of the table remains beside them: on a first load all of them, later those of new
+    partitions. `check` raises to keep the rows out; without one, keys must be unique.
+
+    Partitions that get rows or lose replaced ones are written anew beside the old ones. Which
+    those are says an index of keys (see `key_index`), so no other partition is read. Then the
+    commit is claimed (see `commits`), the catalog is pointed at the new files, and only then
+    are the old ones deleted. A merge that broke off anywhere has lost no row that the table
+    held and the source does not replace; running it again completes it, and `sweep` deletes
+    what it left behind.
     """
-    if not keys_checked:
-        require_unique(src, key)
-    if not spark.catalog.tableExists(table):
-        write_table(src, table, partition_by=partition_by, fmt=fmt)
-        done = Merged(src.count(), 0)
+    check = check or partial(require_unique, key=key)
+    first = not spark.catalog.tableExists(table)
+    about = None if first else _details(spark, table)
+    if (fmt if first else about["Provider"].lower()) in MERGING_FORMATS:
+        done = _merge_in_place(spark, src, table, key, partition_by, fmt, first, check)
+    elif first:
+        done = _first_load(spark, src, table, key, partition_by, fmt, check)
     else:
         # An earlier merge may have broken off after its files changed.
         spark.catalog.refreshTable(table)
-        tgt = spark.table(table)
-        if sorted(src.columns) != sorted(tgt.columns):
+        if sorted(src.columns) != sorted(spark.table(table).columns):
             raise ValueError(f"columns of the source and of {table} differ")
-        # The one scan of the history: the key and partition of its rows that are replaced.
-        wanted = [key, partition_by] if partition_by else [key]
-        matched, scratch = stage(split_by_match(tgt.select(*wanted), src, key)[0], "matched")
-        try:
-            updated = matched.count()
-            _merge(spark, src, tgt, table, key, partition_by, matched)
-        finally:
-            discard(spark, scratch)
-        done = Merged(src.count() - updated, updated)
+        load = _merge_partitions if partition_by else _merge_whole
+        done = load(spark, src, table, about, key, partition_by, check)
     log.info("merged into %s: %d inserted, %d updated", table, done.inserted, done.updated)
     return done
 
 
-def _merge(
+def _merge_in_place(
     spark: SparkSession,
     src: DataFrame,
-    tgt: DataFrame,
     table: str,
     key: str,
     partition_by: str | None,
-    matched: DataFrame,
-) -> None:
-    about = _details(spark, table)
-    if about["Provider"].lower() in MERGING_FORMATS:
+    fmt: str,
+    first: bool,
+    check: Callable[[DataFrame], None],
+) -> Merged:
+    """A merge of a format that has transactions of its own."""
+    staged, scratch = stage(src, "merge")
+    try:
+        check(staged)
+        if first:
+            write_table(staged, table, partition_by=partition_by, fmt=fmt)
+            return Merged(staged.count(), 0)
+        updated = split_by_match(staged, spark.table(table), key)[0].count()
         same_key = F.col(f"src.{key}") == F.col(f"tgt.{key}")
         (
-            src.alias("src").mergeInto(f"{table} AS tgt", same_key)
+            staged.alias("src").mergeInto(f"{table} AS tgt", same_key)
             .whenMatched().updateAll().whenNotMatched().insertAll().merge()
         )
-    elif partition_by:
-        losing = _values(matched.select(partition_by))
-        _replace_partitions(spark, src, tgt, table, about, key, partition_by, losing)
-    else:
-        _replace_table(spark, src, tgt, table, about, key)
+        return Merged(staged.count() - updated, updated)
+    finally:
+        discard(spark, scratch)
+
+
+def _write(df: DataFrame, path: str, part: str | None, fmt: str) -> DataFrame:
+    """Write files in the layout of a table and hand back what they hold."""
+    writer = (df.hint("rebalance", F.col(part)) if part else df).write.format(fmt)
+    (writer.partitionBy(part) if part else writer).save(path)
+    written = df.sparkSession.read.format(fmt).schema(df.schema).load(path)
+    return written.select(*df.columns)
+
+
+def _first_load(
+    spark: SparkSession,
+    src: DataFrame,
+    table: str,
+    key: str,
+    part: str | None,
+    fmt: str,
+    check: Callable[[DataFrame], None],
+) -> Merged:
+    """Write the rows once, beside where the table will be; once checked, they are the table."""
+    base = _default_path(spark, table)
+    parent, name = base.rsplit("/", 1)
+    path = f"{parent}/_staged/{name}-{uuid.uuid4().hex}"
+    try:
+        staged = _write(src, path, part, fmt)
+        check(staged)
+        count = staged.count()
+        values = _values(staged.select(part)) if part else None
+        empty = spark.createDataFrame([], src.schema).write.format(fmt)
+        (empty.partitionBy(part) if part else empty).saveAsTable(table)
+        if part:
+            version = f"{base}/{MERGES}/{uuid.uuid4().hex}"
+            rename(spark, path, version)
+            for value in {None if v == "" else v for v in values}:
+                _point(spark, table, part, value, f"{version}/{_folder(spark, part, value)}", False)
+            spark.catalog.refreshTable(table)
+            key_index.build(spark, table, key_index.entries(spark.table(table), key, part))
+        else:
+            version = f"{base}__v_{uuid.uuid4().hex}"
+            rename(spark, path, version)
+            spark.sql(f"ALTER TABLE {table} SET LOCATION '{_quoted(version)}'")
+            discard(spark, base)
+        spark.catalog.refreshTable(table)
+        return Merged(count, 0)
+    except BaseException:
+        discard(spark, path)
+        raise
 
 
-def _replace_partitions(
+def _merge_partitions(
     spark: SparkSession,
     src: DataFrame,
-    tgt: DataFrame,
     table: str,
     about: dict[str, str],
     key: str,
     part: str,
-    losing: set,
-) -> None:
-    """Rewrite the partitions that get rows or lose replaced ones; touch no other.
+    check: Callable[[DataFrame], None],
+) -> Merged:
+    """Rewrite the partitions that get rows or lose replaced ones; touch and read no other.
 
-    Each of them is written once into a folder of this merge. What reaches the driver is a
-    list of partition values, as long as the table has partitions.
+    What reaches the driver is lists of partition values, as long as the table has partitions.
     """
     if about.get("Partition Provider") != "Catalog":
         raise ValueError(f"the catalog does not list the partitions of {table}")
-    # Writers put empty text where they put null, and it is read back as null.
-    touched = {None if v == "" else v for v in _values(src.select(part)) | losing}
-    version = f"{about['Location'].rstrip('/')}/_merges/{uuid.uuid4().hex}"
-    (
-        merged_rows(src, tgt.filter(_one_of(part, touched)), key)
-        .select(*tgt.columns)
-        .hint("rebalance", F.col(part))
-        .write.partitionBy(part)
-        .format(about["Provider"])
-        .save(version)
-    )
-    listed = {row[0] for row in spark.sql(f"SHOW PARTITIONS {table}").collect()}
-    places = {value: _folder(spark, part, value) for value in touched}
-    old = [_location(spark, table, part, v) for v, place in places.items() if place in listed]
-    full = [v for v, place in places.items() if exists(spark, f"{version}/{place}")]
-    for value in full:
-        _point(spark, table, part, value, f"{version}/{places[value]}", places[value] in listed)
-    for value in touched.difference(full):  # every row of it moved elsewhere
-        _spec_dropped(spark, table, _spec(part, value))
-    spark.catalog.refreshTable(table)
-    discard(spark, *old)
+    base, fmt = about["Location"].rstrip("/"), about["Provider"]
+    commits = Commits(f"{base}/{COMMITS}")
+    read = commits.start(spark)
+    arrived, merged = (f"{base}/{MERGES}/{uuid.uuid4().hex}" for _ in range(2))
+    try:
+        tgt = spark.table(table)
+        incoming = _write(src.select(*tgt.columns), arrived, part, fmt)
+        check(incoming)
+        index = key_index.current(spark, table, key, part)
+        asked = key_index.entries(incoming, key, part)
+        known, scratch = stage(key_index.known(spark, index, asked), "known")
+        try:
+            held = tgt.filter(_one_of(part, _values(known.select("part"))))
+            losing = _counts(split_by_match(held.select(key, part), incoming, key)[0], part)
+            counts = _counts(incoming, part)
+            listed = _listed(spark, table, part)
+            places = {v: _folder(spark, part, v) for v in counts.keys() | losing.keys()}
+            fresh = {v for v in counts if places[v] not in listed}
+            rewritten = places.keys() - fresh
+            if rewritten:
+                touched = _one_of(part, rewritten)
+                # Rows that move to a new partition leave their old one, too.
+                kept = split_by_match(tgt.filter(touched), incoming, key)[1]
+                _write(incoming.filter(touched).unionByName(kept), merged, part, fmt)
+            same = (asked.h == known.h) & asked.part.eqNullSafe(known.part)
+            key_index.add(spark, table, index, asked.join(known, same, "left_anti"))
+        finally:
+            discard(spark, scratch)
+        mine = commits.claim(spark, read)
+    except BaseException:
+        discard(spark, arrived, merged)
+        raise
+    try:
+        full = [v for v in rewritten if exists(spark, f"{merged}/{places[v]}")]
+        for value in fresh:
+            _point(spark, table, part, value, f"{arrived}/{places[value]}", False)
+        for value in full:
+            _point(spark, table, part, value, f"{merged}/{places[value]}", True)
+        for value in rewritten.difference(full):  # every row of it moved elsewhere
+            _spec_dropped(spark, table, _spec(part, value))
+        spark.catalog.refreshTable(table)
+        unused = [f"{arrived}/{places[v]}" for v in counts if v not in fresh]
+        discard(spark, *(listed[places[v]] for v in rewritten), *unused)
+    finally:
+        commits.close(spark, mine)
+    key_index.tidy(spark, table, key, part)
+    updated = sum(losing.values())
+    return Merged(sum(counts.values()) - updated, updated)
+
+
+def _merge_whole(
+    spark: SparkSession,
+    src: DataFrame,
+    table: str,
+    about: dict[str, str],
+    key: str,
+    _: None,
+    check: Callable[[DataFrame], None],
+) -> Merged:
+    """Write the merged rows beside the table, then point the table at them."""
+    old = about["Location"].rstrip("/")
+    base = old.split("__v_")[0]
+    commits = Commits(f"{base}__commits")
+    read = commits.start(spark)
+    new = f"{base}__v_{uuid.uuid4().hex}"
+    try:
+        staged, scratch = stage(src, "merge")
+        try:
+            check(staged)
+            tgt = spark.table(table)
+            updated = split_by_match(tgt.select(key), staged, key)[0].count()
+            _write(merged_rows(staged, tgt, key).select(*tgt.columns), new, None, about["Provider"])
+            count = staged.count()
+        finally:
+            discard(spark, scratch)
+        mine = commits.claim(spark, read)
+    except BaseException:
+        discard(spark, new)
+        raise
+    try:
+        spark.sql(f"ALTER TABLE {table} SET LOCATION '{_quoted(new)}'")
+        spark.catalog.refreshTable(table)
+        discard(spark, old)
+    finally:
+        commits.close(spark, mine)
+    return Merged(count - updated, updated)
+
+
+def sweep(spark: SparkSession, table: str, older_than: float = LEASE) -> list[str]:
+    """Delete what broken-off merges left beside a table; returns the folders deleted.
+
+    Live is what the catalog points at. Folders changed within the last `older_than` seconds
+    are left alone, since a merge that is still running may have written them.
+    """
+    about = _details(spark, table)
+    old = about["Location"].rstrip("/")
+    base = old.split("__v_")[0]
+    parent, name = base.rsplit("/", 1)
+    before = time.time() - older_than
+    gone = [
+        f"{parent}/_staged/{n}" for n, changed in children(spark, f"{parent}/_staged").items()
+        if n.startswith(f"{name}-") and changed <= before
+    ]
+    if about.get("Partition Provider") == "Catalog":
+        part = _partition_column(spark, table)
+        live = {_path(place) for place in _listed(spark, table, part).values()}
+        folders = {f"{base}/{n}": c for n, c in children(spark, base).items() if "=" in n}
+        for version, changed in children(spark, f"{base}/{MERGES}").items():
+            whole = f"{base}/{MERGES}/{version}"
+            inside = {f"{whole}/{n}": c for n, c in children(spark, whole).items() if "=" in n}
+            if any(_path(place) in live for place in inside):
+                folders |= inside
+            else:
+                folders[whole] = max([changed, *inside.values()])
+        gone += [f for f, c in folders.items() if _path(f) not in live and c <= before]
+    else:
+        gone += [
+            f"{parent}/{n}" for n, changed in children(spark, parent).items()
+            if (n == name or n.startswith(f"{name}__v_")) and changed <= before
+            and _path(f"{parent}/{n}") != _path(old)
+        ]
+    discard(spark, *gone)
+    return sorted(gone)
 
 
 def _point(
     spark: SparkSession, table: str, part: str, value, path: str, listed: bool
 ) -> None:
     """Let a partition of the catalog be the files at `path`."""
-    quoted = path.replace("\\", "\\\\").replace("'", "\\'")
+    quoted = _quoted(path)
     spec = _spec(part, value)
     if listed:
         spark.sql(f"ALTER TABLE {table} {spec} SET LOCATION '{quoted}'")
@@ -187,45 +346,70 @@ def _folder(spark: SparkSession, part: str, value) -> str:
     return names.getPartitionPathString(part, None if value is None else _text(value))
 
 
-def _location(spark: SparkSession, table: str, part: str, value) -> str:
-    rows = spark.sql(f"DESCRIBE TABLE EXTENDED {table} {_spec(part, value)}").collect()
-    return next(r["data_type"] for r in rows if r["col_name"] == "Location")
+def _listed(spark: SparkSession, table: str, part: str) -> dict[str, str]:
+    """Folder names of the partitions that the catalog lists, and where their files are."""
+    names = spark._jvm.org.apache.spark.sql.catalyst.catalog.ExternalCatalogUtils
+    none = getattr(spark._jvm, "scala.Option").empty()
+    found = _catalog(spark).listPartitions(_identifier(spark, table), none)
+    places = {}
+    for i in range(found.size()):
+        listed = found.apply(i)
+        value = listed.spec().apply(part)
+        places[names.getPartitionPathString(part, value)] = _plain(spark, listed.location())
+    return places
 
 
-def _spec(part: str, value) -> str:
-    return f"PARTITION ({part} = {_literal(value)})"
+def _catalog(spark: SparkSession):
+    return spark._jsparkSession.sessionState().catalog()
 
 
-def _replace_table(
-    spark: SparkSession,
-    src: DataFrame,
-    tgt: DataFrame,
-    table: str,
-    about: dict[str, str],
-    key: str,
-) -> None:
-    """Write the merged rows beside the table, then point the table at them."""
-    old = about["Location"]
-    base = old.rstrip("/").split("__v_")[0]
-    new = f"{base}__v_{uuid.uuid4().hex}"
-    merged_rows(src, tgt, key).select(*tgt.columns).write.format(
-        about["Provider"]
-    ).save(new)
-    spark.sql(f"ALTER TABLE {table} SET LOCATION '{new}'")
-    spark.catalog.refreshTable(table)
-    discard(spark, old)
+def _identifier(spark: SparkSession, table: str):
+    return spark._jsparkSession.sessionState().sqlParser().parseTableIdentifier(table)
+
+
+def _default_path(spark: SparkSession, table: str) -> str:
+    """Where a managed table of this name is put."""
+    place = _catalog(spark).defaultTablePath(_identifier(spark, table))
+    return _plain(spark, place).rstrip("/")
+
+
+def _plain(spark: SparkSession, uri) -> str:
+    """A location of the catalog as paths are written, without escapes."""
+    return spark._jvm.org.apache.hadoop.fs.Path(uri).toString()
+
+
+def _partition_column(spark: SparkSession, table: str) -> str:
+    return next(c.name for c in spark.catalog.listColumns(table) if c.isPartition)
+
+
+def _path(place: str) -> str:
+    """A location without its scheme, so that spellings of it compare."""
+    return re.sub(r"^[a-z0-9+.-]+:(//[^/]*)?", "", place).rstrip("/")
+
+
+def _spec(part: str, value) -> str:
+    return f"PARTITION ({part} = {_literal(value)})"
 
 
 def _values(column: DataFrame) -> set:
     return {row[0] for row in column.distinct().collect()}
 
 
+def _counts(rows: DataFrame, column: str) -> dict:
+    """Rows per value. Writers put empty text where they put null, and it is read as null."""
+    return {r[0]: r[1] for r in rows.groupBy(column).count().collect()}
+
+
 def _one_of(column: str, values: set) -> Column:
     known = [v for v in values if v is not None]
     test = F.col(column).isin(known)
     return test | F.col(column).isNull() if None in values else test
 
 
+def _quoted(text: str) -> str:
+    return text.replace("\\", "\\\\").replace("'", "\\'")
+
+
 def _text(value) -> str:
     return str(value).lower() if isinstance(value, bool) else str(value)
 

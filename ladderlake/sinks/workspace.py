@@ -35,12 +35,47 @@ def stage(df: DataFrame, name: str = "stage") -> tuple[DataFrame, str]:
 def discard(spark: SparkSession, *paths: str) -> None:
     """Delete files or folders this package wrote; raises where one is still there."""
     for path in paths:
-        target = spark._jvm.org.apache.hadoop.fs.Path(path)
-        files = target.getFileSystem(spark._jsc.hadoopConfiguration())
+        files, target = _at(spark, path)
         if not files.delete(target, True) and files.exists(target):
             raise OSError(f"cannot delete {path}")
 
 
 def exists(spark: SparkSession, path: str) -> bool:
+    files, target = _at(spark, path)
+    return files.exists(target)
+
+
+def rename(spark: SparkSession, path: str, to: str) -> None:
+    """Move a folder within its file system; the parent of `to` is made if need be."""
+    files, source = _at(spark, path)
+    target = spark._jvm.org.apache.hadoop.fs.Path(to)
+    files.mkdirs(target.getParent())
+    if not files.rename(source, target):
+        raise OSError(f"cannot move {path} to {to}")
+
+
+def children(spark: SparkSession, path: str) -> dict[str, float]:
+    """Names below a folder and when each was last changed, in epoch seconds."""
+    files, folder = _at(spark, path)
+    if not files.exists(folder):
+        return {}
+    return {s.getPath().getName(): s.getModificationTime() / 1000 for s in files.listStatus(folder)}
+
+
+def create_new(spark: SparkSession, path: str) -> bool:
+    """Create an empty file; false if it is there already. Of several callers one succeeds,
+    on file systems that create exclusively, such as HDFS."""
+    files, target = _at(spark, path)
+    files.mkdirs(target.getParent())
+    try:
+        files.create(target, False).close()
+    except Exception as error:  # the JVM's, of a class of the file system's own
+        if files.exists(target):
+            return False
+        raise OSError(f"cannot create {path}") from error
+    return True
+
+
+def _at(spark: SparkSession, path: str):
     target = spark._jvm.org.apache.hadoop.fs.Path(path)
-    return target.getFileSystem(spark._jsc.hadoopConfiguration()).exists(target)
+    return target.getFileSystem(spark._jsc.hadoopConfiguration()), target

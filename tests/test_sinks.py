@@ -12,9 +12,10 @@ from pyspark.sql import functions as F
 from conftest import plan, rows
 from ladderlake import schemas
 from ladderlake.operators.filters import in_run_window
-from ladderlake.sinks import tables
+from ladderlake.sinks import commits, key_index, tables
+from ladderlake.sinks.commits import ConcurrentMerge
 from ladderlake.sinks.files import export_csv_gz, land_parquet
-from ladderlake.sinks.tables import DuplicateKeys, Merged, upsert, write_table
+from ladderlake.sinks.tables import DuplicateKeys, Merged, sweep, upsert, write_table
 from ladderlake.sinks.workspace import fresh_path, shared_root, stage
 from ladderlake.sources import scans
 
@@ -53,7 +54,7 @@ def test_rows_move_between_partitions(spark, database, part):
     assert spark.table(name).count() == 3
 
 
-@pytest.mark.parametrize("step", [0, 1, 2, 4])
+@pytest.mark.parametrize("step", [0, 1, 2, 4, 5])
 def test_a_merge_that_broke_off_loses_nothing_and_is_completed_by_the_next(
     spark, database, monkeypatch, step
 ):
@@ -101,7 +102,7 @@ def test_names_that_paths_escape(spark, tmp_path):
         upsert(spark, spark.createDataFrame(new, layout), name, "id", "place")
         got = rows(spark.table(name).select("id", "v", "place"))
         assert [(i, v, p or None) for i, v, p in got] == [(i, v, p or None) for i, v, p in new]
-    files = [f for f in tmp_path.rglob("*.parquet")]
+    files = [f for f in (tmp_path / "a folder" / "t").rglob("*.parquet")]
     live = spark.table(name).select("_metadata.file_path").distinct().count()
     assert len(files) == live  # the replaced files are gone
     spark.sql(f"DROP DATABASE {database} CASCADE")
@@ -118,6 +119,147 @@ def test_partitions_that_get_rows_are_not_searched(spark, database):
     assert rows(spark.table(name)) == sorted(expected.values(), key=repr)
 
 
+def table_files(spark, name):
+    """Every data file below the table's folder, live or not."""
+    where = {r["col_name"]: r["data_type"] for r in spark.sql(f"DESCRIBE EXTENDED {name}").collect()}
+    root = Path(where["Location"].removeprefix("file:"))
+    root = root.parent if "__v_" in root.name else root
+    return {f for f in root.rglob("part-*.parquet") if f"{name.split('.')[1]}__keys" not in str(f)}
+
+
+def live_files(spark, name):
+    seen = spark.table(name).select("_metadata.file_path").distinct().collect()
+    return {Path(r[0].removeprefix("file://").removeprefix("file:")) for r in seen}
+
+
+def test_a_merge_reads_no_partition_that_it_does_not_touch(spark, database):
+    """The other partitions' files are destroyed: a merge that looked into one would fail."""
+    name = f"{database}.t"
+    upsert(spark, frame(spark, (1, "a", D1), (2, "b", D2), (3, "c", D3)), name, "id", "file_date")
+    whole = {}
+    for file in table_files(spark, name):
+        if f"file_date={D2}" not in str(file):
+            whole[file] = file.read_bytes()
+            file.write_bytes(b"")
+            (file.parent / f".{file.name}.crc").unlink(missing_ok=True)
+    done = upsert(spark, frame(spark, (2, "B", D2), (4, "d", D4)), name, "id", "file_date")
+    assert done == Merged(1, 1) and len(whole) == 2
+    for file, data in whole.items():
+        file.write_bytes(data)
+    spark.catalog.refreshTable(name)
+    assert rows(spark.table(name).select("id", "v")) == [(1, "a"), (2, "B"), (3, "c"), (4, "d")]
+
+
+def test_the_index_follows_rows_that_move(spark, database, monkeypatch):
+    name = f"{database}.t"
+    monkeypatch.setattr(key_index, "APPENDS", 3)
+    upsert(spark, frame(spark, (1, "a", D1), (2, "b", D1), (None, "n", D1)), name, "id", "file_date")
+    first = key_index.properties(spark, name)[key_index.INDEX]
+    for step, day in enumerate((D2, D3, D1, D4)):
+        upsert(spark, frame(spark, (1, str(step), day)), name, "id", "file_date")
+        assert rows(spark.table(name).where("id = 1").select("v", "file_date")) == [(str(step), day)]
+    last = key_index.properties(spark, name)[key_index.INDEX]
+    assert last != first and not spark.catalog.tableExists(first)  # written anew once
+    assert rows(spark.table(last).select("part")) == [(D4,), (D1,), (D1,)]  # by repr
+
+
+def test_an_index_is_built_where_none_is_named(spark, database):
+    """After an overwrite, and after rows written past the merge."""
+    name = f"{database}.t"
+    upsert(spark, frame(spark, (1, "a", D1)), name, "id", "file_date")
+    write_table(frame(spark, (1, "a", D2), (2, "b", D3)), name, partition_by="file_date")
+    upsert(spark, frame(spark, (1, "A", D1)), name, "id", "file_date")
+    frame(spark, (3, "c", D4)).write.mode("append").insertInto(name)
+    key_index.forget(spark, name)
+    upsert(spark, frame(spark, (3, "C", D1)), name, "id", "file_date")
+    assert rows(spark.table(name).select("id", "v", "file_date")) == [
+        (1, "A", D1), (2, "b", D3), (3, "C", D1)
+    ]
+
+
+def test_a_first_load_is_written_once(spark, database, part):
+    """The table's only files are those that the check has read, and the plan ran once."""
+    name = f"{database}.t"
+    runs = spark.sparkContext.accumulator(0)
+
+    def counted(batches):
+        for batch in batches:
+            runs.add(batch.num_rows)
+            yield batch
+
+    src = frame(spark, (1, "a", D1), (2, "b", D2), (3, "c", D2)).mapInArrow(counted, LAYOUT)
+    checked = []
+
+    def check(staged):
+        checked.extend(Path(f).name for f in staged.inputFiles())
+
+    upsert(spark, src, name, "id", part, check=check)
+    assert {f.name for f in table_files(spark, name)} == set(checked)
+    assert spark.table(name).count() == 3
+    assert runs.value == 3
+
+
+def test_new_partitions_are_not_written_again(spark, database):
+    name = f"{database}.t"
+    upsert(spark, frame(spark, (1, "a", D1), (2, "b", D2)), name, "id", "file_date")
+    checked = []
+    check = lambda staged: checked.extend(Path(f).name for f in staged.inputFiles())
+    src = frame(spark, (2, "B", D2), (3, "c", D3))
+    upsert(spark, src, name, "id", "file_date", check=check)
+    again = {f.name for f in live_files(spark, name)} & set(checked)
+    assert len(again) == 1 and len(checked) == 2  # that of the new partition
+    assert table_files(spark, name) == live_files(spark, name)
+
+
+def test_of_two_merges_that_overlap_one_fails(spark, database, part):
+    """The second starts and ends while the first one runs; the first one's rows stay out."""
+    name = f"{database}.t"
+    upsert(spark, frame(spark, (1, "a", D1), (2, "b", D1)), name, "id", part)
+
+    def check(_):
+        upsert(spark, frame(spark, (2, "other", D1)), name, "id", part)
+
+    with pytest.raises(ConcurrentMerge):
+        upsert(spark, frame(spark, (1, "mine", D1)), name, "id", part, check=check)
+    assert rows(spark.table(name).select("id", "v")) == [(1, "a"), (2, "other")]
+    assert table_files(spark, name) == live_files(spark, name)
+    upsert(spark, frame(spark, (1, "mine", D1)), name, "id", part)
+    assert rows(spark.table(name).select("id", "v")) == [(1, "mine"), (2, "other")]
+
+
+def test_a_merge_does_not_start_while_another_switches(spark, database, part, monkeypatch):
+    name = f"{database}.t"
+    upsert(spark, frame(spark, (1, "a", D1)), name, "id", part)
+    src = frame(spark, (1, "b", D1))
+    with monkeypatch.context() as lost:
+        lost.setattr(commits.Commits, "close", lambda *_: None)  # the driver dies before it
+        upsert(spark, src, name, "id", part)
+    with pytest.raises(ConcurrentMerge):
+        upsert(spark, src, name, "id", part)
+    monkeypatch.setattr(commits, "LEASE", 0.0)  # the claim has run out
+    upsert(spark, src, name, "id", part)
+    assert rows(spark.table(name).select("id", "v")) == [(1, "b")]
+
+
+def test_sweep_deletes_what_a_broken_merge_left(spark, database, part, monkeypatch):
+    name = f"{database}.t"
+    upsert(spark, frame(spark, (1, "a", D1), (2, "b", D2)), name, "id", part)
+    moved = frame(spark, (1, "A", D2), (3, "c", D3))
+    with monkeypatch.context() as broken:
+        broken.setattr(tables, "discard", lambda *_: (_ for _ in ()).throw(RuntimeError("lost")))
+        with pytest.raises(RuntimeError):
+            upsert(spark, moved, name, "id", part)
+    upsert(spark, moved, name, "id", part)
+    assert table_files(spark, name) > live_files(spark, name)
+    assert sweep(spark, name) == []  # too young: a running merge may have written them
+    assert sweep(spark, name, older_than=0.0)
+    assert table_files(spark, name) == live_files(spark, name)
+    assert rows(spark.table(name).select("id", "v")) == [(1, "A"), (2, "b"), (3, "c")]
+    assert sweep(spark, name, older_than=0.0) == []
+    upsert(spark, frame(spark, (2, "B", D1)), name, "id", part)
+    assert rows(spark.table(name).select("id", "v")) == [(1, "A"), (2, "B"), (3, "c")]
+
+
 def test_null_keys_never_match(spark, database, part):
     name = f"{database}.t"
     upsert(spark, frame(spark, (None, "a", D1), (1, "b", D1)), name, "id", part)
