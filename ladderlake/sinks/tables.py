@@ -161,15 +161,13 @@ def _first_load(
     try:
         staged = _write(src, path, part, fmt)
         check(staged)
-        count = staged.count()
-        values = _values(staged.select(part)) if part else None
+        counts = _counts(staged, part) if part else {None: staged.count()}
         empty = spark.createDataFrame([], src.schema).write.format(fmt)
         (empty.partitionBy(part) if part else empty).saveAsTable(table)
         if part:
             version = f"{base}/{MERGES}/{uuid.uuid4().hex}"
             rename(spark, path, version)
-            for value in {None if v == "" else v for v in values}:
-                _point(spark, table, part, value, f"{version}/{_folder(spark, part, value)}", False)
+            _add(spark, table, part, {v: f"{version}/{_folder(spark, part, v)}" for v in counts})
             spark.catalog.refreshTable(table)
             key_index.build(spark, table, key_index.entries(spark.table(table), key, part))
         else:
@@ -178,7 +176,7 @@ def _first_load(
             spark.sql(f"ALTER TABLE {table} SET LOCATION '{_quoted(version)}'")
             discard(spark, base)
         spark.catalog.refreshTable(table)
-        return Merged(count, 0)
+        return Merged(sum(counts.values()), 0)
     except BaseException:
         discard(spark, path)
         raise
@@ -233,10 +231,9 @@ def _merge_partitions(
         raise
     try:
         full = [v for v in rewritten if exists(spark, f"{merged}/{places[v]}")]
-        for value in fresh:
-            _point(spark, table, part, value, f"{arrived}/{places[value]}", False)
+        _add(spark, table, part, {v: f"{arrived}/{places[v]}" for v in fresh})
         for value in full:
-            _point(spark, table, part, value, f"{merged}/{places[value]}", True)
+            _point(spark, table, part, value, f"{merged}/{places[value]}")
         for value in rewritten.difference(full):  # every row of it moved elsewhere
             _spec_dropped(spark, table, _spec(part, value))
         spark.catalog.refreshTable(table)
@@ -324,16 +321,17 @@ def sweep(spark: SparkSession, table: str, older_than: float = LEASE) -> list[st
     return sorted(gone)
 
 
-def _point(
-    spark: SparkSession, table: str, part: str, value, path: str, listed: bool
-) -> None:
-    """Let a partition of the catalog be the files at `path`."""
-    quoted = _quoted(path)
-    spec = _spec(part, value)
-    if listed:
-        spark.sql(f"ALTER TABLE {table} {spec} SET LOCATION '{quoted}'")
-    else:
-        spark.sql(f"ALTER TABLE {table} ADD IF NOT EXISTS {spec} LOCATION '{quoted}'")
+def _add(spark: SparkSession, table: str, part: str, places: dict) -> None:
+    """Let the catalog list new partitions, each with its files."""
+    specs = [f"{_spec(part, v)} LOCATION '{_quoted(path)}'" for v, path in places.items()]
+    for start in range(0, len(specs), 100):
+        some = " ".join(specs[start : start + 100])
+        spark.sql(f"ALTER TABLE {table} ADD IF NOT EXISTS {some}")
+
+
+def _point(spark: SparkSession, table: str, part: str, value, path: str) -> None:
+    """Let a partition that the catalog lists be the files at `path`."""
+    spark.sql(f"ALTER TABLE {table} {_spec(part, value)} SET LOCATION '{_quoted(path)}'")
 
 
 def _spec_dropped(spark: SparkSession, table: str, spec: str) -> None:

@@ -75,7 +75,7 @@ def test_a_merge_that_broke_off_loses_nothing_and_is_completed_by_the_next(
         return call
 
     with monkeypatch.context() as broken:
-        for part in ("_point", "_spec_dropped", "discard"):
+        for part in ("_add", "_point", "_spec_dropped", "discard"):
             broken.setattr(tables, part, breaks(getattr(tables, part)))
         with pytest.raises(RuntimeError):
             upsert(spark, moved, name, "id", "file_date")
