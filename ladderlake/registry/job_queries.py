@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from ladderlake import schemas
 from ladderlake.plans import bronze, gold, pages, silver, views
-from ladderlake.registry import register
+from ladderlake.registry import ORACLES, register
 from ladderlake.registry import stand_ins as s
 from ladderlake.registry.aggregate_queries import civ_view, opponent_view
 from ladderlake.registry.join_queries import FACT_CTES, FACT_SQL, star_inputs
@@ -277,6 +277,61 @@ def job_fact_player_matches(spark, sf):
     return spark.table(target).drop("load_date")
 
 
+# ---- second loads ----------------------------------------------------------
+# A part of the run window is loaded, then the whole of it: rows are inserted and replaced.
+FIRST_PART = (s.WINDOW[0], "1998-12-31")
+
+
+@register("job_silver2_players_again", ORACLES["job_silver2_players"])
+def job_silver2_players_again(spark, sf):
+    """The first load has other ratings, which the second one replaces."""
+    target = _target(spark, "players_s2r")
+    typed = s.unique_players(spark, sf)
+    other = typed.withColumn("new_rating", F.col("new_rating") + 1)
+    silver.merge_players(spark, as_view(other, "players_sr"), target, FIRST_PART)
+    silver.merge_players(spark, as_view(typed, "players_sr"), target, s.WINDOW)
+    return spark.table(target)
+
+
+@register("job_dim_match_again", ORACLES["job_dim_match"])
+def job_dim_match_again(spark, sf):
+    """In the first load all matches are a quarter early: the second one moves them."""
+    target = _target(spark, "dim_match_gd")
+    typed = silver.typed_matches(s.bronze_matches(spark, sf))
+    early = typed.withColumn("file_date", F.add_months("file_date", -3))
+    gold.merge_matches(spark, as_view(early, "matches_s2r"), target, FIRST_PART)
+    gold.merge_matches(spark, as_view(typed, "matches_s2r"), target, s.WINDOW)
+    in_window = F.col("file_date").between(*s.WINDOW)
+    # Those that the window cuts off were loaded early and never again.
+    return _matches(spark.table(target).where(in_window).drop("load_date"))
+
+
+@register("job_dim_player_again", ORACLES["job_dim_player"])
+def job_dim_player_again(spark, sf):
+    """A table without partitions: half of the standings, with other ranks, then all."""
+    target = _target(spark, "dim_player_gd")
+    now = s.standings(spark, sf)
+    before = now.where("profile_id % 2 = 0").withColumn("current_rank", F.lit(0))
+    gold.merge_people(spark, as_view(before, "standings_s2r"), target)
+    gold.merge_people(spark, as_view(now, "standings_s2r"), target)
+    return _ntz(spark.table(target).drop("load_date"), "last_match_date")
+
+
+@register("job_fact_player_matches_again", ORACLES["job_fact_player_matches"])
+def job_fact_player_matches_again(spark, sf):
+    """The weekly case: the second load replaces what the first one brought and adds dates."""
+    database = s.scratch_database(spark, "fact")
+    players, civs, matches, people, days = star_inputs(spark, sf)
+    for name, df in (("civ", civs), ("match", matches), ("player", people), ("date", days)):
+        write_table(df, f"{database}.dim_{name}_gd")
+    target = f"{database}.fact_player_matches_gd"
+    dims = [f"{database}.dim_{d}_gd" for d in ("civ", "match", "player", "date")]
+    lost = players.withColumn("winner", F.lit(False))
+    for rows, window in ((lost, FIRST_PART), (players, s.WINDOW)):
+        gold.merge_fact(spark, as_view(rows, "players_s2r"), *dims, target, window)
+    return spark.table(target).drop("load_date")
+
+
 # ---- views -----------------------------------------------------------------
 @register("view_civ_performance", with_ctes("SELECT * FROM civ_view", *s.CIV_VIEW))
 def view_civ_performance(spark, sf):
