@@ -77,10 +77,20 @@ def with_match(df: DataFrame, matches: DataFrame, *attributes: str | Column) ->
     return df.join(matches.select(F.col("match_pk").alias("match_fk"), *attributes), "match_fk")
 
 
-def with_civ(df: DataFrame, civs: DataFrame, fk: str = "civ_fk", alias: str = "civ") -> DataFrame:
-    """Replace a civ key by the civ's name; civs are broadcast after a check of their number."""
+def with_civ(
+    df: DataFrame,
+    civs: DataFrame,
+    fk: str = "civ_fk",
+    alias: str = "civ",
+    large: bool = True,
+) -> DataFrame:
+    """Replace a civ key by the civ's name; civs are broadcast after a check of their number.
+
+    Beside an aggregate, which is not `large`, no number is checked, since the check runs a
+    job: such a join is left to adaptive execution.
+    """
     names = civs.select(F.col("civ_pk").alias(fk), F.col("civ_name").alias(alias))
-    return df.join(broadcast_if_under(names), fk).drop(fk)
+    return df.join(broadcast_if_under(names) if large else names, fk).drop(fk)
 
 
 def gathered_lineups(lineups: DataFrame, match: str, civ: str) -> DataFrame:

@@ -6,10 +6,12 @@ from dataclasses import dataclass
 from datetime import date
 
 from pyspark.sql import SparkSession
+from pyspark.sql import functions as F
 
 from ladderlake.plans import bronze, gold, landing, silver, views
 from ladderlake.quality import records
 from ladderlake.sources.calendar import CALENDAR_END, CALENDAR_START
+from ladderlake.sources.documents import document_pages
 from ladderlake.sources.scans import (
     FileSource,
     json_lines,
@@ -121,7 +123,10 @@ def land(
         )
         landed[name] = weekly_parquet(path, source.source)
     pages = raw.leaderboard_pages
-    texts = spark.read.text(pages.path, wholetext=pages.fmt == "documents")
+    if pages.fmt == "documents":
+        texts = document_pages(spark, pages.path, **pages.options)
+    else:
+        texts = spark.read.text(pages.path).withColumn("fault", F.lit(None).cast("string"))
     landing.land_documents(
         texts,
         "value",
@@ -130,6 +135,7 @@ def land(
         f"{folder}/leaderboard_pages",
         f"{folder}/quarantine/leaderboard_pages",
         delivery=str(window[1]),
+        fault="fault",
     )
     return RawFiles(
         landed["matches"],

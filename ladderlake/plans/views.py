@@ -30,7 +30,7 @@ def civ_performance(fact: DataFrame, matches: DataFrame, civs: DataFrame) -> Dat
         elo_bucket("avg_elo").alias("match_elo_bucket"),
     )
     totals = matches_and_wins(per_match, "civ_fk", "game_date", "map", "match_elo_bucket")
-    return with_civ(totals, civs).select(
+    return with_civ(totals, civs, large=False).select(
         "civ", "game_date", "map", "match_elo_bucket", "matches_played", "wins", "win_percentage"
     )
 
@@ -50,7 +50,8 @@ def opponent_civ(fact: DataFrame, matches: DataFrame, civs: DataFrame) -> DataFr
         {"civ": "civ_fk", "opponent_civ": "opponent_civ_fk"}
     )
     totals = matches_and_wins(pairs, "civ_fk", "opponent_civ_fk", "map", "match_elo_bucket")
-    named = with_civ(with_civ(totals, civs), civs, "opponent_civ_fk", "opponent_civ")
+    mine = with_civ(totals, civs, large=False)
+    named = with_civ(mine, civs, "opponent_civ_fk", "opponent_civ", large=False)
     return named.select(
         "civ", "opponent_civ", "map", "match_elo_bucket", "matches_played", "wins",
         "win_percentage",

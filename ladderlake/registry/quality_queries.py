@@ -6,10 +6,16 @@ from pyspark.sql import functions as F
 
 from ladderlake import schemas
 from ladderlake.functions import cleaning
+from ladderlake.plans.landing import land_documents, land_records
 from ladderlake.quality import records, rules
 from ladderlake.quality.rules import HasColumns, InRange, NonEmpty, NotNull, Unique, quality_report
 from ladderlake.registry import register
+from ladderlake.registry import stand_ins as s
 from ladderlake.registry.stand_ins import table
+from ladderlake.sinks.ledger import current_rejects
+from ladderlake.sinks.workspace import fresh_path
+from ladderlake.sources import scans
+from ladderlake.sources.documents import document_pages
 
 _PROFILES = """WITH profiles AS (SELECT l_orderkey, l_linenumber,
  CASE WHEN l_linenumber <> 7 THEN l_suppkey END AS profile_id,
@@ -274,6 +280,87 @@ def validate_document(spark, sf):
     )
 
 
+@register(
+    "land_array_files",
+    """WITH page AS (SELECT s_suppkey, s_suppkey % 7 = 0 AS bad, s_suppkey // 5 AS file, s_suppkey % 5 AS place
+ FROM supplier)
+SELECT s_suppkey, CASE WHEN bad THEN 'statGroups.members.alias: missing' ELSE '' END AS reasons
+FROM page WHERE NOT (file % 10 = 3 AND place = 4)
+UNION ALL SELECT -file, 'document: cut off' FROM page WHERE file % 10 = 3 AND place = 4""",
+)
+def land_array_files(spark, sf):
+    """Files of five pages each, as an array. A bad page is rejected and the others of its
+    file land; in every tenth file the last page is cut off."""
+    key = F.col("s_suppkey")
+    alias = F.when(key % 7 != 0, F.col("s_name"))
+    member = F.struct(key.alias("profile_id"), alias.alias("alias"), F.lit("se").alias("country"))
+    group = F.struct(key.alias("id"), F.array(member).alias("members"))
+    played = F.lit(5).alias("lastmatchdate")
+    stat = F.struct(key.alias("statgroup_id"), F.lit(1).alias("rank"), played)
+    page = F.struct(F.array(group).alias("statGroups"), F.array(stat).alias("leaderboardStats"))
+    file = F.floor(key / 5)
+    raw, good, bad = (fresh_path(spark, n) for n in ("array_files", "pages", "rejects"))
+    (
+        table(spark, sf, "supplier")
+        .groupBy(file.alias("file"))
+        .agg(F.sort_array(F.collect_list(F.struct(key.alias("at"), page.alias("page")))).alias("some"))
+        .select(
+            F.to_json(F.col("some.page"), {"pretty": "true"}).alias("text"), "file", F.size("some").alias("n")
+        )
+        .select(
+            F.when((F.col("file") % 10 == 3) & (F.col("n") == 5), F.expr("left(text, length(text) - 8)"))
+            .otherwise(F.col("text")).alias("value"),
+            "file",
+        )
+        .write.partitionBy("file").text(raw)
+    )
+    layout = schemas.RAW_LEADERBOARD_PAGE
+    land_documents(
+        document_pages(spark, raw), "value", layout, records.PAGE_REQUIRED, good, bad, fault="fault"
+    )
+    landed = scans.scan(spark, scans.json_lines(good, s.BOARD_SOURCE, layout)).select(
+        F.col("statGroups")[0]["id"].cast("bigint").alias("s_suppkey"), F.lit("").alias("reasons")
+    )
+    # What is left of a page that was cut off still begins with the id of its group.
+    found = F.regexp_extract("value", r'"id" : ([0-9]+)', 1).cast("bigint")
+    reasons = F.concat_ws("; ", "errors")
+    rejects = current_rejects(spark, bad, "delivery").select(
+        F.when(reasons == "document: cut off", -F.floor(found / 5)).otherwise(found).alias("s_suppkey"),
+        reasons.alias("reasons"),
+    )
+    return landed.union(rejects)
+
+
+@register(
+    "quarantine_corrected",
+    """SELECT l_orderkey, l_linenumber, year(l_shipdate) AS file_date,
+ concat_ws('; ', CASE WHEN l_tax = 0.08 THEN 'civ: missing' END,
+  CASE WHEN l_linenumber = 7 THEN 'game_id: not a valid int' END) AS reasons
+FROM lineitem WHERE (l_tax = 0.08 OR l_linenumber = 7) AND year(l_shipdate) NOT IN (1996, 1998)""",
+)
+def quarantine_corrected(spark, sf):
+    """Two years are delivered again without faults: their rejects are gone, the others stay."""
+    kinds = {"civ": "text", "game_id": "int", "l_orderkey": "int", "l_linenumber": "int"}
+    fields = [records.Field(name, kind) for name, kind in kinds.items()]
+    line = table(spark, sf, "lineitem").select(
+        "l_orderkey", "l_linenumber", F.year("l_shipdate").alias("file_date"),
+        F.when(F.col("l_tax") != 0.08, F.col("l_returnflag")).alias("civ"),
+        F.concat(
+            F.col("l_orderkey").cast("string"), F.when(F.col("l_linenumber") == 7, ".5").otherwise("")
+        ).alias("game_id"),
+    )
+    good, bad = fresh_path(spark, "records"), fresh_path(spark, "rejects")
+    land_records(line, fields, good, bad)
+    again = line.where(F.col("file_date").isin(1996, 1998)).withColumns(
+        {"civ": F.coalesce("civ", F.lit("R")), "game_id": F.col("l_orderkey").cast("string")}
+    )
+    land_records(again, fields, good, bad)
+    return current_rejects(spark, bad, "file_date").select(
+        F.col("l_orderkey").cast("bigint"), F.col("l_linenumber").cast("int"),
+        F.col("file_date").cast("bigint"), F.concat_ws("; ", "errors").alias("reasons"),
+    )
+
+
 @register(
     "recast_fields",
     "SELECT o_orderkey, o_totalprice, o_orderpriority FROM orders",

@@ -16,7 +16,14 @@ from pyspark.sql import functions as F
 from ladderlake.operators.joins import split_by_match
 from ladderlake.sinks import key_index
 from ladderlake.sinks.commits import LEASE, Commits
-from ladderlake.sinks.workspace import children, discard, exists, rename, stage
+from ladderlake.sinks.workspace import (
+    children,
+    discard,
+    exists,
+    partition_folder,
+    rename,
+    stage,
+)
 
 log = logging.getLogger(__name__)
 
@@ -167,7 +174,7 @@ def _first_load(
         if part:
             version = f"{base}/{MERGES}/{uuid.uuid4().hex}"
             rename(spark, path, version)
-            _add(spark, table, part, {v: f"{version}/{_folder(spark, part, v)}" for v in counts})
+            _add(spark, table, part, {v: f"{version}/{partition_folder(spark, part, v)}" for v in counts})
             spark.catalog.refreshTable(table)
             key_index.build(spark, table, key_index.entries(spark.table(table), key, part))
         else:
@@ -213,7 +220,7 @@ def _merge_partitions(
             losing = _counts(split_by_match(held.select(key, part), incoming, key)[0], part)
             counts = _counts(incoming, part)
             listed = _listed(spark, table, part)
-            places = {v: _folder(spark, part, v) for v in counts.keys() | losing.keys()}
+            places = {v: partition_folder(spark, part, v) for v in counts.keys() | losing.keys()}
             fresh = {v for v in counts if places[v] not in listed}
             rewritten = places.keys() - fresh
             if rewritten:
@@ -338,12 +345,6 @@ def _spec_dropped(spark: SparkSession, table: str, spec: str) -> None:
     spark.sql(f"ALTER TABLE {table} DROP IF EXISTS {spec}")
 
 
-def _folder(spark: SparkSession, part: str, value) -> str:
-    """Name of a partition's folder, as writers make it and the catalog lists it."""
-    names = spark._jvm.org.apache.spark.sql.catalyst.catalog.ExternalCatalogUtils
-    return names.getPartitionPathString(part, None if value is None else _text(value))
-
-
 def _listed(spark: SparkSession, table: str, part: str) -> dict[str, str]:
     """Folder names of the partitions that the catalog lists, and where their files are."""
     names = spark._jvm.org.apache.spark.sql.catalyst.catalog.ExternalCatalogUtils

@@ -79,3 +79,10 @@ def create_new(spark: SparkSession, path: str) -> bool:
 def _at(spark: SparkSession, path: str):
     target = spark._jvm.org.apache.hadoop.fs.Path(path)
     return target.getFileSystem(spark._jsc.hadoopConfiguration()), target
+
+
+def partition_folder(spark: SparkSession, part: str, value) -> str:
+    """Name of a partition's folder, as writers make it and the catalog lists it."""
+    names = spark._jvm.org.apache.spark.sql.catalyst.catalog.ExternalCatalogUtils
+    shown = str(value).lower() if isinstance(value, bool) else value
+    return names.getPartitionPathString(part, None if value is None else str(shown))
