@@ -13,7 +13,7 @@ from ladderlake.plans import views
 from ladderlake.registry import register
 from ladderlake.registry import stand_ins as s
 from ladderlake.registry.stand_ins import table, with_ctes
-from ladderlake.sinks.files import land_json
+from ladderlake.sinks.files import land_json, land_nanos, land_parquet
 from ladderlake.sinks.workspace import fresh_path
 from ladderlake.sources import scans
 from ladderlake.sources.calendar import weekly_paths, weekly_windows
@@ -62,6 +62,32 @@ def scan_parquet(spark, sf):
     )
 
 
+@register(
+    "scan_parquet_nanos",
+    """SELECT event_id, user_id, ts, CAST(ts AS DATE) AS file_date FROM events
+WHERE CAST(ts AS DATE) IS NOT NULL""",
+)
+def scan_parquet_nanos(spark, sf):
+    """A folder per date: those of even days hold files that count nanoseconds, as data frame
+    libraries write them, those of odd days files with microseconds."""
+    path = fresh_path(spark, "events_nanos")
+    events = table(spark, sf, "events").select(
+        "event_id", "user_id", F.col("ts").cast("timestamp").alias("ts"), F.to_date("ts").alias("file_date")
+    )
+    even = F.dayofmonth("file_date") % 2 == 0
+    land_parquet(events.where(~even), path)
+    days = events.where(even).select("file_date").distinct().collect()
+    for (day,) in days:  # a file for each date of the week or two that the events span
+        some = events.where(F.col("file_date") == F.lit(day)).drop("file_date")
+        land_nanos(some, f"{path}/file_date={day}", "ts")
+    spark.conf.set(scans.NANOS_AS_LONG, "true")
+    feed = scans.weekly_parquet(path, "EVENT_FEED", nanos=("ts",), mixed=True)
+    found = scans.with_provenance(scans.scan(spark, feed), feed.source, dated=True, root=path)
+    return found.select(
+        "event_id", "user_id", F.col("ts").cast("timestamp_ntz").alias("ts"), "file_date"
+    )
+
+
 @register(
     "scan_json_multiline",
     with_ctes(

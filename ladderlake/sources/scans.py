@@ -5,6 +5,7 @@ from __future__ import annotations
 import logging
 from dataclasses import dataclass, field
 from datetime import date
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -31,6 +32,7 @@ class FileSource:
     `schema`: DDL; always given for JSON and CSV, so nothing is inferred from the data
     (an empty nested array would be inferred as strings). Parquet carries its own.
     `nanos`: timestamp columns the files hold with nanosecond precision.
+    `mixed`: some files have them in microseconds instead; which ones, their footers say.
     """
 
     path: str
@@ -40,10 +42,13 @@ class FileSource:
     schema: str | None = None
     options: dict[str, str] = field(default_factory=dict)
     nanos: tuple[str, ...] = ()
+    mixed: bool = False
 
 
-def weekly_parquet(path: str, source: str, nanos: tuple[str, ...] = ()) -> FileSource:
-    return FileSource(path, "parquet", source, dated=True, nanos=nanos)
+def weekly_parquet(
+    path: str, source: str, nanos: tuple[str, ...] = (), mixed: bool = False
+) -> FileSource:
+    return FileSource(path, "parquet", source, dated=True, nanos=nanos, mixed=mixed)
 
 
 def json_lines(path: str, source: str, schema: str) -> FileSource:
@@ -75,11 +80,63 @@ def scan(spark: SparkSession, src: FileSource) -> DataFrame:
         reader = reader.schema(schemas.struct(src.schema))
     if src.nanos and spark.conf.get(NANOS_AS_LONG, "false").lower() != "true":
         raise ValueError(f"{src.path} holds nanosecond timestamps: set {NANOS_AS_LONG}")
+    if src.mixed:
+        return _mixed(spark, src)
     df = reader.load(src.path)
     as_counts = [c for c in src.nanos if dict(df.dtypes)[c] == "bigint"]
     return df.withColumns({c: nanos_to_timestamp(c) for c in as_counts}) if as_counts else df
 
 
+def _mixed(spark: SparkSession, src: FileSource) -> DataFrame:
+    """Files of which some count nanoseconds and some hold microseconds.
+
+    A scan has one type per column, and counts of either unit would be read as the other. So
+    the files are grouped by what their footers say of the columns, and each group is a scan.
+    Footers are opened one after the other: sources of this kind are files by week.
+    """
+    listing = spark.read.options(**src.options).format(src.fmt)
+    groups: dict[tuple[bool, ...], list[str]] = {}
+    for file in _data_files(spark, src):
+        groups.setdefault(_counts_nanos(spark, file, src.nanos), []).append(file)
+    scans = []
+    for counted, files in groups.items():
+        # The base keeps partition columns such as the file date.
+        df = listing.option("basePath", src.path).load(files)
+        df = df.select("*", F.col("_metadata.file_path").alias(FILE_PATH))
+        stamps = [
+            nanos_to_timestamp(c) if nanos else F.col(c).cast("timestamp")
+            for c, nanos in zip(src.nanos, counted)
+        ]
+        scans.append(df.withColumns(dict(zip(src.nanos, stamps))))
+    return reduce(DataFrame.unionByName, scans)
+
+
+def _data_files(spark: SparkSession, src: FileSource) -> list[str]:
+    """Paths of the files, as they are listed without being opened."""
+    files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(src.path)
+    return [r[0] for r in files.select("path").where(F.col("length") > 0).collect()]
+
+
+def _counts_nanos(spark: SparkSession, file: str, columns: tuple[str, ...]) -> tuple[bool, ...]:
+    """Whether each column of a file is a count of nanoseconds."""
+    hadoop = spark._jvm.org.apache.parquet.hadoop
+    path = spark._jvm.org.apache.hadoop.fs.Path(file)
+    where = hadoop.util.HadoopInputFile.fromPath(path, spark._jsc.hadoopConfiguration())
+    reader = hadoop.ParquetFileReader.open(where)
+    try:
+        schema = reader.getFooter().getFileMetaData().getSchema()
+        kinds = [schema.getType(schema.getFieldIndex(c)) for c in columns]
+        return tuple(_is_count(kind) for kind in kinds)
+    finally:
+        reader.close()
+
+
+def _is_count(kind) -> bool:
+    stamp = kind.getLogicalTypeAnnotation()
+    whole = kind.asPrimitiveType().getPrimitiveTypeName().toString() == "INT64"
+    return whole and (stamp is None or "NANOS" in stamp.toString())
+
+
 def _documents(spark: SparkSession, src: FileSource) -> DataFrame:
     """Whole JSON files.
 

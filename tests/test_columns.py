@@ -2,6 +2,7 @@ from __future__ import annotations
 
 import hashlib
 from datetime import date, datetime
+from pathlib import Path
 
 import pyarrow as pa
 import pyarrow.parquet as pq
@@ -12,6 +13,7 @@ from pyspark.sql import functions as F
 from conftest import rows
 from ladderlake.functions import cleaning
 from ladderlake.functions import columns as c
+from ladderlake.sinks.files import land_nanos
 from ladderlake.sources import scans
 
 
@@ -163,3 +165,32 @@ def test_recast_keeps_columns_that_do_not_fit(spark):
         ("a", "bigint", True, 0), ("absent", "int", False, None), ("b", "bigint", True, 1)
     ]
     assert cleaning.recast(df, casts).dtypes == [("a", "bigint"), ("b", "string")]
+
+
+def test_files_of_both_units_in_one_folder(spark, tmp_path):
+    """Nanosecond files of a data frame library, microseconds and legacy stamps of Spark, and
+    plain counts; each is read by its own footer."""
+    at = datetime(2024, 1, 7, 12, 30, 1, 234567)
+    one = spark.createDataFrame([(1, at)], "k int, t timestamp")
+    path = str(tmp_path / "feed")
+    land_nanos(one, f"{path}/file_date=2024-01-07", "t")
+    for day, kind in ((14, "TIMESTAMP_MICROS"), (21, "INT96")):
+        spark.conf.set("spark.sql.parquet.outputTimestampType", kind)
+        one.write.parquet(f"{path}/file_date=2024-01-{day}")
+    spark.conf.unset("spark.sql.parquet.outputTimestampType")
+    counts = one.withColumn("t", F.unix_micros("t") * 1000)
+    counts.write.parquet(f"{path}/file_date=2024-01-28")
+    footer = next(Path(path, "file_date=2024-01-07").glob("*.parquet"))
+    assert pq.read_schema(footer).field("t").type == pa.timestamp("ns", "UTC")
+    spark.conf.set(scans.NANOS_AS_LONG, "true")
+    try:
+        feed = scans.weekly_parquet(path, "FEED", nanos=("t",), mixed=True)
+        found = scans.with_provenance(scans.scan(spark, feed), "FEED", dated=True, root=path)
+        got = rows(found.select("k", F.date_format("t", "yyyy-MM-dd HH:mm:ss.SSSSSS"), F.dayofmonth("file_date")))
+        window = scans.with_provenance(
+            scans.scan(spark, feed), "FEED", dated=True, root=path, window=("2024-01-20", "2024-01-29")
+        )
+        assert window.count() == 2
+    finally:
+        spark.conf.unset("spark.sql.legacy.parquet.nanosAsLong")
+    assert got == [(1, "2024-01-07 12:30:01.234567", day) for day in (14, 21, 28, 7)]
