@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import tempfile
 import zipfile
-from collections.abc import Callable, Iterator
+from collections.abc import Callable, Iterable, Iterator
 from functools import partial
 from pathlib import Path
 
@@ -54,6 +54,18 @@ def durable(df: DataFrame) -> DataFrame:
     return df.checkpoint()
 
 
+def unused(taken: Iterable[str], *names: str) -> list[str]:
+    """The names, each with underscores before it until no column is called so."""
+    known = {c.lower() for c in taken}
+    out = []
+    for name in names:
+        while name.lower() in known:
+            name = f"_{name}"
+        known.add(name.lower())
+        out.append(name)
+    return out
+
+
 def one_of_each(docs: DataFrame, marks: DataFrame, doc_id: str, key: Column) -> DataFrame:
     """The rows of `docs` that no mark takes out, with all their columns.
 
@@ -61,17 +73,21 @@ def one_of_each(docs: DataFrame, marks: DataFrame, doc_id: str, key: Column) ->
     `kept`: if not, all of them go; if so, they repeat each other and one stays, the first in
     an order over all columns. Rows without a mark stay.
     """
-    marks = durable(marks)
-    keyed = docs.withColumn("__key", key)
-    on = F.col(doc_id).eqNullSafe(F.col("marked_id")) & (F.col("__key") == F.col("marked_key"))
-    rest = keyed.join(marks, on, "left_anti").drop("__key")
-    repeats = marks.where("kept")
+    key_name, id_name, kept, *names = unused(
+        docs.columns, "__key", "__id", "kept", "marked_id", "marked_key"
+    )
+    marks = durable(marks.select("marked_id", "marked_key", "kept").toDF(*names, kept))
+    keyed = docs.withColumn(key_name, key)
+    marked_id, marked_key = map(F.col, names)
+    on = F.col(f"`{doc_id}`").eqNullSafe(marked_id) & (F.col(key_name) == marked_key)
+    rest = keyed.join(marks, on, "left_anti").drop(key_name)
+    repeats = marks.where(F.col(kept))
     if repeats.isEmpty():
         return rest
     row = F.struct(*[F.col(f"`{c}`") for c in docs.columns])
     one = (
         keyed.join(repeats, on, "left_semi")
-        .groupBy(F.col(doc_id).alias("__id"), "__key")
+        .groupBy(F.col(f"`{doc_id}`").alias(id_name), key_name)
         .agg(F.min_by(row, F.sha2(F.to_json(row), 256)).alias("__row"))
     )
     return rest.union(one.select("__row.*"))
@@ -183,16 +199,20 @@ def append(
     """`keep` (all columns if not given) and what `compute` makes of each slice of texts."""
     ship(docs.sparkSession)
     kept = docs.select(*[F.col(f"`{c}`") for c in (docs.columns if keep is None else keep)])
-    given = docs.select(*[docs[f"`{c}`"] for c in kept.columns], docs[text].cast("string").alias("__text"))
+    (read,) = unused(kept.columns, "__text")
+    given = docs.select(
+        *[docs[f"`{c}`"] for c in kept.columns], docs[f"`{text}`"].cast("string").alias(read)
+    )
     schema = T.StructType([*kept.schema.fields, *T._parse_datatype_string(fields).fields])
-    return given.mapInArrow(partial(_appended, compute, schema.names), schema)
+    return given.mapInArrow(partial(_appended, compute, schema.names, read), schema)
 
 
 def _appended(
     compute: Callable[[pa.Array], list[pa.Array]],
     names: list[str],
+    read: str,
     batches: Iterator[pa.RecordBatch],
 ) -> Iterator[pa.RecordBatch]:
-    for batch in slices(batches, "__text"):
-        made = compute(batch.column("__text"))
+    for batch in slices(batches, read):
+        made = compute(batch.column(read))
         yield pa.RecordBatch.from_arrays([*batch.columns[:-1], *made], names)

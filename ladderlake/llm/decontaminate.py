@@ -42,7 +42,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ladderlake.llm.common import append, text_buffer, words_of
+from ladderlake.llm.common import append, text_buffer, unused, words_of
 
 Q = 12
 EDIT_RATE = 0.05
@@ -57,6 +57,8 @@ SHORT_WORDS = 3
 SHORT_WIDE = 8
 #: First and last code points of those scripts: Thai and Lao, Myanmar, Khmer, kana and Han.
 WIDE = ((0x0E00, 0x0EFF), (0x1000, 0x109F), (0x1780, 0x17FF), (0x3040, 0x30FF), (0x3400, 0x9FFF), (0x20000, 0x3FFFF))
+#: Meetings of q-grams that are counted together.
+PAIRS = 1 << 20
 #: Cells of the alignment tables that are filled together.
 CELLS = 2_000_000
 #: An edit, and no path, as the alignment's costs have them.
@@ -225,27 +227,51 @@ class Index:
     def _slot(hashes: np.ndarray) -> np.ndarray:
         return (hashes >> np.uint64(64 - FILTER_BITS)).astype(np.int64)
 
-    def shared(self, hashes: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """(place in `hashes`, item, place in the item) of every shared q-gram."""
+    def shared(
+        self, points: np.ndarray, offsets: np.ndarray
+    ) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """(document, place, number of the q-gram) of every q-gram that items have, too."""
+        if not len(self.size) or len(points) < Q:
+            none = np.zeros(0, np.int64)
+            return none, none, none
+        hashes = grams(points)
         at = np.flatnonzero(self.filter[self._slot(hashes)])
         slot = np.searchsorted(self.hashes, hashes[at])
         slot[slot == len(self.hashes)] = 0
-        real = self.hashes[slot] == hashes[at] if len(self.hashes) else np.zeros(len(at), bool)
-        at, slot = at[real], slot[real]
-        count = self.count[slot]
-        begin = np.repeat(self.first[slot] - np.cumsum(count) + count, count)
-        entry = begin + np.arange(len(begin))
-        return np.repeat(at, count), self.item[entry], self.place[entry]
-
-    def meetings(self, points: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, ...]:
-        """(document, item, place in the item, diagonal) of every shared q-gram."""
-        if not len(self.size) or len(points) < Q:
-            none = np.zeros(0, np.int64)
-            return none, none, none, none
-        at, item, place = self.shared(grams(points))
         doc = np.searchsorted(offsets, at, "right") - 1
-        inside = at + Q <= offsets[doc + 1]
-        return doc[inside], item[inside], place[inside], (at - place)[inside]
+        on = (self.hashes[slot] == hashes[at]) & (at + Q <= offsets[doc + 1])
+        return doc[on], at[on], slot[on]
+
+    def meetings(self, doc: np.ndarray, at: np.ndarray, slot: np.ndarray) -> Iterator[tuple]:
+        """(document, item, place in the item, diagonal) of shared q-grams, in rounds.
+
+        A q-gram that is many times in a text and in an item meets as often as the product of
+        both, so the places of the text are taken a part at a time. What may share a band with
+        a place to come is in the next round, too: every band is whole in one of them.
+        """
+        count = self.count[slot]
+        ends = np.cumsum(count)
+        most = max(int(self.budget.max(initial=0)), int(budget_of(STRETCH_CHARS)))
+        reach = int(self.size.max(initial=0)) + 2 * (2 * most + 1)
+        held = [np.zeros(0, np.int64)] * 4
+        start = 0
+        while start < len(at):
+            before = int(ends[start - 1]) if start else 0
+            stop = max(int(np.searchsorted(ends, before + PAIRS, "right")), start + 1)
+            own = count[start:stop]
+            first = np.repeat(self.first[slot[start:stop]] - np.cumsum(own) + own, own)
+            entry = first + np.arange(len(first))
+            place = self.place[entry]
+            new = (
+                np.repeat(doc[start:stop], own), self.item[entry], place,
+                np.repeat(at[start:stop], own) - place,
+            )
+            pairs = [np.concatenate(both) for both in zip(held, new)]
+            yield tuple(pairs)
+            start = stop
+            if start < len(at):
+                near = pairs[3] >= at[start] - reach
+                held = [x[near] for x in pairs]
 
     def banded(self, doc, item, diagonal, budget, most: int) -> tuple[np.ndarray, tuple[int, int]]:
         """Keys of the two bands of each q-gram, those of all first bands before the others.
@@ -369,17 +395,20 @@ class Index:
             for d, i, *hit in zip(*(c[on].tolist() for c in columns)):
                 found[d][i] = min(tuple(hit), found[d].get(i, tuple(hit)))
 
-        doc, item, place, diagonal = self.meetings(points, offsets)
-        d, i, low = self.retained(doc, item, diagonal, len(points))
-        settle(d, i, i * 0, self.size[i], low)
+        shared = self.shared(points, offsets)
+        for doc, item, _, diagonal in self.meetings(*shared):
+            d, i, low = self.retained(doc, item, diagonal, len(points))
+            settle(d, i, i * 0, self.size[i], low)
         if parts:
             # Items that are there as a whole need no search for their stretches.
-            whole = [d * len(self.size) + i for d, of_text in enumerate(found) for i in of_text]
-            rest = ~np.isin(doc * len(self.size) + item, np.array(whole, np.int64))
-            d, i, place, low = self.stretches(
-                doc[rest], item[rest], place[rest], diagonal[rest], len(points)
-            )
-            settle(d, i, place, np.full(len(d), STRETCH_CHARS), low + place)
+            known = [d * len(self.size) + i for d, of_text in enumerate(found) for i in of_text]
+            whole = np.array(known, np.int64)
+            for doc, item, place, diagonal in self.meetings(*shared):
+                rest = ~np.isin(doc * len(self.size) + item, whole)
+                d, i, place, low = self.stretches(
+                    doc[rest], item[rest], place[rest], diagonal[rest], len(points)
+                )
+                settle(d, i, place, np.full(len(d), STRETCH_CHARS), low + place)
         short: list[dict[int, tuple]] = [{} for _ in range(len(texts))]
         for d, i, begin, end in self.short.hits(texts, points, offsets):
             span = (0, 0, end - begin, begin - int(offsets[d]), end - int(offsets[d]))
@@ -439,17 +468,20 @@ def with_hits(
     With `parts` also the items of which only stretches are there.
     """
     kept = docs.columns if keep is None else keep
-    read = docs.select(*kept, F.col(text).alias("__read"))
+    (source,) = unused(docs.columns, "__read")
+    chosen = [F.col(f"`{c}`") for c in kept]
+    read = docs.select(*chosen, F.col(f"`{text}`").alias(source))
     columns = []
     for number, items in enumerate(blocks(benchmark)):
 
         def compute(texts: pa.Array, items=items) -> list[pa.Array]:
             return [pa.array(list(index(items).hits(texts, parts)), _HIT)]
 
-        read = append(read, compute, f"`__hits{number}` {HIT}", "__read")
-        columns.append(F.col(f"__hits{number}"))
+        (own,) = unused(read.columns, f"__hits{number}")
+        read = append(read, compute, f"`{own}` {HIT}", source)
+        columns.append(F.col(own))
     found = F.concat(*columns) if columns else F.array().cast(HIT)
-    return read.select(*kept, found.alias(name))
+    return read.select(*chosen, found.alias(name))
 
 
 def hits(
@@ -471,7 +503,7 @@ def hits(
 
 def keep_clean(docs: DataFrame, benchmark: DataFrame, text: str = "text") -> DataFrame:
     """The documents without a benchmark item or a stretch of one, with all their columns."""
-    name = "__leaks"
+    (name,) = unused(docs.columns, "__leaks")
     return with_hits(docs, benchmark, text, name).where(F.size(name) == 0).drop(name)
 
 

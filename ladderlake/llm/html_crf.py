@@ -43,9 +43,11 @@ BLOCKS = frozenset(
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 #: Elements whose content is never text of the page.
 OPAQUE = frozenset(
-    "script style noscript template iframe object svg math canvas audio video textarea select "
+    "script style noscript template iframe object svg canvas audio video textarea select "
     "datalist button title".split()
 )
+#: Of these, those that another one of their kind, opened before they end, shows to be unclosed.
+FLAT = frozenset("select datalist button".split())
 #: An opening tag closes these open elements, up to the nearest of the second kind.
 CLOSES = {
     "li": ({"li"}, {"ul", "ol", "menu"}),
@@ -89,6 +91,7 @@ def blocks(page: str) -> list[Block]:
     signs: list[str] = []
     runs: list[str] = []
     linked = links = at = 0
+    unclosed: set[str] = set()  # tags that nothing closes from here on
 
     def flush() -> None:
         nonlocal linked
@@ -126,8 +129,7 @@ def blocks(page: str) -> list[Block]:
             continue
         if tag in OPAQUE:
             if not attributes.endswith("/"):
-                ends = _closing(tag).search(page, at)
-                at = ends.end() if ends else len(page)
+                at = _behind(page, at, tag, unclosed)
             runs.append(" ")
         elif tag == "a":
             links = 1
@@ -153,11 +155,36 @@ def blocks(page: str) -> list[Block]:
     return out
 
 
+def _behind(page: str, at: int, tag: str, unclosed: set[str]) -> int:
+    """Where an opaque element ends that was opened before `at`.
+
+    That is behind its end tag. One that has none ends before the next tag of a block, so that
+    it takes nothing with it but what stands beside it.
+    """
+    closing = None
+    if tag not in unclosed:
+        closing = (_either if tag in FLAT else _closing)(tag).search(page, at)
+        if closing is None:
+            unclosed.add(tag)
+    if closing and closing[0][1] == "/":
+        return closing.end()
+    block = _BLOCK_TAG.search(page, at)
+    return block.start() if block else len(page)
+
+
 @lru_cache(maxsize=64)
 def _closing(tag: str) -> re.Pattern:
     return re.compile(rf"</{tag}\b[^>]*>", re.I)
 
 
+@lru_cache(maxsize=64)
+def _either(tag: str) -> re.Pattern:
+    return re.compile(rf"</?{tag}\b[^>]*>", re.I)
+
+
+_BLOCK_TAG = re.compile(rf"</?(?:{'|'.join(sorted(BLOCKS))})\b[^>]*>", re.I)
+
+
 # --- features ---------------------------------------------------------------------------------
 
 
@@ -187,7 +214,7 @@ def _text_features(block: Block, number: int, count: int) -> list[str]:
         f"ends:{text[-1] in '.!?:;”\"'}",
         f"commas:{min(text.count(','), 3)}",
     ]
-    if "©" in text[:400]:
+    if "©" in text:
         out.append("copyright")
     if number == 0:
         out.append("first")

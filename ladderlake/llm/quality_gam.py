@@ -33,6 +33,7 @@ from ladderlake.llm.common import (
     sampled_labels,
     tailed,
     text_buffer,
+    unused,
     words_of,
 )
 
@@ -317,7 +318,7 @@ def classify(
 
 def keep_good(docs: DataFrame, labels: DataFrame, text: str = "text", doc_id: str = "doc_id") -> DataFrame:
     """The documents that the model accepts, with all their columns."""
-    name = "__quality"
+    (name,) = unused(docs.columns, "__quality")
     model = train(docs, labels, text, doc_id)
     return scored(docs, model, text, name=name).where(F.col(name) >= THRESHOLD).drop(name)
 

@@ -339,7 +339,8 @@ def stretches(docs: DataFrame) -> DataFrame:
             F.max("id").alias("last"), F.min(F.struct("id", "th", "start", "windows")).alias("owner")
         )
     )
-    weights = distinct.groupBy("key").agg(F.sum("owner.windows").alias("key_windows"))
+    # Stored, so that both sides of the join are plain and a hot key's part of it can be split.
+    weights = durable(distinct.groupBy("key").agg(F.sum("owner.windows").alias("key_windows")))
     lent = (
         distinct.join(weights, "key")
         .withColumn("hot", F.col("key_windows") > HOT_WINDOWS)
