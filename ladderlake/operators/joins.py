@@ -82,15 +82,15 @@ def with_civ(
     civs: DataFrame,
     fk: str = "civ_fk",
     alias: str = "civ",
-    large: bool = True,
+    checked: bool = False,
 ) -> DataFrame:
     """Replace a civ key by the civ's name; civs are broadcast after a check of their number.
 
-    Beside an aggregate, which is not `large`, no number is checked, since the check runs a
-    job: such a join is left to adaptive execution.
+    The check runs a job: who joins the same civs several times passes them `checked`, as
+    `broadcast_if_under` gives them.
     """
     names = civs.select(F.col("civ_pk").alias(fk), F.col("civ_name").alias(alias))
-    return df.join(broadcast_if_under(names) if large else names, fk).drop(fk)
+    return df.join(names if checked else broadcast_if_under(names), fk).drop(fk)
 
 
 def gathered_lineups(lineups: DataFrame, match: str, civ: str) -> DataFrame:

@@ -7,7 +7,13 @@ from pyspark.sql import functions as F
 
 from ladderlake.functions.columns import elo_bucket, load_time, percentage_or_null, week_start
 from ladderlake.operators.aggregates import lineups, matches_and_wins
-from ladderlake.operators.joins import gathered_lineups, opposing_pairs, with_civ, with_match
+from ladderlake.operators.joins import (
+    broadcast_if_under,
+    gathered_lineups,
+    opposing_pairs,
+    with_civ,
+    with_match,
+)
 from ladderlake.sinks.files import export_csv_gz
 
 # Sort order of each view, as exported.
@@ -30,7 +36,7 @@ def civ_performance(fact: DataFrame, matches: DataFrame, civs: DataFrame) -> Dat
         elo_bucket("avg_elo").alias("match_elo_bucket"),
     )
     totals = matches_and_wins(per_match, "civ_fk", "game_date", "map", "match_elo_bucket")
-    return with_civ(totals, civs, large=False).select(
+    return with_civ(totals, civs).select(
         "civ", "game_date", "map", "match_elo_bucket", "matches_played", "wins", "win_percentage"
     )
 
@@ -50,8 +56,9 @@ def opponent_civ(fact: DataFrame, matches: DataFrame, civs: DataFrame) -> DataFr
         {"civ": "civ_fk", "opponent_civ": "opponent_civ_fk"}
     )
     totals = matches_and_wins(pairs, "civ_fk", "opponent_civ_fk", "map", "match_elo_bucket")
-    mine = with_civ(totals, civs, large=False)
-    named = with_civ(mine, civs, "opponent_civ_fk", "opponent_civ", large=False)
+    roster = broadcast_if_under(civs)
+    mine = with_civ(totals, roster, checked=True)
+    named = with_civ(mine, roster, "opponent_civ_fk", "opponent_civ", checked=True)
     return named.select(
         "civ", "opponent_civ", "map", "match_elo_bucket", "matches_played", "wins",
         "win_percentage",
