@@ -12,12 +12,17 @@ Only counts of keys and digests of segments are shuffled first:
    done, and that is most of them.
 2. A segment that occurs again with the same bytes (128-bit digest) is repeated as a whole.
 3. Keys with different segments, and segments that may repeat within themselves, go, one
-   copy of each segment, to the index family of a shard. Its batches get suffix arrays (over window starts, to a depth of LENGTH), are
-   merge-scanned against the existing levels for matches of LENGTH bytes, and levels of equal
-   size merge into the next, so a window is merged a logarithmic number of times.
+   copy of each segment, to the index family of a shard. Its batches get suffix arrays (over
+   window starts, to a depth of LENGTH), are merge-scanned against the existing levels for
+   matches of LENGTH bytes, and levels of equal size merge into the next, so a window is merged
+   a logarithmic number of times.
 4. A key whose segments outgrow one shard (`HOT_BYTES`: a passage in very many documents,
-   with a different neighbourhood in each) is resolved window by window: counts of 128-bit
-   window digests, combined before the shuffle and with no key larger than its own count.
+   with a different neighbourhood in each) is split by content. Equal windows lie equally far
+   before the first gram that has their key, so windows are cut into pieces of up to
+   `WIDTHS[0]` such distances, and the bytes that all windows of a piece share (its *core*)
+   name its group: equal windows are in one group. Steps 1 to 3 are then taken with groups
+   for keys. A group that still outgrows a shard is cut into narrower pieces; in the last step
+   a piece is one window, its core is the whole of it, and a group holds nothing else.
 
 Steps 1 and 2 collapse copies before any text moves, so a hot group sends one row per task.
 The removed stretches then go back to their documents by an equi-join.
@@ -31,6 +36,7 @@ from __future__ import annotations
 
 import hashlib
 from collections.abc import Iterator
+from functools import partial
 
 import numpy as np
 import pandas as pd
@@ -45,6 +51,8 @@ GRAM = 32
 #: Bytes of segments that one shard's family is meant for, and that one key may bring to one.
 SHARD_BYTES = 2 << 20
 HOT_BYTES = 4 << 20
+#: Windows of a piece of a key (then of a group) that brings more.
+WIDTHS = (32, 1)
 #: Bytes of a batch that gets its own suffix array.
 BATCH_BYTES = 1 << 19
 
@@ -374,51 +382,143 @@ def _cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds)], names)
 
 
-def _windows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Every window of a segment: its digest and its place."""
+def pieces_of(data: bytes, key: int, width: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Runs of windows of a segment: first window, number, and where their core begins.
+
+    A window's distance is that to the first gram in it whose hash is the key. The windows of
+    a run have one such gram, and distances of one block of `width`; the core are the bytes
+    that every window of the block has (LENGTH - width + 1).
+    """
+    count = len(data) - LENGTH + 1
+    grams = np.flatnonzero(gram_hashes(np.frombuffer(data, np.uint8)) == np.uint64(key))
+    window = np.arange(count)
+    gram = grams[np.searchsorted(grams, window)]
+    block = (gram - window) // width
+    new = np.ones(count, bool)
+    new[1:] = (gram[1:] != gram[:-1]) | (block[1:] != block[:-1])
+    first = np.flatnonzero(new)
+    return first, np.diff(np.append(first, count)), (gram - block * width)[first]
+
+
+PIECE = (
+    "key bigint, da bigint, db bigint, place int, windows int, core bigint, pa bigint, pb bigint, "
+    "piece binary"
+)
+
+
+def _split(width: int, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The pieces of segments; `piece` has the bytes where a slice has them for the first time."""
+    kinds = [pa.int32(), pa.int32(), pa.int64(), pa.int64(), pa.int64(), pa.binary()]
     for batch in slices(batches, "bytes", 1 << 16):
-        rows, digests = [], []
+        of, seen, cores, digests = [], set(), [], []
+        places, sizes, given = [], [], []
+        keys = batch.column("key").to_numpy().view(np.uint64)
         for i, data in enumerate(batch.column("bytes").to_pylist()):
-            count = max(len(data) - LENGTH + 1, 0)
-            rows += [(i, a) for a in range(count)]
-            digests += [_digest(data[a : a + LENGTH]) for a in range(count)]
-        if not rows:
-            continue
-        of, place = (pa.array(c, pa.int32()) for c in zip(*rows))
-        wa, wb = _halves(digests)
+            first, runs, core = pieces_of(data, keys[i], width)
+            of += [i] * len(first)
+            places += first.tolist()
+            sizes += runs.tolist()
+            for a, n, c in zip(first.tolist(), runs.tolist(), core.tolist()):
+                piece = data[a : a + n + LENGTH - 1]
+                digest = _digest(piece)
+                cores.append(_digest(data[c : c + LENGTH - width + 1]))
+                digests.append(digest)
+                given.append(None if digest in seen else piece)
+                seen.add(digest)
+        columns = [places, sizes, _halves(cores)[0], *_halves(digests), given]
+        rows = pa.array(of, pa.int32())
         yield pa.RecordBatch.from_arrays(
-            [*(batch.column(c).take(of) for c in ("key", "da", "db")), place, pa.array(wa), pa.array(wb)],
-            ["key", "da", "db", "place", "wa", "wb"],
+            [
+                *(batch.column(c).take(rows) for c in ("key", "da", "db")),
+                *(pa.array(c, k) for c, k in zip(columns, kinds)),
+            ],
+            ["key", "da", "db", "place", "windows", "core", "pa", "pb", "piece"],
         )
 
 
-def _window_runs(hot: DataFrame) -> DataFrame:
-    """Repeated runs of segments whose key is too large for one shard."""
-    windows = hot.mapInArrow(
-        _windows, "key bigint, da bigint, db bigint, place int, wa bigint, wb bigint"
+def _by_family(parts: DataFrame, group: str, size: int) -> DataFrame:
+    """Repeated runs of parts (key, da, db, bytes), those of a group in one index family."""
+    shards = max(1, -(-size // SHARD_BYTES))
+    return (
+        parts.withColumn("shard", F.pmod(F.xxhash64(group), F.lit(shards)))
+        .select("shard", "key", "da", "db", "bytes")
+        .groupBy("shard")
+        .applyInPandas(_shard_runs, RUNS)
     )
-    twice = durable(
-        windows.groupBy("wa", "wb").agg(F.count(F.lit(1)).alias("n")).where("n > 1").drop("n")
+
+
+def _sizes(weight: DataFrame, size: str, most: int | None) -> tuple[int, int]:
+    """Bytes of all groups of at most `most` (if given), and of the largest group."""
+    small = F.lit(True) if most is None else F.col(size) <= most
+    total, largest = weight.agg(F.sum(F.when(small, F.col(size))), F.max(size)).first()
+    return total or 0, largest or 0
+
+
+def _split_runs(hot: DataFrame, widths: tuple[int, ...]) -> DataFrame:
+    """Repeated runs of segments (key, da, db, bytes) whose keys are too large for one shard."""
+    pieces = hot.mapInArrow(partial(_split, widths[0]), PIECE)
+    groups = durable(
+        pieces.groupBy("key", "core")
+        .agg(
+            F.count(F.lit(1)).alias("n"),
+            ((F.min("pa") < F.max("pa")) | (F.min("pb") < F.max("pb"))).alias("differ"),
+        )
+        .where("n > 1")
+        .drop("n")
+    )
+    shared = pieces.join(groups, ["key", "core"])
+    distinct = durable(
+        shared.where("differ")
+        .groupBy("key", "core", F.col("pa").alias("da"), F.col("pb").alias("db"))
+        .agg(F.count(F.lit(1)).alias("n"), F.max("piece").alias("bytes"))
     )
-    places = (
-        windows.join(twice, ["wa", "wb"])
+    weight = durable(distinct.groupBy("key", "core").agg(F.sum(F.length("bytes")).alias("size")))
+    most = HOT_BYTES if len(widths) > 1 else None
+    total, largest = _sizes(weight, "size", most)
+    sized = distinct.join(weight, ["key", "core"])
+    whole = F.struct(F.lit(0).alias("a"), (F.length("bytes") - F.lit(LENGTH - 1)).alias("b"))
+    runs = distinct.where("n > 1").select("key", "da", "db", F.array(whole).alias("runs"))
+    if most is None or largest <= most:
+        runs = runs.union(_by_family(sized, "core", total))
+    else:
+        runs = runs.union(_by_family(sized.where(F.col("size") <= most), "core", total))
+        over = sized.where(F.col("size") > most).select("key", "da", "db", "bytes")
+        runs = runs.union(_split_runs(over, widths[1:]))
+    runs = runs.where(F.size("runs") > 0).toDF("key", "pa", "pb", "runs")
+    span = F.struct(F.lit(0).alias("a"), F.col("windows").alias("b"))
+    named = shared.select("key", "da", "db", "place", "windows", "differ", "pa", "pb")
+    judged = named.where("not differ").withColumn("runs", F.array(span)).union(
+        named.where("differ").join(durable(runs), ["key", "pa", "pb"]).select(*named.columns, "runs")
+    )
+    return (
+        judged.select("key", "da", "db", "place", F.explode("runs").alias("run"))
+        .withColumn(
+            "run",
+            F.struct(
+                (F.col("place") + F.col("run.a")).alias("a"),
+                (F.col("place") + F.col("run.b")).alias("b"),
+            ),
+        )
         .groupBy("key", "da", "db")
-        .agg(F.collect_set("place").alias("places"))
+        .agg(F.collect_set("run").alias("runs"))
+        .mapInArrow(_joined_runs, RUNS)
     )
-    return places.mapInArrow(_joined_places, RUNS)
 
 
-def _joined_places(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Neighbouring window starts of a segment as maximal runs."""
+def _joined_runs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Runs of a segment that meet or overlap as maximal ones."""
     kind = pa.list_(pa.struct([("a", pa.int32()), ("b", pa.int32())]))
     for batch in batches:
-        runs = []
-        for places in batch.column("places").to_pylist():
-            flags = np.zeros(max(places) + 1, bool)
-            flags[places] = True
-            runs.append([{"a": a, "b": b} for a, b in runs_of(flags)])
+        joined = []
+        for runs in batch.column("runs").to_pylist():
+            flags = np.zeros(max(r["b"] for r in runs), bool)
+            for r in runs:
+                flags[r["a"] : r["b"]] = True
+            joined.append([{"a": a, "b": b} for a, b in runs_of(flags)])
         columns = [batch.column(c) for c in ("key", "da", "db")]
-        yield pa.RecordBatch.from_arrays([*columns, pa.array(runs, kind)], ["key", "da", "db", "runs"])
+        yield pa.RecordBatch.from_arrays(
+            [*columns, pa.array(joined, kind)], ["key", "da", "db", "runs"]
+        )
 
 
 def stretches(docs: DataFrame) -> DataFrame:
@@ -452,8 +552,7 @@ def stretches(docs: DataFrame) -> DataFrame:
             F.sum(F.col("windows") + F.lit(LENGTH - 1)).alias("key_bytes")
         )
     )
-    total = weight.agg(F.sum(F.when(F.col("key_bytes") <= HOT_BYTES, F.col("key_bytes")))).first()[0] or 0
-    shards = max(1, -(-total // SHARD_BYTES))
+    total, largest = _sizes(weight, "key_bytes", HOT_BYTES)
     lent = (
         distinct.join(weight, "key")
         .withColumn("hot", F.col("key_bytes") > HOT_BYTES)
@@ -467,14 +566,10 @@ def stretches(docs: DataFrame) -> DataFrame:
         .mapInArrow(_cut, "key bigint, da bigint, db bigint, hot boolean, bytes binary")
         .dropDuplicates(["key", "da", "db"])
     )
-    by_array = (
-        parts.where("not hot")
-        .withColumn("shard", F.pmod(F.xxhash64("key"), F.lit(shards)))
-        .groupBy("shard")
-        .applyInPandas(_shard_runs, RUNS)
-    )
-    by_window = _window_runs(parts.where("hot").drop("hot"))
-    runs = durable(by_array.union(by_window).where(F.size("runs") > 0))
+    runs = _by_family(parts.where("not hot"), "key", total)
+    if largest > HOT_BYTES:
+        runs = runs.union(_split_runs(parts.where("hot").drop("hot"), WIDTHS))
+    runs = durable(runs.where(F.size("runs") > 0))
     whole = durable(distinct.where("n > 1").select("key", "da", "db", F.lit(True).alias("whole")))
     judged = (
         shared.join(whole, ["key", "da", "db"], "left")
@@ -551,7 +646,7 @@ def removed(docs: DataFrame, text: str = "text", doc_id: str = "doc_id") -> Data
     """doc_id and the bytes that stay, as text; a character that was cut into is replaced."""
 
     def run(batches):
-        for batch in batches:
+        for batch in slices(batches, "text"):
             kept = [
                 kept_bytes(t.encode(), c)[0].decode("utf-8", "replace")
                 for t, c in zip(batch.column("text").to_pylist(), batch.column("cuts").to_pylist())

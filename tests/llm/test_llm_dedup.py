@@ -310,6 +310,45 @@ def test_removed_stretches_are_those_of_brute_force(spark, monkeypatch, hot):
     assert sum(r[2] for r in got) > 5_000
 
 
+@pytest.mark.parametrize("width", [1, 7, 32])
+def test_pieces_put_equal_windows_into_one_group(width):
+    rng = random.Random(width)
+    fresh = lambda n: "".join(rng.choice("abcdefgh") for _ in range(n))
+    passage = fresh(420)
+    texts = [fresh(rng.randint(0, 300)) + passage + fresh(rng.randint(0, 300)) for _ in range(12)]
+    texts += ["ab" * 500, "x" * 700, fresh(90) * 9]
+    data, offsets = text_buffer(pa.array(texts))
+    group, windows = {}, 0
+    for _, start, count, key, _ in zip(*suffix_dedup.segments(data, offsets)):
+        segment = data[start : start + count + 399].tobytes()
+        first, runs, core = suffix_dedup.pieces_of(segment, key, width)
+        assert np.array_equal(np.cumsum(runs)[:-1], first[1:]) and runs.sum() == count
+        for a, n, c in zip(first, runs, core):
+            assert n <= width
+            shared = segment[c : c + 400 - width + 1]
+            assert len(shared) == 401 - width
+            own = [segment[i : i + 400] for i in range(a, a + n)]
+            assert len(set(own)) == n and all(shared in w for w in own)
+            assert all(group.setdefault(w, (key, shared)) == (key, shared) for w in own)
+            windows += n
+    assert len(group) < windows
+
+
+def test_hot_keys_with_cores_that_stay_hot(spark, monkeypatch):
+    monkeypatch.setattr(suffix_dedup, "HOT_BYTES", 6_000)
+    monkeypatch.setattr(suffix_dedup, "SHARD_BYTES", 3_000)
+    rng = random.Random(6)
+    fresh = lambda n: "".join(rng.choice("abcdefgh") for _ in range(n))
+    texts = []
+    for size in (372, 390, 400, 415, 520):  # cores are shared, windows partly or not at all
+        passage = fresh(size)
+        texts += [fresh(40) + passage + fresh(40) for _ in range(30)]
+    texts = list(enumerate(texts))
+    got = by_id(suffix_dedup.report(documents(spark, texts)))
+    assert got == brute_report(texts)
+    assert sum(r[2] > 0 for r in got) >= 90
+
+
 def test_long_texts_are_handled_in_pieces(monkeypatch):
     monkeypatch.setattr(suffix_dedup, "PIECE_BYTES", 700)
     rng = random.Random(3)
