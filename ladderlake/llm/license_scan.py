@@ -2,20 +2,25 @@
 
 A text becomes its words (ASCII letters lower-cased, digits and everything beyond ASCII are
 word characters), one space between them. One automaton finds all notice phrases and the
-identifier tag in all texts of a slice together. Behind a tag the rest of the line is read
-as a licence expression: the shunting-yard algorithm turns `and`, `or`, `with` and brackets
-into postfix order (`with` binds closest, then `and`, then `or`), which is then evaluated.
+identifier tags in all texts of a slice together. Behind a tag with its colon the rest of the
+line is read as a licence expression: the shunting-yard algorithm turns `and`, `or`, `with` and
+brackets into postfix order (`with` binds closest, then `and`, then `or`), which is then
+evaluated. `SPDX-License-Identifier:` and `License-Expression:` say that an expression follows;
+`License:` and `Licence:` count where they begin a line, and may also introduce prose.
 
 Labels: the base phrases give theirs wherever their words stand consecutively. Further
-phrases and the identifiers of expressions give labels of the same kind.
+phrases and the identifiers of expressions give labels of the same kind. Behind a tag that
+says so, an identifier that is not known is one too, if the expression fills its line or the
+identifier has a digit or hyphen; behind the others only beside a known one, in an expression
+that fills its line.
 
 Score: how much the found licences ask of a user, from 0 (nothing found, or a public domain
 dedication) to 1 (all rights reserved): the strictest finding counts. In an expression `or`
 takes the milder side, `and` the stricter, and an exception after `with` halves what the
-licence asks.
+licence asks. An identifier that is not known asks `UNKNOWN`.
 
 Null texts are empty texts, without words. Phrases may overlap; each place counts. A
-malformed expression is read as far as it parses: known identifiers in it still give labels.
+malformed expression is read as far as it parses; the rest of its line is prose.
 A null id keeps its row. Repeated rows get equal results. An empty table gives an empty
 result. Other columns are not read.
 """
@@ -58,7 +63,17 @@ NOTICES = {
     "public domain": "public-domain",
 }
 
-TAG = "spdx license identifier"
+#: Words of identifier tags, and whether an expression surely follows. Of `license expression`
+#: and `license` in one place, or of two tags with one colon, each is read; labels are sets.
+TAGS = {
+    "spdx license identifier": True,
+    "license expression": True,
+    "license": False,
+    "licence": False,
+}
+#: What may stand before a tag in its line: comment signs, quotes, brackets and blanks.
+_LEAD = frozenset(" \t\r#/*;<>!\"'%.[{(-")
+_COLON = re.compile(r"[A-Za-z]+[\"'\] \t]*:")
 
 #: What a licence asks of a user, by the start of its identifier (longest start counts).
 DEMANDS = {
@@ -105,16 +120,14 @@ def demand(label: str) -> float | None:
     return DEMANDS[max(starts, key=len)] if starts else None
 
 
-def postfix(expression: str) -> list[str]:
-    """The expression's tokens in postfix order, as far as it is well formed.
-
-    Stops at the first token that cannot follow: an expression ends where prose begins.
-    """
+def _parsed(line: str, start: int, stop: int) -> tuple[list[str], int]:
+    """The tokens of an expression in postfix order, and where it ends."""
     out: list[str] = []
     held: list[str] = []
     operand = True  # one is due
-    for token in _TOKEN.findall(expression):
-        word = token.lower()
+    end = start
+    for found in _TOKEN.finditer(line, start, stop):
+        word = found[0].lower()
         if operand and word == "(":
             held.append(word)
         elif operand and word not in _BINDS and word != ")":
@@ -131,19 +144,38 @@ def postfix(expression: str) -> list[str]:
             held.pop()
         else:
             break
+        end = found.end()
     if operand and held and held[-1] != "(":
         held.pop()  # an operator without its right side
-    out += [x for x in reversed(held) if x != "("]
-    return out
+    return out + [x for x in reversed(held) if x != "("], end
 
 
-def evaluate(expression: str) -> tuple[set[str], float] | None:
-    """(known identifiers, demand) of a licence expression; None if it holds no known one."""
+def postfix(expression: str) -> list[str]:
+    """The expression's tokens in postfix order, as far as it is well formed.
+
+    Stops at the first token that cannot follow: an expression ends where prose begins.
+    """
+    return _parsed(expression, 0, len(expression))[0]
+
+
+def evaluate(
+    line: str, tagged: bool = False, start: int = 0, stop: int | None = None
+) -> tuple[set[str], float] | None:
+    """(identifiers, demand) of the licence expression at `start`; None if it holds none.
+
+    If it is not `tagged`, it may be prose and must hold a known identifier.
+    """
+    stop = len(line) if stop is None else stop
+    tokens, end = _parsed(line, start, stop)
+    alone = not _TOKEN.search(line, end, stop)
+    known = False
     stack: list[tuple[set[str], float]] = []
-    for token in postfix(expression):
+    for token in tokens:
         if token not in _BINDS:
             asks = demand(token)
-            stack.append(({token} if asks is not None else set(), UNKNOWN if asks is None else asks))
+            known |= asks is not None
+            named = asks is not None or alone or (tagged and bool(re.search(r"[-0-9]", token)))
+            stack.append(({token} if named else set(), UNKNOWN if asks is None else asks))
         elif len(stack) > 1:
             (right, asks_right), (left, asks) = stack.pop(), stack.pop()
             if token == "with":
@@ -151,7 +183,23 @@ def evaluate(expression: str) -> tuple[set[str], float] | None:
             else:
                 pick = min if token == "or" else max
                 stack.append((left | right, pick(asks, asks_right)))
-    return stack[-1] if stack and stack[-1][0] else None
+    return stack[-1] if stack and stack[-1][0] and (known or tagged) else None
+
+
+def behind_tag(texts: str, first: int, last: int, begin: int, stop: int, sure: bool) -> int | None:
+    """Where a tag's expression begins: behind its colon; None if no colon follows at once.
+
+    `first` and `last` are where the first and last word of the tag begin, in a text from
+    `begin` to `stop`. A tag that is not `sure` must have no words before it in its line.
+    """
+    colon = _COLON.match(texts, last, stop)
+    if colon is None:
+        return None
+    while not sure and first > begin and texts[first - 1] != "\n":
+        if texts[first - 1] not in _LEAD:
+            return None
+        first -= 1
+    return colon.end()
 
 
 @lru_cache(maxsize=1)
@@ -162,7 +210,8 @@ def automaton() -> ahocorasick.Automaton:
         phrases[phrase] = (label, False)
     for phrase, label in BASE.items():
         phrases[phrase] = (label, True)
-    phrases[TAG] = (None, False)
+    for tag, sure in TAGS.items():
+        phrases[tag] = (None, sure)
     for phrase, (label, base) in phrases.items():
         found.add_word(f" {phrase} ", (len(phrase) + 1, label, base))
     found.make_automaton()
@@ -181,6 +230,7 @@ def scan(texts: pa.Array) -> list[pa.Array]:
     score = [0.0] * n
     # One character per byte, so that positions are bytes; a phrase may not cross texts.
     stream = " " + compact.tobytes().decode("latin-1")
+    plain, line_end = data.tobytes().decode("latin-1"), -1
     for at, (size, label, base) in automaton().iter(stream):
         # `stream` is one longer than `compact`: the phrase's first word starts here.
         word = int(np.searchsorted(start, at - size))
@@ -190,9 +240,15 @@ def scan(texts: pa.Array) -> list[pa.Array]:
             continue
         if label is None:
             stop = int(offsets[doc + 1]) - 1
-            after = data[int(begin[last]) : stop].tobytes()
-            line = after.split(b"\n", 1)[0].decode("utf-8", "ignore").partition(":")[2]
-            if found := evaluate(line):
+            place = behind_tag(
+                plain, int(begin[word]), int(begin[last]), int(offsets[doc]), stop, base
+            )
+            if place is None:
+                continue
+            if not place <= line_end <= stop:
+                line_end = plain.find("\n", place, stop)
+                line_end = stop if line_end < 0 else line_end
+            if found := evaluate(plain, base, place, line_end):
                 labels[doc] |= found[0]
                 score[doc] = max(score[doc], found[1])
             continue

@@ -208,6 +208,42 @@ def test_tags_give_labels(spark):
     assert got[2].labels == "" and got[3].labels == ""
 
 
+def test_identifiers_that_are_not_known():
+    evaluate = license_scan.evaluate
+    assert evaluate(" EUPL-1.2", True) == ({"eupl-1.2"}, license_scan.UNKNOWN)
+    assert evaluate("MIT OR EUPL-1.2", True) == ({"mit", "eupl-1.2"}, 0.1)
+    assert evaluate("(SSPL-1.0 AND MIT) OR LicenseRef-x WITH y-exception", True)[1] == 0.25
+    assert evaluate("GPL-2.0 WITH a-exception AND (MIT OR x-1)", True) == ({"gpl-2.0", "mit", "x-1"}, 0.3)
+    assert evaluate("see the file", True) is None
+    assert evaluate("proprietary", True)[0] == {"proprietary"}
+    assert evaluate("EUPL-1.2") is None
+    assert evaluate("MIT OR EUPL-1.2")[0] == {"mit", "eupl-1.2"}
+    assert evaluate("MIT or whatever else you like")[0] == {"mit"}
+
+
+def test_further_tags(spark):
+    texts = {
+        1: "License: MIT OR Apache-2.0\nmore",
+        2: '  "license": "MIT AND EUPL-1.2",',
+        3: "License-Expression: EUPL-1.2",
+        4: "its license: MIT",
+        5: "License: see the file",
+        6: "# Licence: BSD-3-Clause",
+        7: "License\n: MIT",
+        8: "x\n * SPDX-License-Identifier: SSPL-1.0 AND MIT\n",
+        9: "License: é MIT",
+        10: "License-Expression: EUPL-1.2 " * 3_000,
+        11: None,
+    }
+    got = {r.doc_id: r for r in license_scan.scanned(documents(spark, texts.items())).collect()}
+    assert {k: r.labels for k, r in got.items()} == {
+        1: "apache-2.0,mit", 2: "eupl-1.2,mit", 3: "eupl-1.2", 4: "", 5: "", 6: "bsd-3-clause",
+        7: "", 8: "mit,sspl-1.0", 9: "mit", 10: "eupl-1.2", 11: "",
+    }
+    assert got[3].score == got[8].score == license_scan.UNKNOWN and got[2].score == 0.5
+    assert not any(r.base_labels for r in got.values())
+
+
 # --- decontamination ---------------------------------------------------------------------------------
 
 
