@@ -9,10 +9,11 @@ A batch of turns is assembled at once: the lengths of all segments give their of
 offsets give the scatter index of every byte, and headers and contents are copied into one
 preallocated buffer, which becomes the Arrow column without a further copy.
 
-Conversations are put together by a sort inside the partitions of `conv_id` and streamed:
-one row per turn is returned, so a conversation may be of any length, and memory is bounded
-by a batch of turns. Its digests are sequential hashes, carried from batch to batch. (Such
-a hash cannot be split, so the turns of one conversation pass through one task.)
+Turns are formatted, and read back, where they are scanned; one row per turn is returned, so a
+conversation may be of any length, and memory is bounded by a batch of turns. `in_order` then
+puts conversations together by a sort inside the partitions of `conv_id`. The digests are
+sequential hashes, carried from batch to batch: such a hash cannot be split, so what was read
+back of one conversation passes through one task, which only hashes it.
 
 Null roles and texts count as empty. Turns that share a number are ordered by role, then by
 text; rows that repeat are repeated turns. A null conversation id is a conversation of its
@@ -103,7 +104,7 @@ def _formatted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def format_turns(turns: DataFrame) -> DataFrame:
-    """One row per turn, conversations together and in order inside each partition.
+    """One row per turn, in the partitions of `turns`.
 
     `formatted` is the turn's part of the conversation; the loss is on the bytes from
     `content_begin` to `content_end` of it where `learned` is true.
@@ -115,14 +116,10 @@ def format_turns(turns: DataFrame) -> DataFrame:
         F.coalesce(F.col("role").cast("string"), F.lit("")).alias("role"),
         F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"),
     )
-    return (
-        given.repartition("conv_id")
-        .sortWithinPartitions("conv_id", "turn", "role", "text")
-        .mapInArrow(
-            _formatted,
-            "conv_id bigint, turn bigint, formatted string, content_begin bigint, "
-            "content_end bigint, learned boolean",
-        )
+    return given.mapInArrow(
+        _formatted,
+        "conv_id bigint, turn bigint, formatted string, content_begin bigint, "
+        "content_end bigint, learned boolean",
     )
 
 
@@ -140,6 +137,48 @@ def read_turn(formatted: str) -> tuple[str, str]:
     return unescape(role), unescape(text)
 
 
+READ = (
+    "conv_id bigint, turn bigint, role string, text string, masked string, learned boolean, "
+    "chars bigint"
+)
+
+
+def _read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in slices(batches, "formatted"):
+        columns = ("formatted", "content_begin", "content_end", "learned")
+        rows = []
+        for formatted, begin, end, learned in zip(*(batch.column(c).to_pylist() for c in columns)):
+            role, text = read_turn(formatted)
+            masked = unescape(formatted.encode()[begin:end].decode()) if learned else text
+            rows.append((role, text, None if masked == text else masked, len(formatted)))
+        role, text, masked, chars = zip(*rows)
+        yield pa.RecordBatch.from_arrays(
+            [
+                batch.column("conv_id"),
+                batch.column("turn"),
+                pa.array(role, pa.string()),
+                pa.array(text, pa.string()),
+                pa.array(masked, pa.string()),
+                batch.column("learned"),
+                pa.array(chars, pa.int64()),
+            ],
+            ["conv_id", "turn", "role", "text", "masked", "learned", "chars"],
+        )
+
+
+def read_back(formatted: DataFrame) -> DataFrame:
+    """One row per formatted turn, with what its format says: role, text, length in characters.
+
+    `masked` is the text under the loss mask of a `learned` turn; null if equal to `text`.
+    """
+    return formatted.mapInArrow(_read, READ)
+
+
+def in_order(turns: DataFrame) -> DataFrame:
+    """Turns that were read back, conversations together and in order inside each partition."""
+    return turns.repartition("conv_id").sortWithinPartitions("conv_id", "turn", "role", "text")
+
+
 class _Digest:
     """What is read back from one conversation, turn by turn."""
 
@@ -147,15 +186,14 @@ class _Digest:
         self.conv_id, self.turns, self.chars, self.loss_chars = conv_id, 0, 0, 0
         self.all, self.loss = hashlib.sha256(), hashlib.sha256()
 
-    def add(self, formatted: str, begin: int, end: int, learned: bool) -> None:
-        role, text = read_turn(formatted)
+    def add(self, role: str, text: str, masked: str | None, learned: bool, chars: int) -> None:
         self.turns += 1
-        self.chars += len(formatted)
+        self.chars += chars
         self.all.update(f"{role}\n{text}\n".encode())
         if learned:
-            masked = unescape(formatted.encode()[begin:end].decode())
-            self.loss_chars += len(masked)
-            self.loss.update(masked.encode())
+            said = text if masked is None else masked
+            self.loss_chars += len(said)
+            self.loss.update(said.encode())
 
     def row(self) -> tuple:
         return (
@@ -174,7 +212,7 @@ DIGEST = (
 )
 
 
-def _read_back(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _hashed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     names = [field.split()[0] for field in DIGEST.split(", ")]
     kinds = [pa.int64(), pa.int64(), pa.string(), pa.int64(), pa.string(), pa.int64()]
 
@@ -183,27 +221,27 @@ def _read_back(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds)], names)
 
     current = None
-    for batch in slices(batches, "formatted"):
+    for batch in slices(batches, "text"):
         done = []
-        for conv, formatted, begin, end, learned in zip(
+        for conv, *turn in zip(
             *(
                 batch.column(c).to_pylist()
-                for c in ("conv_id", "formatted", "content_begin", "content_end", "learned")
+                for c in ("conv_id", "role", "text", "masked", "learned", "chars")
             )
         ):
             if current is None or current.conv_id != conv:
                 if current:
                     done.append(current.row())
                 current = _Digest(conv)
-            current.add(formatted, begin, end, learned)
+            current.add(*turn)
         yield batch_of(done)
     if current:
         yield batch_of([current.row()])
 
 
 def digests(formatted: DataFrame) -> DataFrame:
-    """One row per conversation, read back from the formatted turns, which come in order."""
-    return formatted.mapInArrow(_read_back, DIGEST)
+    """One row per conversation, read back from its formatted turns."""
+    return in_order(read_back(formatted)).mapInArrow(_hashed, DIGEST)
 
 
 def query(spark: SparkSession, sf_dir: str) -> DataFrame:
