@@ -50,7 +50,7 @@ LENGTH = 400
 GRAM = 32
 #: Bytes of segments that one shard's family is meant for, and that one key may bring to one.
 SHARD_BYTES = 2 << 20
-HOT_BYTES = 4 << 20
+HOT_BYTES = 1 << 20
 #: Windows of a piece of a key (then of a group) that brings more.
 WIDTHS = (32, 1)
 #: Bytes of a batch that gets its own suffix array.
