@@ -236,17 +236,27 @@ def _typed(value: Column, kind: DataType, name: str = "") -> Column:
     return _number(value, kind, name) if isinstance(kind, NUMBERS) else value
 
 
-def _mistyped(value: Column, kind: DataType, name: str = "") -> Column:
-    """Whether any number of the document is given but spells none."""
+def _lost(given: Column, typed: Column, kind: DataType) -> Column:
+    """Whether any number of the document is given but spells none, so that its value is null.
+
+    Compares the two layouts place by place, so that nothing is converted again.
+    """
     if isinstance(kind, StructType):
-        tests = [_mistyped(value[f.name], f.dataType, f.name) for f in kind]
+        tests = [_lost(given[f.name], typed[f.name], f.dataType) for f in kind if _counts(f.dataType)]
         return reduce(lambda a, b: a | b, tests, F.lit(False))
     if isinstance(kind, ArrayType):
-        found = F.exists(value, lambda item: _mistyped(item, kind.elementType, name))
-        return F.coalesce(found, F.lit(False))
-    if isinstance(kind, NUMBERS):
-        return value.isNotNull() & _number(value, kind, name).isNull()
-    return F.lit(False)
+        if not _counts(kind):
+            return F.lit(False)
+        pairs = F.zip_with(given, typed, lambda a, b: _lost(a, b, kind.elementType))
+        return F.coalesce(F.exists(pairs, lambda lost: lost), F.lit(False))
+    return given.isNotNull() & typed.isNull()
+
+
+def _counts(kind: DataType) -> bool:
+    """Whether the layout has a number anywhere."""
+    if isinstance(kind, StructType):
+        return any(_counts(f.dataType) for f in kind)
+    return _counts(kind.elementType) if isinstance(kind, ArrayType) else isinstance(kind, NUMBERS)
 
 
 def parse_documents(df: DataFrame, text: str, ddl: str, alias: str = "doc") -> DataFrame:
@@ -258,11 +268,15 @@ def parse_documents(df: DataFrame, text: str, ddl: str, alias: str = "doc") -> D
     layout = struct(ddl)
     schema = StructType([*_as_text(layout).fields]).add(CORRUPT, "string")
     options = {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": CORRUPT}
-    parsed = df.withColumn(alias, F.from_json(text, schema, options))
-    doc = F.col(alias)
-    corrupt = F.coalesce(doc[CORRUPT], F.when(_mistyped(doc, layout), F.col(text)))
-    fields = [_typed(doc[f.name], f.dataType, f.name).alias(f.name) for f in layout]
-    return parsed.withColumn(alias, F.struct(*fields, corrupt.alias(CORRUPT)))
+    given, typed = f"_{alias}_given", f"_{alias}_typed"
+    parsed = df.withColumn(given, F.from_json(text, schema, options))
+    # Read twice below, so Catalyst keeps it a step of its own and converts every number once.
+    parsed = parsed.withColumn(typed, _typed(F.col(given), layout))
+    lost = _lost(F.col(given), F.col(typed), layout)
+    corrupt = F.coalesce(F.col(given)[CORRUPT], F.when(lost, F.col(text)))
+    fields = [F.col(typed)[f.name].alias(f.name) for f in layout]
+    doc = F.struct(*fields, corrupt.alias(CORRUPT))
+    return parsed.withColumn(alias, doc).drop(given, typed)
 
 
 def judge_documents(
