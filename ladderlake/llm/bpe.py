@@ -3,8 +3,9 @@
 A rolling hash over the bytes cuts every text where its content says so, so passages that
 documents share are cut alike. A chunk is encoded once per task and looked up afterwards.
 Joins are then repaired: a chunk's ids are trusted only between its first and its last
-*firm* place, which is where white space follows something else. Whatever stands on the
-left, the byte-level pattern starts a new piece there, and no piece reaches across it. What
+*firm* place, which is where white space follows something else or, in scripts without
+spaces, a mark or punctuation follows a letter. Whatever stands on the left, the byte-level
+pattern starts a new piece there, and no piece reaches across it. What
 lies between the last firm place of one chunk and the first of the next is encoded again as
 one string. If a chunk has none, that string grows over further chunks until both its ends
 are firm or the text ends; so the ids agree exactly with those of the whole text.
@@ -47,10 +48,15 @@ WINDOW = 32
 #: Ids that the dictionary of chunks holds at most, per task.
 DICTIONARY_IDS = 4_000_000
 
-#: White space after something else: a place that no piece reaches across. Both sides are
-#: narrower than the pattern's own classes, so they hold in every flavour of them.
-FIRM = re.compile(r"(?<=\S)(?=[ \t\n\r\f\v])")
-_LAST_FIRM = re.compile(r".*\S(?=[ \t\n\r\f\v])", re.S)
+#: Letters of scripts without spaces, and marks or punctuation of theirs (fixed ranges).
+_LETTERS = r"\u3041-\u3094\u30a1-\u30fa\u4e00-\u9fa5\uac00-\ud7a3\u0e01-\u0e2e"
+_OTHERS = r"\u3001\u3002\uff0c\uff0e\uff01\uff1f\uff1a\uff1b\u300c-\u300f\uff08\uff09\u0e31\u0e34-\u0e3a\u0e47-\u0e4e"
+#: Places that no piece reaches across: white space after something else, and a mark or
+#: punctuation after a letter of those scripts, as no piece goes on behind its letters. All
+#: sides are narrower than the pattern's own classes, so they hold in every flavour of them,
+#: and none lies within the special token.
+FIRM = re.compile(rf"(?<=\S)(?=[ \t\n\r\f\v])|(?<=[{_LETTERS}])(?=[{_OTHERS}])")
+_LAST_FIRM = re.compile(rf".*(?:\S(?=[ \t\n\r\f\v])|[{_LETTERS}](?=[{_OTHERS}]))", re.S)
 
 
 def default_vocabulary() -> str:

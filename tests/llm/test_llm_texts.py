@@ -62,6 +62,39 @@ def test_ids_agree_with_the_library_for_any_cuts(library, codec, pieces, seed):
     assert codec.decode(want) == library.decode(want, skip_special_tokens=False) == text
 
 
+SCRIPTS = {  # letters, then marks and punctuation of scripts without spaces
+    "chinese": ("的一是不了人我在有他这中大来上国", "，。！？；：「」（）、"),
+    "japanese": ("ひらがなカタカナ日本語文章々ー", "、。「」！？（）・"),
+    "thai": ("กขคงจฉชซญดตถทนบปผพฟมยรลวสหอเแโไใาะำ", "ัิีึืุู่้๊๋็์"),
+    "korean": ("한국어문장이다그리고", "，。！？"),
+}
+ODD = ["<|endoftext|>", "<|endof", "'s", "'", "12", "\n", " ", "a", "\u0301", "🙂"]
+
+
+@settings(max_examples=200, deadline=None)
+@given(st.sampled_from(sorted(SCRIPTS)), st.integers(0, 10**6))
+def test_scripts_without_spaces_agree_with_the_library(library, codec, script, seed):
+    rng = random.Random(seed)
+    letters, others = SCRIPTS[script]
+    kinds = rng.choices([letters, others, ODD], [8, 3, rng.choice([0, 2])], k=rng.randint(0, 300))
+    text = "".join(rng.choice(k) for k in kinds)
+    places = sorted({0, len(text), *(rng.randint(0, len(text)) for _ in range(rng.randint(0, 12)))})
+    cut = [text[a:b] for a, b in zip(places, places[1:])]
+    want = library.encode(text, add_special_tokens=False).ids
+    assert codec.encode(cut) == codec.encode(chunks_of(text)) == want
+    assert codec.decode(want) == text
+
+
+@pytest.mark.parametrize("script", sorted(SCRIPTS))
+def test_chunks_of_scripts_without_spaces_have_firm_places(codec, script):
+    rng = random.Random(1)
+    letters, others = SCRIPTS[script]
+    text = "".join(rng.choice(others if i % 9 == 8 else letters) for i in range(20_000))
+    chunks = chunks_of(text)
+    assert len(chunks) > 5
+    assert sum(codec.chunk(c) is not None for c in chunks) >= 0.9 * len(chunks)
+
+
 def test_decoder_replaces_bad_bytes_as_the_library_does(library, codec):
     ids = library.encode("日本🙂é").ids
     for i in range(len(ids)):
