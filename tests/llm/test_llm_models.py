@@ -94,6 +94,43 @@ def test_pairs_of_terms_are_learned():
     assert machine.factor[0] @ machine.factor[1] > 0
 
 
+def test_scores_are_those_of_a_double_loop_over_pairs():
+    rng = np.random.default_rng(3)
+    inputs = (rng.random((400, 9)) < 0.4).astype(np.float32)
+    label = np.maximum(inputs[:, 0] * inputs[:, 1], inputs[:, 5]).astype(float)
+    buckets = np.arange(9) * 5 + 2
+    machine = toxicity_fm.fit(inputs, label, buckets)
+    texts = [rng.choice(60, rng.integers(0, 30)).tolist() for _ in range(80)]  # repeats, others
+    doc = np.array([i for i, t in enumerate(texts) for _ in t], np.int64)
+    got = machine.score(doc, np.array([b for t in texts for b in t], np.int64), len(texts))
+    place = {int(b): i for i, b in enumerate(machine.buckets)}
+    for text, score in zip(texts, got):
+        own = sorted({place[b] for b in text if b in place})
+        raw = machine.bias + sum(machine.weight[i] for i in own)
+        raw += sum(machine.factor[i] @ machine.factor[j] for i in own for j in own if i < j)
+        assert score == pytest.approx(1 / (1 + np.exp(-raw)), abs=1e-12)
+    assert len({round(s, 9) for s in got}) > 10
+
+
+def test_scores_are_those_of_table_look_ups():
+    rng = np.random.default_rng(4)
+    rows = np.round(rng.random((900, 4)), 2)  # values that lie on cuts, too
+    label = ((rows[:, 0] > 0.5) ^ (rows[:, 1] > 0.3) | (rows[:, 3] > 0.9)).astype(float)
+    model = quality_gam.fit(rows, label)
+    assert model.pairs
+
+    def bin_of(edges, value):
+        return sum(1 for edge in edges if edge <= value)
+
+    for row, score in zip(rows[:200], model.score(rows[:200])):
+        raw = model.base
+        for j, table in enumerate(model.tables):
+            raw += table[bin_of(model.edges[j], row[j])]
+        for a, b, table in model.pairs:
+            raw += table[bin_of(model.coarse[a], row[a])][bin_of(model.coarse[b], row[b])]
+        assert score == pytest.approx(1 / (1 + np.exp(-raw)), abs=1e-12)
+
+
 # --- HTML -----------------------------------------------------------------------------------------
 
 
