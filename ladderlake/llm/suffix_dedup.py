@@ -467,10 +467,14 @@ def _split_runs(hot: DataFrame, widths: tuple[int, ...]) -> DataFrame:
         .drop("n")
     )
     shared = pieces.join(groups, ["key", "core"])
+    # Grouped by a struct: columns that include the join's would be aggregated in the tasks of
+    # the join, which then could not be split, and a group may hold most of the pieces.
+    own = F.struct("key", "core", F.col("pa").alias("da"), F.col("pb").alias("db"))
     distinct = durable(
         shared.where("differ")
-        .groupBy("key", "core", F.col("pa").alias("da"), F.col("pb").alias("db"))
+        .groupBy(own.alias("own"))
         .agg(F.count(F.lit(1)).alias("n"), F.max("piece").alias("bytes"))
+        .select("own.*", "n", "bytes")
     )
     weight = durable(distinct.groupBy("key", "core").agg(F.sum(F.length("bytes")).alias("size")))
     most = HOT_BYTES if len(widths) > 1 else None
