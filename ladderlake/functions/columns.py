@@ -42,6 +42,25 @@ def single_key(part: str | Column) -> Column:
     return F.md5(as_column(part).cast("string"))
 
 
+def packed_text(c: str | Column) -> Column:
+    """Text as bytes, half as many for lower-case hex digits such as keys are made of.
+
+    A leading byte says which of the two it is, so equal bytes are equal texts and
+    `unpacked_text` gives back every text; null stays null.
+    """
+    text = as_column(c)
+    is_hex = F.lower(F.hex(F.unhex(text))) == text
+    plain = F.concat(F.lit(b"\x00"), text.cast("binary"))
+    return F.when(is_hex, F.unhex(F.concat(F.lit("01"), text))).otherwise(plain)
+
+
+def unpacked_text(c: str | Column) -> Column:
+    packed = as_column(c)
+    rest = F.substring(packed, 2, 0x7FFFFFFF)
+    is_hex = F.substring(packed, 1, 1) == F.lit(b"\x01")
+    return F.when(is_hex, F.lower(F.hex(rest))).otherwise(rest.cast("string"))
+
+
 def date_key(day: str | Column) -> Column:
     return F.date_format(as_column(day), "yyyyMMdd").cast("int")
 

@@ -11,6 +11,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ladderlake.functions.columns import packed_text, unpacked_text
 
 # Row limit under which a small dimension is broadcast: the calendar has one row per day and
 # civs are a fixed roster, so both stay far below; beyond, the join shuffles.
@@ -42,10 +43,11 @@ def star_fact(
 
     All joins are inner: a row without its civ, match, player or date is not a fact. The
     date depends on the match only, so it is joined to the matches, before the far larger
-    player rows come in. Each side carries just the columns the fact needs. The civs are
-    broadcast after a check of their number.
+    player rows come in. Each side carries just the columns the fact needs, keys packed, since
+    digests are most of what is shuffled. The civs are broadcast after a check of their number.
     """
-    dated_matches = matches.select("game_id", "match_pk", "game_date").join(
+    keyed_matches = matches.select("game_id", packed_text("match_pk").alias("match_fk"), "game_date")
+    dated_matches = keyed_matches.join(
         days.select(F.col("date").alias("game_date"), F.col("date_pk").alias("date_fk")),
         "game_date",
     )
@@ -53,12 +55,12 @@ def star_fact(
         players.join(
             broadcast_if_under(civs.select("civ_name", F.col("civ_pk").alias("civ_fk"))), "civ_name"
         )
-        .join(dated_matches.withColumnRenamed("match_pk", "match_fk"), "game_id")
+        .join(dated_matches, "game_id")
         .join(people.select("profile_id", F.col("player_pk").alias("player_fk")), "profile_id")
         .select(
             F.col("id").alias("fact_pk"),
             "player_fk",
-            "match_fk",
+            unpacked_text("match_fk").alias("match_fk"),
             "civ_fk",
             "date_fk",
             "team",

@@ -107,4 +107,5 @@ def merge_fact(
         broadcast_if_under(scan_table(spark, days), BROADCAST_ROWS),
         window,
     )
-    publish(spark, rows, table, "fact_pk", key_gate("fact_pk"), partition_by="file_date")
+    foreign = ("player_fk", "match_fk", "civ_fk")
+    publish(spark, rows, table, "fact_pk", key_gate("fact_pk"), "file_date", foreign)

@@ -18,6 +18,7 @@ def publish(
     key: str,
     gate: Sequence[Rule] = (),
     partition_by: str | None = None,
+    hashed: Sequence[str] = (),
 ) -> Merged:
     """Run the plan once, into files of the table's layout; the gate and the merge read those.
 
@@ -25,4 +26,4 @@ def publish(
     table where its files are: a first load, and any partition that is new, is written once.
     """
     check = partial(enforce, rules=gate) if gate else None
-    return upsert(spark, df, table, key, partition_by, check=check)
+    return upsert(spark, df, table, key, partition_by, check=check, hashed=hashed)

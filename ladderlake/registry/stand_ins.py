@@ -8,7 +8,7 @@ from __future__ import annotations
 
 import uuid
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ladderlake.functions.columns import composite_key, single_key
@@ -115,11 +115,22 @@ def bronze_players(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def unique_players(spark: SparkSession, sf: str) -> DataFrame:
-    """Typed players, one row per match and profile, as the gated history needs."""
-    from ladderlake.operators.latest import latest_by_key
+    """Typed players, one row per match and profile, as the gated history needs.
+
+    The id is a hash of the two, so it is made behind the shuffle, as the source is. The
+    latest row of each is the first of its run in its match: dealt by match, the rows need no
+    other shuffle for a join on it.
+    """
     from ladderlake.plans.silver import typed_players
 
-    return latest_by_key(typed_players(bronze_players(spark, sf)), "id", "file_date")
+    typed = typed_players(bronze_players(spark, sf))
+    ties = [c for c in typed.columns if c not in ("id", "source", "game_id", "profile_id", "file_date")]
+    order = ["profile_id", *[F.col(c).desc() for c in ("file_date", *ties)]]
+    before = F.lag("profile_id").over(Window.partitionBy("game_id").orderBy(*order))
+    first = typed.drop("id", "source").withColumn("_before", before)
+    made = {"id": composite_key("game_id", "profile_id"), "source": F.lit(MATCH_SOURCE)}
+    latest = first.where(~F.col("_before").eqNullSafe(F.col("profile_id"))).withColumns(made)
+    return latest.select(*typed.columns)
 
 
 # ---- leaderboards ----------------------------------------------------------

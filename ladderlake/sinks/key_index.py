@@ -31,11 +31,9 @@ def key_hash(key: str) -> Column:
 
 
 def entries(rows: DataFrame, key: str, part: str) -> DataFrame:
-    """(h, part) of all rows with a key, each once."""
-    return (
-        rows.where(F.col(key).isNotNull())
-        .select(key_hash(key).alias("h"), F.col(part).alias("part"))
-        .distinct()
+    """(h, part) of all rows with a key."""
+    return rows.where(F.col(key).isNotNull()).select(
+        key_hash(key).alias("h"), F.col(part).alias("part")
     )
 
 
@@ -56,7 +54,9 @@ def build(spark: SparkSession, table: str, found: DataFrame) -> str:
     old = properties(spark, table).get(INDEX)
     name = f"{table}__keys_{uuid.uuid4().hex[:12]}"
     buckets = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    found.repartition(buckets, "h").write.bucketBy(buckets, "h").saveAsTable(name)
+    # Dealt by hash first, so that one shuffle serves the distinct and the buckets.
+    each = found.repartition(buckets, "h").distinct()
+    each.write.bucketBy(buckets, "h").saveAsTable(name)
     spark.sql(f"ALTER TABLE {table} SET TBLPROPERTIES ('{INDEX}' = '{name}', '{ADDED}' = '0')")
     if old:
         spark.sql(f"DROP TABLE IF EXISTS {old}")
@@ -71,9 +71,19 @@ def forget(spark: SparkSession, table: str) -> None:
         spark.sql(f"DROP TABLE IF EXISTS {named}")
 
 
-def known(spark: SparkSession, index: str, asked: DataFrame) -> DataFrame:
-    """The entries of the index whose hash is asked for."""
-    return spark.table(index).join(asked.select("h").distinct(), "h", "left_semi")
+def looked_up(spark: SparkSession, index: str, asked: DataFrame) -> DataFrame:
+    """The entries asked for, each once, beside those of the index with the same hash: `held`
+    is their partition where `found` is true. The index is not shuffled."""
+    each = asked.repartition(_buckets(spark, index), "h").distinct()
+    entry = spark.table(index).select("h", F.col("part").alias("held"), F.lit(True).alias("found"))
+    return each.join(entry, "h", "left")
+
+
+def missing(found: DataFrame) -> DataFrame:
+    """Looked-up entries to add. One that the index holds beside another partition of its hash
+    is among them, too; `tidy` drops such repetitions."""
+    same = F.col("found") & F.col("part").eqNullSafe(F.col("held"))
+    return found.where(~F.coalesce(same, F.lit(False))).select("h", "part")
 
 
 def add(spark: SparkSession, table: str, index: str, new: DataFrame) -> None:

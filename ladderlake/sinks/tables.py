@@ -6,13 +6,15 @@ import logging
 import re
 import time
 import uuid
-from collections.abc import Callable
+from collections.abc import Callable, Sequence
 from dataclasses import dataclass
 from functools import partial
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StringType
 
+from ladderlake.functions.columns import packed_text, unpacked_text
 from ladderlake.operators.joins import split_by_match
 from ladderlake.sinks import key_index
 from ladderlake.sinks.commits import LEASE, Commits
@@ -55,13 +57,20 @@ def write_table(
     """Write a managed table; overwriting replaces its schema too. Errors propagate."""
     if partition_by:
         df = df.hint("rebalance", F.col(partition_by))
-    writer = df.write.format(fmt).mode(mode).option("overwriteSchema", "true")
+    writer = _writer(df, fmt).mode(mode).option("overwriteSchema", "true")
     if partition_by:
         writer = writer.partitionBy(partition_by)
     writer.saveAsTable(table)
     log.info("wrote table %s (%s)", table, mode)
 
 
+def _writer(df: DataFrame, fmt: str):
+    """A writer of table files: hex digests are half as long under zstd, and as long as ever
+    under the default codec."""
+    writer = df.write.format(fmt)
+    return writer.option("compression", "zstd") if fmt.lower() == "parquet" else writer
+
+
 def merged_rows(src: DataFrame, tgt: DataFrame, key: str) -> DataFrame:
     """Result of an upsert: every source row, and the target rows no source row replaces."""
     _, kept = split_by_match(tgt, src, key)
@@ -82,6 +91,7 @@ def upsert(
     partition_by: str | None = None,
     fmt: str = "parquet",
     check: Callable[[DataFrame], None] | None = None,
+    hashed: Sequence[str] = (),
 ) -> Merged:
     """Update the rows whose key the table holds, insert the others, delete none.
 
@@ -91,8 +101,10 @@ def upsert(
     row of the table remains beside them: on a first load all of them, later those of new
     partitions. `check` raises to keep the rows out; without one, keys must be unique.
 
-    Partitions that get rows or lose replaced ones are written anew beside the old ones. Which
-    those are says an index of keys (see `key_index`), so no other partition is read. Then the
+    Partitions that get rows or lose replaced ones are written anew beside the old ones; one
+    that loses all its rows is not read for it, and what arrived is the partition. Which those
+    are says an index of keys (see `key_index`), so no other partition is read. `hashed` names
+    columns beside the key that hold hex digests; shuffles carry these packed. Then the
     commit is claimed (see `commits`), the catalog is pointed at the new files, and only then
     are the old ones deleted. A merge that broke off anywhere has lost no row that the table
     held and the source does not replace; running it again completes it, and `sweep` deletes
@@ -104,14 +116,14 @@ def upsert(
     if (fmt if first else about["Provider"].lower()) in MERGING_FORMATS:
         done = _merge_in_place(spark, src, table, key, partition_by, fmt, first, check)
     elif first:
-        done = _first_load(spark, src, table, key, partition_by, fmt, check)
+        done = _first_load(spark, src, table, key, partition_by, fmt, check, hashed)
     else:
         # An earlier merge may have broken off after its files changed.
         spark.catalog.refreshTable(table)
         if sorted(src.columns) != sorted(spark.table(table).columns):
             raise ValueError(f"columns of the source and of {table} differ")
         load = _merge_partitions if partition_by else _merge_whole
-        done = load(spark, src, table, about, key, partition_by, check)
+        done = load(spark, src, table, about, key, partition_by, check, hashed)
     log.info("merged into %s: %d inserted, %d updated", table, done.inserted, done.updated)
     return done
 
@@ -144,14 +156,34 @@ def _merge_in_place(
         discard(spark, scratch)
 
 
-def _write(df: DataFrame, path: str, part: str | None, fmt: str) -> DataFrame:
+def _write(
+    df: DataFrame, path: str, part: str | None, fmt: str, hashed: Sequence[str] = ()
+) -> DataFrame:
     """Write files in the layout of a table and hand back what they hold."""
-    writer = (df.hint("rebalance", F.col(part)) if part else df).write.format(fmt)
+    dealt = _gathered(df, part, hashed) if part else df
+    writer = _writer(dealt, fmt)
     (writer.partitionBy(part) if part else writer).save(path)
     written = df.sparkSession.read.format(fmt).schema(df.schema).load(path)
     return written.select(*df.columns)
 
 
+def _gathered(df: DataFrame, part: str, hashed: Sequence[str]) -> DataFrame:
+    """The rows of a partition value in few tasks; text columns of digests are packed on the way."""
+    texts = [c for c in dict.fromkeys(hashed) if c != part and _is_text(df, c)]
+    packed = df.withColumns({c: packed_text(c) for c in texts}) if texts else df
+    moved = packed.hint("rebalance", F.col(part))
+    return moved.withColumns({c: unpacked_text(c) for c in texts}) if texts else moved
+
+
+def _by_packed(df: DataFrame, key: str) -> DataFrame:
+    """The rows with their key packed if it is text: equal keys stay equal, joins move less."""
+    return df.withColumn(key, packed_text(key)) if _is_text(df, key) else df
+
+
+def _is_text(df: DataFrame, column: str) -> bool:
+    return df.schema[column].dataType == StringType()
+
+
 def _first_load(
     spark: SparkSession,
     src: DataFrame,
@@ -160,13 +192,14 @@ def _first_load(
     part: str | None,
     fmt: str,
     check: Callable[[DataFrame], None],
+    hashed: Sequence[str],
 ) -> Merged:
     """Write the rows once, beside where the table will be; once checked, they are the table."""
     base = _default_path(spark, table)
     parent, name = base.rsplit("/", 1)
     path = f"{parent}/_staged/{name}-{uuid.uuid4().hex}"
     try:
-        staged = _write(src, path, part, fmt)
+        staged = _write(src, path, part, fmt, (key, *hashed))
         check(staged)
         counts = _counts(staged, part) if part else {None: staged.count()}
         empty = spark.createDataFrame([], src.schema).write.format(fmt)
@@ -197,6 +230,7 @@ def _merge_partitions(
     key: str,
     part: str,
     check: Callable[[DataFrame], None],
+    hashed: Sequence[str],
 ) -> Merged:
     """Rewrite the partitions that get rows or lose replaced ones; touch and read no other.
 
@@ -210,26 +244,32 @@ def _merge_partitions(
     arrived, merged = (f"{base}/{MERGES}/{uuid.uuid4().hex}" for _ in range(2))
     try:
         tgt = spark.table(table)
-        incoming = _write(src.select(*tgt.columns), arrived, part, fmt)
+        digests = (key, *hashed)
+        incoming = _write(src.select(*tgt.columns), arrived, part, fmt, digests)
         check(incoming)
         index = key_index.current(spark, table, key, part)
         asked = key_index.entries(incoming, key, part)
-        known, scratch = stage(key_index.known(spark, index, asked), "known")
+        found, scratch = stage(key_index.looked_up(spark, index, asked), "known")
         try:
-            held = tgt.filter(_one_of(part, _values(known.select("part"))))
-            losing = _counts(split_by_match(held.select(key, part), incoming, key)[0], part)
+            held = tgt.filter(_one_of(part, _values(found.where("found").select("held"))))
+            keys = _by_packed(incoming.select(key), key)
+            replaced = split_by_match(_by_packed(held.select(key, part), key), keys, key)[0]
+            losing = _counts(replaced, part)
+            had = _counts(tgt.filter(_one_of(part, losing.keys())), part)
             counts = _counts(incoming, part)
             listed = _listed(spark, table, part)
             places = {v: partition_folder(spark, part, v) for v in counts.keys() | losing.keys()}
+            spent = {v for v in losing if losing[v] == had[v]}
             fresh = {v for v in counts if places[v] not in listed}
-            rewritten = places.keys() - fresh
+            rewritten = places.keys() - fresh - spent
             if rewritten:
                 touched = _one_of(part, rewritten)
                 # Rows that move to a new partition leave their old one, too.
-                kept = split_by_match(tgt.filter(touched), incoming, key)[1]
-                _write(incoming.filter(touched).unionByName(kept), merged, part, fmt)
-            same = (asked.h == known.h) & asked.part.eqNullSafe(known.part)
-            key_index.add(spark, table, index, asked.join(known, same, "left_anti"))
+                kept = split_by_match(_by_packed(tgt.filter(touched), key), keys, key)[1]
+                if _is_text(tgt, key):
+                    kept = kept.withColumn(key, unpacked_text(key))
+                _write(incoming.filter(touched).unionByName(kept), merged, part, fmt, digests)
+            key_index.add(spark, table, index, key_index.missing(found))
         finally:
             discard(spark, scratch)
         mine = commits.claim(spark, read)
@@ -237,15 +277,17 @@ def _merge_partitions(
         discard(spark, arrived, merged)
         raise
     try:
-        full = [v for v in rewritten if exists(spark, f"{merged}/{places[v]}")]
+        now = {v: f"{merged}/{places[v]}" for v in rewritten if exists(spark, f"{merged}/{places[v]}")}
+        now |= {v: f"{arrived}/{places[v]}" for v in spent & counts.keys()}
         _add(spark, table, part, {v: f"{arrived}/{places[v]}" for v in fresh})
-        for value in full:
-            _point(spark, table, part, value, f"{merged}/{places[value]}")
-        for value in rewritten.difference(full):  # every row of it moved elsewhere
+        for value, path in now.items():
+            _point(spark, table, part, value, path)
+        gone = (rewritten | spent) - now.keys()
+        for value in gone:  # every row of it moved elsewhere
             _spec_dropped(spark, table, _spec(part, value))
         spark.catalog.refreshTable(table)
-        unused = [f"{arrived}/{places[v]}" for v in counts if v not in fresh]
-        discard(spark, *(listed[places[v]] for v in rewritten), *unused)
+        unused = [f"{arrived}/{places[v]}" for v in counts.keys() & rewritten]
+        discard(spark, *(listed[places[v]] for v in rewritten | spent), *unused)
     finally:
         commits.close(spark, mine)
     key_index.tidy(spark, table, key, part)
@@ -261,6 +303,7 @@ def _merge_whole(
     key: str,
     _: None,
     check: Callable[[DataFrame], None],
+    hashed: Sequence[str],
 ) -> Merged:
     """Write the merged rows beside the table, then point the table at them."""
     old = about["Location"].rstrip("/")

@@ -194,3 +194,13 @@ def test_files_of_both_units_in_one_folder(spark, tmp_path):
     finally:
         spark.conf.unset("spark.sql.legacy.parquet.nanosAsLong")
     assert got == [(1, "2024-01-07 12:30:01.234567", day) for day in (14, 21, 28, 7)]
+
+
+def test_packed_text_gives_back_every_text(spark):
+    texts = ["", "0", "ab", "AB", "aB", "00ff", "a" * 32, "01" * 16, "xyz", "d41d8cd98f00b204e9800998ecf8427e", "é", None]
+    df = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "i int, t string")
+    packed = df.select("i", "t", c.packed_text("t").alias("p"))
+    found = packed.select("t", c.unpacked_text("p"), F.octet_length("p")).orderBy("i").collect()
+    assert [r[1] for r in found] == texts == [r[0] for r in found]
+    assert [r[2] for r in found if r[0] and len(r[0]) == 32] == [17] * 3
+    assert packed.where("p is not null").select("p").distinct().count() == len(texts) - 1

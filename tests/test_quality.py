@@ -241,3 +241,16 @@ def test_empty_dump_is_flagged(spark):
         (date(2024, 1, 14), None),
         (date(2024, 1, 7), "File 2024-01-07 is present but is empty!"),
     ]
+
+
+def test_gate_of_sound_keys_counts_hashes_only(spark, monkeypatch):
+    from ladderlake.quality import rules
+
+    def exact(*_):
+        raise AssertionError("the exact report is for keys that the hashes cast doubt on")
+
+    monkeypatch.setattr(rules, "quality_report", exact)
+    good = spark.createDataFrame([("a", 1), ("b", 1)], "id string, n int")
+    enforce(good, key_gate("id"))
+    with pytest.raises(AssertionError):
+        enforce(good, key_gate("n"))

@@ -446,3 +446,36 @@ def test_staged_rows_do_not_change(spark):
     staged, _ = stage(stamped)
     first = rows(staged)
     assert rows(staged) == first and isinstance(first[0][1], datetime)
+
+
+def test_a_partition_that_is_replaced_whole_is_not_merged(spark, database, monkeypatch):
+    name = f"{database}.replaced"
+    columns = "id string, day string, n int"
+
+    def load(*rows):
+        return tables.upsert(spark, spark.createDataFrame(rows, columns), name, "id", "day")
+
+    load(("a", "1", 1), ("b", "1", 1), ("c", "2", 1), ("d", "2", 1), ("e", "3", 1))
+    written = []
+    write = tables._write
+    monkeypatch.setattr(tables, "_write", lambda df, path, *more: written.append(path) or write(df, path, *more))
+    # All of day 1; all of day 3, which moves to day 4.
+    done = load(("a", "1", 2), ("b", "1", 2), ("e", "4", 2))
+    assert (done.inserted, done.updated) == (0, 3)
+    assert len(written) == 1
+    held = [("a", "1", 2), ("b", "1", 2), ("c", "2", 1), ("d", "2", 1), ("e", "4", 2)]
+    assert rows(spark.table(name).select("id", "day", "n")) == held
+    # A part of day 2.
+    load(("c", "2", 3))
+    assert len(written) == 3
+    held[2] = ("c", "2", 3)
+    assert rows(spark.table(name).select("id", "day", "n")) == held
+
+
+def test_moved_digests_are_packed(spark, database):
+    df = spark.createDataFrame([("0" * 32, "f" * 32, "1"), ("x", None, "1")], "id string, fk string, day string")
+    text = plan(tables._gathered(df, "day", ("id", "fk")))
+    # What is packed is binary below the exchange and text above it.
+    assert text.index("substring") < text.index("REBALANCE_PARTITIONS_BY_COL") < text.index("unhex")
+    tables.upsert(spark, df, f"{database}.digests", "id", "day", hashed=("fk",))
+    assert rows(spark.table(f"{database}.digests").select("id", "fk", "day")) == rows(df)
