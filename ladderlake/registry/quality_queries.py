@@ -310,9 +310,10 @@ def land_array_files(spark, sf):
         .select(
             F.when((F.col("file") % 10 == 3) & (F.col("n") == 5), F.expr("left(text, length(text) - 8)"))
             .otherwise(F.col("text")).alias("value"),
-            "file",
         )
-        .write.partitionBy("file").text(raw)
+        # Small as they are, the files are written by all tasks, a row each, into one folder.
+        .repartition(int(spark.conf.get("spark.sql.shuffle.partitions")))
+        .write.option("maxRecordsPerFile", 1).text(raw)
     )
     layout = schemas.RAW_LEADERBOARD_PAGE
     land_documents(

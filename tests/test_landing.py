@@ -2,6 +2,7 @@ from __future__ import annotations
 
 import json
 from datetime import date
+from pathlib import Path
 
 import pytest
 from hypothesis import given, settings
@@ -181,3 +182,20 @@ def test_one_bad_page_of_an_array(spark, tmp_path):
     assert rows(current_rejects(spark, bad, "delivery").select("errors")) == [
         (["document: cut off"],), (["leaderboardStats: missing"],)
     ]
+
+
+def test_page_files_lie_in_one_folder(spark, sf, monkeypatch):
+    """A folder per file is a listing per file, and they were all written by one task."""
+    from ladderlake.registry import quality_queries
+    from ladderlake.sinks import workspace
+
+    paths = {}
+
+    def noted(spark, name):
+        return paths.setdefault(name, workspace.fresh_path(spark, name))
+
+    monkeypatch.setattr(quality_queries, "fresh_path", noted)
+    quality_queries.land_array_files(spark, sf)
+    raw = Path(paths["array_files"])
+    assert not [f for f in raw.iterdir() if f.is_dir()]
+    assert len({f.name.split("-")[1] for f in raw.glob("part-*")}) > 1
