@@ -10,7 +10,7 @@ import pytest
 from pyspark.sql import Row
 from pyspark.sql import functions as F
 
-from conftest import rows
+from conftest import plan, rows
 from ladderlake.functions import cleaning
 from ladderlake.functions import columns as c
 from ladderlake.sinks.files import land_nanos
@@ -204,3 +204,14 @@ def test_packed_text_gives_back_every_text(spark):
     assert [r[1] for r in found] == texts == [r[0] for r in found]
     assert [r[2] for r in found if r[0] and len(r[0]) == 32] == [17] * 3
     assert packed.where("p is not null").select("p").distinct().count() == len(texts) - 1
+
+
+def test_rows_are_made_distinct_behind_their_shuffle_only(spark, tmp_path):
+    """Combined before it, most rows of a file would be in one task's memory."""
+    path = str(tmp_path / "dated")
+    spark.range(20).selectExpr("id % 5 AS n", "DATE '2024-01-07' AS file_date").write.partitionBy("file_date").parquet(path)
+    out = scans.with_provenance(spark.read.parquet(path).drop("fn"), "FEED", dated=True, root=path)
+    above, below = plan(out).split("Exchange hashpartitioning")
+    assert "HashAggregate" in above and "Aggregate" not in below
+    files = out.select("fn").distinct().count()
+    assert out.count() == out.select("n", "fn").distinct().count() and files >= 1
