@@ -6,6 +6,7 @@ import hashlib
 import random
 import re
 from collections import Counter, defaultdict
+from functools import partial
 
 import numpy as np
 import pyarrow as pa
@@ -334,6 +335,63 @@ def test_pieces_put_equal_windows_into_one_group(width):
     assert len(group) < windows
 
 
+def hot_segments(texts):
+    """Rows (key, da, db, bytes) of all segments of texts, as a hot key brings them."""
+    data, offsets = text_buffer(pa.array(texts))
+    found = zip(*suffix_dedup.segments(data, offsets))
+    parts = [(int(key.view(np.int64)), data[a : a + n + 399].tobytes()) for _, a, n, key, _ in found]
+    return [(key, 0, i, part) for i, (key, part) in enumerate(parts)]
+
+
+@pytest.mark.parametrize("width", [1, 32])
+def test_a_piece_that_recurs_in_its_segment_is_one_row(width):
+    rng = random.Random(width)
+    texts = ["one and the same line\n" * n for n in (60, 61, 75)]
+    texts.append("".join(rng.choice("abcdefgh") for _ in range(900)))
+    names = ["key", "da", "db", "bytes"]
+    given = hot_segments(texts)
+    batch = pa.RecordBatch.from_pylist([dict(zip(names, row)) for row in given])
+    rows = [r for out in suffix_dedup._split(width, iter([batch])) for r in out.to_pylist()]
+    assert len({(r["db"], r["pa"], r["pb"]) for r in rows}) == len(rows)
+    windows = Counter((r["db"], p + i) for r in rows for p in r["places"] for i in range(r["windows"]))
+    assert windows == Counter((i, w) for _, _, i, part in given for w in range(len(part) - 399))
+
+
+def shuffled_rows(df):
+    """The rows that each exchange of the executed plan has sent."""
+    df.collect()
+    todo, sent = [df._jdf.queryExecution().executedPlan()], []
+    while todo:
+        node = todo.pop()
+        kind = node.getClass().getSimpleName()
+        if kind == "AdaptiveSparkPlanExec":
+            todo.append(node.executedPlan())
+        elif kind.endswith("QueryStageExec"):
+            todo.append(node.plan())
+        elif kind == "ShuffleExchangeExec":
+            sent.append(node.metrics().apply("shuffleRecordsWritten").value())
+        children = node.children()
+        todo += [children.apply(i) for i in range(children.size())]
+    return sent
+
+
+def test_copies_of_a_piece_are_counted_before_a_group_is_dealt(spark, monkeypatch):
+    """Many segments with one passage: a task sends a row per distinct piece, not per segment."""
+    rng = random.Random(11)
+    fresh = lambda n: "".join(rng.choice("abcdefgh") for _ in range(n))
+    passage = fresh(800)
+    segments = hot_segments([fresh(50) + passage + fresh(50) for _ in range(200)])
+    hot = spark.createDataFrame(segments, "key bigint, da bigint, db bigint, bytes binary").coalesce(2)
+    pieces = hot.mapInArrow(partial(suffix_dedup._split, 32), suffix_dedup.PIECE)
+    rows, distinct = pieces.count(), pieces.select("key", "core", "pa", "pb").distinct().count()
+    assert rows > 3 * distinct
+    cut, durable = [], suffix_dedup.durable
+    monkeypatch.setattr(suffix_dedup, "durable", lambda df: cut.append(df) or durable(df))
+    suffix_dedup._split_runs(hot, (32,))
+    sent = [n for df in cut for n in shuffled_rows(df)]
+    assert len(sent) > 3 and 0 < max(sent) <= 2 * distinct
+
+
 def test_hot_keys_with_cores_that_stay_hot(spark, monkeypatch):
     monkeypatch.setattr(suffix_dedup, "HOT_BYTES", 6_000)
     monkeypatch.setattr(suffix_dedup, "SHARD_BYTES", 3_000)
