@@ -392,6 +392,28 @@ def test_copies_of_a_piece_are_counted_before_a_group_is_dealt(spark, monkeypatc
     assert len(sent) > 3 and 0 < max(sent) <= 2 * distinct
 
 
+def test_pieces_of_a_group_that_stays_hot_are_dealt_to_all_tasks(spark, monkeypatch):
+    monkeypatch.setattr(suffix_dedup, "HOT_BYTES", 6_000)
+    rng = random.Random(12)
+    fresh = lambda n: "".join(rng.choice("abcdefgh") for _ in range(n))
+    passage = fresh(405)  # holds a core, with other bytes around it in each text
+    segments = hot_segments([fresh(40) + passage + fresh(40) for _ in range(160)])
+    hot = spark.createDataFrame(segments, "key bigint, da bigint, db bigint, bytes binary")
+    given, split = [], suffix_dedup._split_runs
+    monkeypatch.setattr(suffix_dedup, "_split_runs", lambda df, w: given.append(df) or split(df, w))
+    conf = {"adaptive.coalescePartitions.enabled": "false", "autoBroadcastJoinThreshold": "-1"}
+    try:
+        for name, value in conf.items():
+            spark.conf.set(f"spark.sql.{name}", value)
+        suffix_dedup._split_runs(hot, suffix_dedup.WIDTHS)
+        (over,) = given[1:]
+        sizes = [n for _, n in over.groupBy(F.spark_partition_id()).count().collect()]
+    finally:
+        for name in conf:
+            spark.conf.unset(f"spark.sql.{name}")
+    assert sum(sizes) >= 160 and max(sizes) <= sum(sizes) / 3
+
+
 def test_hot_keys_with_cores_that_stay_hot(spark, monkeypatch):
     monkeypatch.setattr(suffix_dedup, "HOT_BYTES", 6_000)
     monkeypatch.setattr(suffix_dedup, "SHARD_BYTES", 3_000)
